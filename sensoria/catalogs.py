@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensoria.session import literal_table
+
 # Official gas codes and labels.
 GAS_LABELS = {
     1: "SO2",
@@ -134,15 +136,13 @@ MAX_FORECAST_MONTHS = 12
 
 def gas_table(spark: SparkSession) -> DataFrame:
     """Gas dimension rows (ID_MAGNITUD, MAGNITUD)."""
-    return spark.createDataFrame(
-        list(GAS_LABELS.items()), "ID_MAGNITUD int, MAGNITUD string"
-    )
+    return literal_table(spark, GAS_LABELS.items(), "ID_MAGNITUD int, MAGNITUD string")
 
 
 def measure_table(spark: SparkSession) -> DataFrame:
     """Traffic measure dimension rows (ID_MEDIDA_TRAFICO, MEDIDA)."""
-    return spark.createDataFrame(
-        list(TRAFFIC_MEASURES.items()), "ID_MEDIDA_TRAFICO int, MEDIDA string"
+    return literal_table(
+        spark, TRAFFIC_MEASURES.items(), "ID_MEDIDA_TRAFICO int, MEDIDA string"
     )
 
 
@@ -152,11 +152,11 @@ def band_table(spark: SparkSession) -> DataFrame:
         (variable, float(lo), None if hi is None else float(hi), color)
         for variable, lo, hi, color in COLOR_BANDS
     ]
-    return spark.createDataFrame(
-        rows, "variable string, lo double, hi double, color string"
+    return literal_table(
+        spark, rows, "variable string, lo double, hi double, color string"
     )
 
 
 def unit_table(spark: SparkSession) -> DataFrame:
     """Display units (variable, unit)."""
-    return spark.createDataFrame(list(UNITS.items()), "variable string, unit string")
+    return literal_table(spark, UNITS.items(), "variable string, unit string")

@@ -10,6 +10,7 @@ from sensoria.plans.forecast import backtest as bt
 from sensoria.plans.forecast import features as ft
 from sensoria.plans.forecast import models as md
 from sensoria.plans.forecast import run as rn
+from sensoria.session import cut_lineage
 
 GAS = ("gas",)
 
@@ -19,7 +20,8 @@ def _features(inputs: Inputs, view: str = "v_hist_dense"):
 
 
 def _split(inputs: Inputs, view: str = "v_hist_dense"):
-    table = _features(inputs, view)
+    """Train and future rows; the feature table is computed once for all uses."""
+    table = cut_lineage(_features(inputs, view))
     return ft.train_rows(table), ft.future_rows(table)
 
 
@@ -130,7 +132,7 @@ _GRID = """
     f"""WITH {_GRID} SELECT gas, estacion, cod_dis, fecha, ROUND(dato, 6) AS dato FROM s""",
 )
 def _(inputs: Inputs):
-    return ft.dense_series(inputs.view("v_hist_gappy"), HORIZON)
+    return ft.dense_series(inputs.view("v_hist_gappy"), HORIZON).drop("futuro")
 
 
 @check(

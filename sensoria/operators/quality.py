@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensoria.session import literal_table
+
 # Natural keys of the gold tables.
 NATURAL_KEYS = {
     "dim_distrito": ["COD_DIS"],
@@ -83,11 +85,12 @@ def schema_drift(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Columns that are missing, unexpected or of another type than agreed."""
     spark = df.sparkSession
     fields = "columna string, {} string"
-    actual = spark.createDataFrame(
+    actual = literal_table(
+        spark,
         [(f.name, f.dataType.simpleString()) for f in df.schema],
         fields.format("tipo_real"),
     )
-    agreed = spark.createDataFrame(list(contract.items()), fields.format("tipo_acordado"))
+    agreed = literal_table(spark, contract.items(), fields.format("tipo_acordado"))
     return actual.join(agreed, "columna", "full").filter(
         ~F.col("tipo_real").eqNullSafe(F.col("tipo_acordado"))
     )

@@ -18,6 +18,7 @@ from sensoria.catalogs import (
 from sensoria.functions.codes import run_gas, run_months
 from sensoria.operators.bands import color_of
 from sensoria.plans import reads
+from sensoria.session import literal_table
 
 AIR = "Aire"
 
@@ -33,7 +34,7 @@ def first_non_empty(preferred: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def _options(df: DataFrame, column: str, values: Sequence, kind: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([(v,) for v in values], f"{column} {kind}")
+    return literal_table(df.sparkSession, [(v,) for v in values], f"{column} {kind}")
 
 
 # Selectors.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensoria.plans.forecast.models import Model
+from sensoria.session import cut_lineage
 
 ORIGINS = 3
 FOLD_DOMAIN = ("gas", "fold")
@@ -36,7 +37,7 @@ def usable_folds(
     windows = _origins(ends, horizon_days, origins)
     in_test = F.col("fecha").between(F.col("ini_test"), F.col("fin_test"))
     counted = (
-        days.join(windows, "gas")
+        days.join(F.broadcast(windows), "gas")
         .groupBy("gas", "fold", "ini_test", "fin_test")
         .agg(
             F.count_if(in_test).alias("n_test"),
@@ -57,7 +58,9 @@ def fold_rows(train: DataFrame, folds: DataFrame) -> DataFrame:
         F.col("fecha") <= F.col("fin_test"), "test"
     )
     return (
-        train.join(folds.select("gas", "fold", "ini_test", "fin_test"), "gas")
+        train.join(
+            F.broadcast(folds.select("gas", "fold", "ini_test", "fin_test")), "gas"
+        )
         .withColumn("rol", role)
         .filter(F.col("rol").isNotNull())
         .drop("ini_test", "fin_test")
@@ -106,6 +109,11 @@ def backtest(
     models: Mapping[str, Model],
     origins: int = ORIGINS,
 ) -> DataFrame:
-    """Ranking (gas, modelo, mae, rmse, origenes, puesto)."""
-    rows = fold_rows(train, usable_folds(train, horizon_days, origins))
+    """Ranking (gas, modelo, mae, rmse, origenes, puesto).
+
+    The folds (at most ``origins`` rows per gas) are fixed first, so that the model
+    plans do not each derive them again.
+    """
+    folds = cut_lineage(usable_folds(train, horizon_days, origins))
+    rows = fold_rows(train, folds)
     return rank_models(backtest_predictions(rows, models))

@@ -26,7 +26,7 @@ SERIES = ("gas", "estacion", "cod_dis")
 def history(fact: DataFrame, gases: DataFrame, names: list[str]) -> DataFrame:
     """Readings of the named gases out of the air fact."""
     wanted = gases.filter(F.col("MAGNITUD").isin(names))
-    return fact.join(wanted, "ID_MAGNITUD").select(
+    return fact.join(F.broadcast(wanted), "ID_MAGNITUD").select(
         F.col("MAGNITUD").alias("gas"),
         F.col("ID_AIRE").alias("estacion"),
         F.col("COD_DIS").alias("cod_dis"),
@@ -36,13 +36,19 @@ def history(fact: DataFrame, gases: DataFrame, names: list[str]) -> DataFrame:
 
 
 def history_bounds(hist: DataFrame) -> DataFrame:
-    """First and last day with data per gas."""
+    """First and last day with data per gas.
+
+    One row per gas of a fixed catalogue, so it is safe to broadcast: joining on the
+    gas would otherwise shuffle everything onto a handful of hot keys.
+    """
     return hist.groupBy("gas").agg(F.min("fecha").alias("f0"), F.max("fecha").alias("f1"))
 
 
 def dense_series(hist: DataFrame, horizon_days: int) -> DataFrame:
     """One row per series and day, from the gas's first day to last + H.
 
+    ``futuro`` marks the H days after the last one with data.
+
     The empty calendar of each series is appended to the readings and both are
     aggregated by day.  That fills gaps with NULL and enforces the grain in one
     shuffle with map-side combine; repeated readings of one day are averaged.
@@ -51,17 +57,24 @@ def dense_series(hist: DataFrame, horizon_days: int) -> DataFrame:
     calendar = (
         hist.select(*SERIES)
         .distinct()
-        .join(bounds, "gas")
+        .join(F.broadcast(bounds), "gas")
         .select(
             *SERIES,
+            "f1",
             F.explode(F.sequence("f0", F.date_add("f1", horizon_days))).alias("fecha"),
-            F.lit(None).cast("double").alias("dato"),
         )
     )
+    empty_days = calendar.select(
+        *SERIES,
+        "fecha",
+        F.lit(None).cast("double").alias("dato"),
+        (F.col("fecha") > F.col("f1")).alias("futuro"),
+    )
+    readings = hist.select(*SERIES, "fecha", "dato", F.lit(False).alias("futuro"))
     return (
-        calendar.unionByName(hist.select(*SERIES, "fecha", "dato"))
+        empty_days.unionByName(readings)
         .groupBy(*SERIES, "fecha")
-        .agg(F.avg("dato").alias("dato"))
+        .agg(F.avg("dato").alias("dato"), F.max("futuro").alias("futuro"))
     )
 
 
@@ -89,6 +102,7 @@ def add_features(dense: DataFrame, horizon_days: int) -> DataFrame:
         F.sin(angle).alias("doy_sin"),
         F.cos(angle).alias("doy_cos"),
         is_weekend(F.col("fecha")).alias("is_weekend"),
+        "futuro",
     )
 
 
@@ -101,9 +115,7 @@ def feature_table(hist: DataFrame, horizon_days: int) -> DataFrame:
     ready = add_features(dense_series(hist, horizon_days), horizon_days).dropna(
         subset=list(LAG_FEATURES)
     )
-    bounds = history_bounds(hist).select("gas", "f1")
-    marked = ready.join(bounds, "gas").withColumn("futuro", F.col("fecha") > F.col("f1"))
-    return marked.filter(F.col("futuro") | F.col("dato").isNotNull()).drop("f1")
+    return ready.filter(F.col("futuro") | F.col("dato").isNotNull())
 
 
 def train_rows(features: DataFrame) -> DataFrame:
@@ -117,7 +129,7 @@ def future_rows(features: DataFrame) -> DataFrame:
 def leaking_rows(future: DataFrame, hist: DataFrame, horizon_days: int) -> DataFrame:
     """Gases whose furthest forecast day would need an unobserved lag."""
     furthest = future.groupBy("gas").agg(F.max("fecha").alias("hasta"))
-    return furthest.join(history_bounds(hist), "gas").filter(
+    return furthest.join(F.broadcast(history_bounds(hist)), "gas").filter(
         F.date_sub("hasta", horizon_days) > F.col("f1")
     )
 

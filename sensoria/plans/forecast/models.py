@@ -4,6 +4,9 @@ A model is a function ``(train, future, domain) -> predictions``.  ``train`` hol
 feature rows with ``dato``, ``future`` feature rows without; both carry the domain
 columns, and the result has one row per row of ``future``: the domain, ``estacion``,
 ``cod_dis``, ``fecha`` and ``yhat``.
+
+Tables with one row per domain are broadcast: there are as many as gases in the
+catalogue times backtest folds.  Tables per station are left to the optimizer.
 """
 
 from __future__ import annotations
@@ -65,7 +68,7 @@ def seasonal_naive(
     overall = train.groupBy(*domain).agg(F.avg("dato").alias("_overall"))
     return (
         future.join(table, [*domain, "estacion", "dow"], "left")
-        .join(overall, list(domain), "left")
+        .join(F.broadcast(overall), list(domain), "left")
         .select(*_keys(domain), F.coalesce("_usual", "_overall").alias("yhat"))
     )
 
@@ -187,7 +190,7 @@ def seasonal_ar(
     return (
         future.join(forecast, [*series, "fecha"], "left")
         .join(fallback, series, "left")
-        .join(overall, list(domain), "left")
+        .join(F.broadcast(overall), list(domain), "left")
         .select(*_keys(domain), F.coalesce("_fitted", "_mean", "_overall").alias("yhat"))
     )
 

@@ -51,8 +51,8 @@ def forecast_table(
     ``predictions`` holds (gas, modelo, estacion, cod_dis, fecha, yhat).
     """
     return (
-        predictions.join(chosen, ["gas", "modelo"])
-        .join(gases, F.col("gas") == F.col("MAGNITUD"))
+        predictions.join(F.broadcast(chosen), ["gas", "modelo"])
+        .join(F.broadcast(gases), F.col("gas") == F.col("MAGNITUD"))
         .select(
             "gas",
             F.col("fecha").alias("FECHA"),

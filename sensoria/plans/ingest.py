@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensoria.session import literal_table
 from sensoria.sources.archives import archive_files, read_zipped
 from sensoria.sources.delimited import read_delimited
 from sensoria.sources.tables import Lakehouse, write_periods
@@ -25,7 +26,8 @@ def record_load(
     lake: Lakehouse, dataset: str, period: str, resource: str, rows: int
 ) -> None:
     """Upsert one ledger entry; the ledger is partitioned by its key."""
-    entry = lake.spark.createDataFrame(
+    entry = literal_table(
+        lake.spark,
         [(dataset, period, resource, rows)],
         "dataset string, periodo string, resource string, rows bigint",
     )

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,10 +22,22 @@ SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the plans rely on to a live session."""
+    """Apply the runtime SQL settings the plans rely on to a live session.
+
+    On a cluster, shuffles start with several partitions per core, unless the
+    submitter chose a number; adaptive execution merges what turns out small.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and not spark.conf.get(INITIAL_PARTITIONS, None):
+        fixed = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(fixed, 4 * context.defaultParallelism)
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark
 
 
@@ -70,3 +86,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """Small fixed table as a local relation.
+
+    Its size is known exactly, so Spark broadcasts it in joins by its own rule, and
+    no Python worker is started to produce it.
+    """
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    rows = list(rows)
+    columns = [
+        pa.array([row[i] for row in rows], field.type) for i, field in enumerate(arrow)
+    ]
+    return spark.createDataFrame(pa.table(columns, schema=arrow))

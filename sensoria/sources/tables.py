@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sensoria.session import literal_table
+
 PERIOD = ("year", "month")
 
 
@@ -61,7 +63,7 @@ def describe_columns(df: DataFrame) -> DataFrame:
         (pos, field.name, field.dataType.simpleString())
         for pos, field in enumerate(df.schema)
     ]
-    return df.sparkSession.createDataFrame(rows, "pos int, columna string, tipo string")
+    return literal_table(df.sparkSession, rows, "pos int, columna string, tipo string")
 
 
 class Lakehouse:
