@@ -151,7 +151,8 @@ def _path(last_levels, last_w, phi, steps):
             w.alias("w"),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), steps), start, advance, lambda s: s.path)
+    days = F.when(steps > 0, F.sequence(F.lit(1), F.greatest(steps, F.lit(1))))
+    return F.aggregate(days, start, advance, lambda state: state.path)
 
 
 def seasonal_ar(
@@ -164,34 +165,36 @@ def seasonal_ar(
     station means.
     """
     series = [*domain, "estacion"]
-    states = _station_states(train, domain)
-    overall = states.groupBy(*domain).agg(F.avg("media").alias("_overall"))
     reach = future.groupBy(*series).agg(F.max("fecha").alias("hasta"))
+    steps = F.greatest(F.datediff("hasta", "fin"), F.lit(0))
     enough = (F.col("n") >= MIN_OBSERVATIONS) & F.col("ultimo.v")[WEEK].isNotNull()
-    fitted = states.join(reach, series).filter(enough & (F.col("hasta") > F.col("fin")))
-    path = _path(
-        F.col("ultimo.v"),
-        F.col("ultimo.w_known"),
-        F.col("phi"),
-        F.datediff("hasta", "fin"),
-    )
-    forecast = fitted.select(
-        *series, "fin", "maximo", F.posexplode(path).alias("paso", "nivel")
-    ).select(
-        *series,
-        F.date_add("fin", F.col("paso") + 1).alias("fecha"),
-        F.greatest(
-            F.lit(0.0), F.least(F.col("nivel"), F.col("maximo") * CEILING_FACTOR)
-        ).alias("_fitted"),
+    path = _path(F.col("ultimo.v"), F.col("ultimo.w_known"), F.col("phi"), steps)
+    stations = (
+        _station_states(train, domain)
+        .join(reach, series)
+        .select(
+            *series,
+            "fin",
+            "media",
+            (F.col("maximo") * CEILING_FACTOR).alias("_techo"),
+            F.when(enough, path).alias("_niveles"),
+        )
     )
-    fallback = states.select(
-        *series, F.when(~enough, F.col("media")).alias("_mean")
+    overall = (
+        train.groupBy(*series)
+        .agg(F.avg("dato").alias("_m"))
+        .groupBy(*domain)
+        .agg(F.avg("_m").alias("_overall"))
     )
+    level = F.try_element_at("_niveles", F.datediff("fecha", "fin"))
+    bounded = F.greatest(F.lit(0.0), F.least(level, F.col("_techo")))
+    # greatest and least skip NULLs, so the bounds apply to existing levels only.
+    fitted = F.when(level.isNotNull(), bounded)
+    fallback = F.when(F.col("_niveles").isNull(), F.col("media"))
     return (
-        future.join(forecast, [*series, "fecha"], "left")
-        .join(fallback, series, "left")
+        future.join(stations, series, "left")
         .join(F.broadcast(overall), list(domain), "left")
-        .select(*_keys(domain), F.coalesce("_fitted", "_mean", "_overall").alias("yhat"))
+        .select(*_keys(domain), F.coalesce(fitted, fallback, F.col("_overall")).alias("yhat"))
     )
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from sensoria.sources.delimited import FALLBACK_ENCODING, SEPARATOR
 
-LINES_PER_BATCH = 20000
-
 
 def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, content) of archives on any file system Spark can read."""
@@ -19,27 +17,35 @@ def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(files).select("path", "content")
 
 
-def zip_lines(archives: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(archivo, cabecera, linea) of the first member of every archive.
+def read_zipped(
+    archives: DataFrame, schema: str | T.StructType, partitions: int | None = None
+) -> DataFrame:
+    """Typed rows of the first member of every archive.
+
+    Columns are found by name in each member's own header; text that does not fit a
+    column's type becomes NULL.
 
-    A deflate stream has no entry points, so an archive is one unit of work; it is
-    unpacked as a stream, a batch of lines at a time.  Archives are spread over the
-    executors.  ``partitions`` spreads the lines over that many tasks before they
-    are parsed, for the case of few large archives.
+    A deflate stream has no entry points, so an archive is one unit of work.  It is
+    decompressed and split into columns as a stream of Arrow batches, never as a
+    whole; archives are spread over the executors.  ``partitions`` spreads the rows
+    over that many tasks, for the case of few large archives.
     """
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    names = [field.name for field in fields]
 
     def unpack(batches: Iterator) -> Iterator:
         import io
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
+        from pyarrow import csv
 
-        def opened(content: bytes):
+        def first_member(content: bytes):
             archive = zipfile.ZipFile(io.BytesIO(content))
             return archive.open(archive.namelist()[0])
 
         def encoding_of(content: bytes) -> str:
-            with opened(content) as member:
+            with first_member(content) as member:
                 try:
                     for line in member:
                         line.decode("utf-8")
@@ -47,56 +53,29 @@ def zip_lines(archives: DataFrame, partitions: int | None = None) -> DataFrame:
                     return FALLBACK_ENCODING
             return "utf-8"
 
+        as_text = csv.ConvertOptions(
+            include_columns=names,
+            include_missing_columns=True,
+            column_types={name: pa.string() for name in names},
+            strings_can_be_null=True,
+            quoted_strings_can_be_null=True,
+            null_values=[""],
+        )
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                encoding = encoding_of(content)
-                with opened(content) as member:
-                    text = io.TextIOWrapper(member, encoding)
-                    header = text.readline().rstrip("\r\n").lstrip("﻿")
-                    lines = []
-                    for line in text:
-                        lines.append(line.rstrip("\r\n"))
-                        if len(lines) == LINES_PER_BATCH:
-                            yield pd.DataFrame(
-                                {"archivo": path, "cabecera": header, "linea": lines}
-                            )
-                            lines = []
-                    if lines:
-                        yield pd.DataFrame(
-                            {"archivo": path, "cabecera": header, "linea": lines}
-                        )
-
-    lines = archives.select("path", "content").mapInPandas(
-        unpack, "archivo string, cabecera string, linea string"
-    )
-    return lines.repartition(partitions) if partitions else lines
-
-
-def read_zipped(
-    archives: DataFrame, schema: str | T.StructType, partitions: int | None = None
-) -> DataFrame:
-    """Typed rows of zipped CSV files; the header line gives the column order.
-
-    Columns are taken by the name in each archive's own header, so archives may
-    order or quote their columns differently.
-    """
-    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    lines = zip_lines(archives, partitions).filter(F.length("linea") > 0)
-
-    def cells(column: str):
-        return F.split(F.col(column), SEPARATOR)
-
-    unquote = r'^"|"$'
-    by_name = F.map_from_arrays(
-        F.transform(cells("cabecera"), lambda c: F.regexp_replace(F.trim(c), unquote, "")),
-        F.transform(cells("linea"), lambda c: F.regexp_replace(F.trim(c), unquote, "")),
-    )
-    mapped = lines.select("archivo", by_name.alias("m"))
-    return mapped.select(
-        *[
-            F.nullif(F.try_element_at("m", F.lit(f.name)), F.lit(""))
-            .try_cast(f.dataType)
-            .alias(f.name)
-            for f in fields
-        ]
+            for content in batch.column("content"):
+                data = content.as_py()
+                with first_member(data) as member:
+                    yield from csv.open_csv(
+                        member,
+                        csv.ReadOptions(encoding=encoding_of(data)),
+                        csv.ParseOptions(delimiter=SEPARATOR),
+                        as_text,
+                    )
+
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = archives.select("content").mapInArrow(unpack, text)
+    if partitions:
+        rows = rows.repartition(partitions)
+    return rows.select(
+        *[F.trim(field.name).try_cast(field.dataType).alias(field.name) for field in fields]
     )
