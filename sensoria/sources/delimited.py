@@ -99,15 +99,15 @@ def read_delimited(
 def rejected_lines(
     spark: SparkSession, paths: str | Sequence[str], schema: str, encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Lines that do not fit the schema, with the file they came from."""
-    marked = f"{schema}, _rechazo string"
+    """Lines that do not fit the schema: their file, their text and what was read."""
+    names = T.StructType.fromDDL(schema).names
     rows = (
         _reader(spark, encoding)
-        .schema(marked)
+        .schema(f"{schema}, _rechazo string")
         .option("columnNameOfCorruptRecord", "_rechazo")
         .csv(_paths(paths))
         .select("*", F.col("_metadata.file_path").alias("archivo"))
     )
     return rows.filter(F.col("_rechazo").isNotNull()).select(
-        "archivo", F.col("_rechazo").alias("linea")
+        "archivo", F.col("_rechazo").alias("linea"), F.struct(*names).alias("leido")
     )
