@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sensoria.checks.fixtures import Inputs
+from sensoria.checks.geometry import edges_to_wkb
 from sensoria.checks.registry import check
 from sensoria.functions.projection import (
     BETA,
@@ -48,7 +49,7 @@ def _degrees_sql(east: str, north: str, source: str, keep: str) -> str:
 
 @check("polygon_edges", _edges_sql("v_box_utm"), decimals=None)
 def _(inputs: Inputs):
-    shapes = geo.edges_to_wkb(inputs.box_edges("v_box_utm"), "COD_DIS")
+    shapes = edges_to_wkb(inputs.box_edges("v_box_utm"), "COD_DIS")
     return geo.polygon_edges(shapes, "COD_DIS")
 
 
@@ -148,7 +149,7 @@ _VERTICES = f"({_edges_sql('v_box_utm')})"
     decimals=7,
 )
 def _(inputs: Inputs):
-    shapes = geo.edges_to_wkb(inputs.box_edges("v_box_utm"), "COD_DIS")
+    shapes = edges_to_wkb(inputs.box_edges("v_box_utm"), "COD_DIS")
     return geo.dim_geometria(geo.polygon_edges(shapes, "COD_DIS"))
 
 

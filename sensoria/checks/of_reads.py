@@ -7,6 +7,7 @@ from sensoria.checks.of_star import dim_district, fact_air, silver_traffic
 from sensoria.checks.registry import check
 from sensoria.functions.codes import run_name
 from sensoria.plans import dashboard, reads
+from sensoria.sources.tables import sample_rows
 
 GAS, DISTRICT, STATION, POINT = "NO2", "19", 8, 7
 
@@ -406,3 +407,28 @@ def _(inputs: Inputs):
 def _(inputs: Inputs):
     order = ["FECHA", "ID_AIRE", "MAGNITUD", "DATO"]
     return inputs.view("v_air").select(*order).orderBy(*order)
+
+
+@check(
+    "param_guard",
+    """SELECT p.COD_DIS, ROUND(AVG(t.VMED), 6) AS valor_medio
+       FROM v_traffic t JOIN v_point p ON t.ID_TRAFICO = p.ID_TRAFICO
+       WHERE t.FECHA >= DATE '1999-12-01' AND t.FECHA < DATE '2000-01-01' GROUP BY p.COD_DIS""",
+)
+def _(inputs: Inputs):
+    try:
+        reads.traffic_variable("VMED) FROM t --")
+    except ValueError:
+        return reads.district_monthly_traffic(*_traffic(inputs), "vmed", 1999, 12)
+    raise AssertionError("an unknown variable was accepted")
+
+
+@check(
+    "limit_n",
+    """SELECT FECHA, ID_TRAFICO, INTENSIDAD FROM v_traffic_15m
+       ORDER BY INTENSIDAD DESC, FECHA, ID_TRAFICO LIMIT 5""",
+    decimals=None,
+)
+def _(inputs: Inputs):
+    readings = inputs.view("v_traffic_15m").select("FECHA", "ID_TRAFICO", "INTENSIDAD")
+    return sample_rows(readings, [F.col("INTENSIDAD").desc(), "FECHA", "ID_TRAFICO"])

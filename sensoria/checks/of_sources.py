@@ -93,19 +93,44 @@ def _(inputs: Inputs):
 
 
 _RESOURCES = """
-    r AS (SELECT l_orderkey AS dataset,
-                 ROW_NUMBER() OVER (PARTITION BY l_orderkey
-                     ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS pos,
-                 'recurso ' || CAST(l_partkey AS VARCHAR) AS name,
-                 'Datos de ' || CAST(year(l_shipdate) AS VARCHAR) AS description,
-                 CASE l_returnflag WHEN 'N' THEN 'ZIP' ELSE 'CSV' END AS format
-          FROM lineitem)"""
+    o AS (SELECT o_orderkey AS dataset, CAST(o_custkey AS VARCHAR) AS cliente,
+                 year(o_orderdate) AS y, CASE o_orderstatus WHEN 'F' THEN 'CSV' ELSE 'ZIP' END
+                 AS f FROM orders),
+    r AS (SELECT dataset, 0 AS pos, 'a' || cliente AS name,
+                 'Datos de ' || CAST(y AS VARCHAR) AS description, f AS format FROM o
+          UNION ALL SELECT dataset, 1, 'b' || cliente, 'Datos de ' || CAST(y + 1 AS VARCHAR),
+                 'CSV' FROM o
+          UNION ALL SELECT dataset, 2, 'c' || cliente, 'Datos de ' || CAST(y AS VARCHAR),
+                 'CSV' FROM o)"""
+
+
+def _payloads(inputs: Inputs):
+    """A package of three resources per order, as JSON text."""
+
+    def resource(prefix: str, year, fmt):
+        return F.struct(
+            F.concat(F.lit(prefix), F.col("o_custkey").cast("string")).alias("name"),
+            F.concat(F.lit("Datos de "), year.cast("string")).alias("description"),
+            fmt.alias("format"),
+        )
+
+    year = F.year("o_orderdate")
+    own = F.when(F.col("o_orderstatus") == "F", "CSV").otherwise("ZIP")
+    listed = F.array(
+        resource("a", year, own),
+        resource("b", year + 1, F.lit("CSV")),
+        resource("c", year, F.lit("CSV")),
+    )
+    document = F.struct(F.struct(listed.alias("resources")).alias("result"))
+    return inputs.table("orders").select(
+        F.col("o_orderkey").alias("dataset"), F.to_json(document).alias("payload")
+    )
 
 
 @check(
     "resource_catalog",
     f"""WITH {_RESOURCES}
-        SELECT dataset, CAST(pos AS INTEGER) AS pos, name, description, format FROM (
+        SELECT dataset, pos, name, description, format FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY dataset ORDER BY pos) AS rn FROM r
           WHERE description LIKE '%1998%' AND format = 'CSV') WHERE rn = 1""",
 )
@@ -114,33 +139,20 @@ def _(inputs: Inputs):
     return resources.first_match(found, "dataset", "1998", "CSV").drop("url")
 
 
-def _payloads(inputs: Inputs):
-    """One package per order with its lines as resources."""
-    entry = F.struct(
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_extendedprice",
-        F.concat(F.lit("recurso "), F.col("l_partkey").cast("string")).alias("name"),
-        F.concat(F.lit("Datos de "), F.year("l_shipdate").cast("string")).alias("description"),
-        F.when(F.col("l_returnflag") == "N", "ZIP").otherwise("CSV").alias("format"),
-    )
-    listed = F.transform(
-        F.array_sort(F.collect_list(entry)),
-        lambda e: F.struct(
-            e["name"].alias("name"), e.description.alias("description"), e.format.alias("format")
-        ),
-    )
-    packages = inputs.table("lineitem").groupBy(F.col("l_orderkey").alias("dataset"))
-    document = F.struct(F.struct(F.col("resources")).alias("result"))
-    return packages.agg(listed.alias("resources")).select(
-        "dataset", F.to_json(document).alias("payload")
-    )
+@check(
+    "resource_by_format",
+    f"""WITH {_RESOURCES}
+        SELECT dataset, pos, name, description, format FROM r
+        WHERE format = 'ZIP'""",
+)
+def _(inputs: Inputs):
+    found = resources.resource_rows(_payloads(inputs))
+    return resources.first_match(found, "dataset", fmt="ZIP").drop("url")
 
 
 @check(
     "resources_of_period",
-    f"""WITH {_RESOURCES} SELECT dataset, CAST(pos AS INTEGER) AS pos, name, description, format
+    f"""WITH {_RESOURCES} SELECT dataset, pos, name, description, format
         FROM r WHERE description LIKE '%1999%'""",
 )
 def _(inputs: Inputs):

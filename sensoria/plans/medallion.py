@@ -40,6 +40,10 @@ from sensoria.operators.star import (
 from sensoria.session import configure
 from sensoria.sources.tables import PERIOD, Lakehouse
 
+# Reading queries select days or months, so large tables are laid out by day.
+BY_DAY_AND_STATION = ("FECHA", "ID_AIRE")
+BY_DAY_AND_POINT = ("FECHA", "ID_TRAFICO")
+
 
 def _districts(lake: Lakehouse):
     return lake.bronze("distritos").select(
@@ -49,9 +53,9 @@ def _districts(lake: Lakehouse):
 
 def build_silver(lake: Lakehouse) -> None:
     """Clean air, traffic and stations."""
-    lake.write("silver", "aire", unpivot_air(lake.bronze("aire")))
+    lake.write("silver", "aire", unpivot_air(lake.bronze("aire")), BY_DAY_AND_STATION)
     traffic = lake.bronze("trafico").drop(*PERIOD)
-    lake.write("silver", "trafico", clean_traffic(traffic))
+    lake.write("silver", "trafico", clean_traffic(traffic), BY_DAY_AND_POINT)
 
     districts = _districts(lake)
     edges = edges_to_degrees(polygon_edges(districts, "COD_DIS"))
@@ -88,6 +92,7 @@ def build_facts(lake: Lakehouse) -> None:
         fact_calidad_aire(
             lake.silver("aire"), lake.gold("dim_estacion_aire"), lake.gold("dim_magnitud")
         ),
+        BY_DAY_AND_STATION,
     )
     lake.write(
         "gold",
@@ -97,6 +102,7 @@ def build_facts(lake: Lakehouse) -> None:
             lake.gold("dim_punto_trafico"),
             lake.gold("dim_medida_trafico"),
         ),
+        BY_DAY_AND_POINT,
     )
 
 

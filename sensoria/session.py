@@ -83,7 +83,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a result that several later jobs start from."""
     spark = df.sparkSession
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 

@@ -12,8 +12,15 @@ from sensoria.session import literal_table
 PERIOD = ("year", "month")
 
 
-def write_table(df: DataFrame, path: str) -> int:
-    """Replace a whole table; returns the rows written, counted on the way."""
+def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> int:
+    """Replace a whole table; returns the rows written, counted on the way.
+
+    With ``cluster_by`` the files cover ranges of those columns, so that later
+    filters on the first one skip files and row groups by their statistics.  Give a
+    second column, such as the sensor, to let a single busy day spread over files.
+    """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
@@ -88,5 +95,7 @@ class Lakehouse:
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", name)
 
-    def write(self, layer: str, name: str, df: DataFrame) -> int:
-        return write_table(df, self.path(layer, name))
+    def write(
+        self, layer: str, name: str, df: DataFrame, cluster_by: Sequence[str] = ()
+    ) -> int:
+        return write_table(df, self.path(layer, name), cluster_by)

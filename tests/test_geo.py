@@ -3,6 +3,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from sensoria.checks.geometry import edges_to_wkb
 from sensoria.functions.projection import utm_to_degrees
 from sensoria.operators import geo
 
@@ -97,7 +98,7 @@ def test_wkt(edges):
 
 
 def test_wkb_round_trip(edges):
-    again = geo.polygon_edges(geo.edges_to_wkb(edges, "z"), "z")
+    again = geo.polygon_edges(edges_to_wkb(edges, "z"), "z")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, edges.collect()))
 
 

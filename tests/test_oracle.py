@@ -18,7 +18,7 @@ def test_query_matches_sql(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
     found = result.toArrow()
     if name in ANSWERS:
-        expected = oracle_connection(FOLDER).execute(ANSWERS[name]).to_arrow_table()
+        expected = oracle_connection(FOLDER).sql(ANSWERS[name]).to_arrow_table()
         assert differences(found, expected) == []
 
 

@@ -116,6 +116,13 @@ def test_whole_table_overwrite(spark, tmp_path):
     assert tables.read_table(spark, folder).count() == 5
 
 
+def test_clustered_write_keeps_and_counts_all_rows(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    df = spark.range(1000).select(F.lit(1).alias("day"), "id")
+    assert tables.write_table(df, folder, ("day", "id")) == 1000
+    assert tables.read_table(spark, folder).distinct().count() == 1000
+
+
 def test_landing_is_incremental_and_repeatable(spark, tmp_path):
     source, table, state = (str(tmp_path / name) for name in ("in", "out", "state"))
 
