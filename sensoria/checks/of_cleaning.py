@@ -95,13 +95,16 @@ def _(inputs: Inputs):
 @check(
     "pad_code",
     """SELECT c_custkey, LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') AS COD_DIS,
-              CAST(NULL AS VARCHAR) AS COD_TEXTO FROM customer""",
+              CASE WHEN c_acctbal > 0 THEN LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') END
+              AS COD_TEXTO FROM customer""",
 )
 def _(inputs: Inputs):
+    nation, segment = F.col("c_nationkey").cast("string"), F.col("c_mktsegment")
+    text = F.when(F.col("c_acctbal") > 0, nation).otherwise(segment)
     return inputs.table("customer").select(
         "c_custkey",
         codes.pad_code(F.col("c_nationkey").cast("string")).alias("COD_DIS"),
-        codes.pad_code(F.col("c_mktsegment")).alias("COD_TEXTO"),
+        codes.pad_code(text).alias("COD_TEXTO"),
     )
 
 

@@ -152,7 +152,7 @@ def daily_table(
     air: DataFrame, station: int | str | None, gas: str | None
 ) -> DataFrame:
     """(Fecha, Valor, unidad) of one series; empty until both are chosen."""
-    if not station or not gas:
+    if not (reads.chosen(station) and reads.chosen(gas)):
         rows = air.select(F.to_date("FECHA").alias("dia"), "DATO").limit(0)
     else:
         rows = reads.daily_values(air, station, gas)

@@ -1,10 +1,15 @@
-"""Forecast job: features, backtest, winner, prediction table, metrics."""
+"""Forecast job: features, backtest, winner, prediction table, metrics.
+
+Run with ``spark-submit`` (or ``python -m sensoria.plans.forecast.run``) and the lake's
+root folder, the number of months and the gases: ``<root> 2 NO2,O3``.
+"""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensoria.catalogs import MAX_FORECAST_MONTHS
@@ -20,7 +25,8 @@ from sensoria.plans.forecast.features import (
     train_rows,
 )
 from sensoria.plans.forecast.models import MODELS, Model
-from sensoria.session import cut_lineage
+from sensoria.session import configure, cut_lineage
+from sensoria.sources.tables import Lakehouse
 
 
 def checked_months(months: int | str) -> int:
@@ -156,3 +162,16 @@ def write_forecast(
         .partitionBy("run")
         .json(f"{folder}/metrics")
     )
+
+
+def main(root: str, months: str = "2", names: str = "NO2,O3") -> None:
+    lake = Lakehouse(configure(SparkSession.builder.getOrCreate()), root)
+    gases = [name.strip() for name in names.split(",") if name.strip()]
+    published, metrics = run_forecast(
+        lake.gold("fact_calidad_aire"), lake.gold("dim_magnitud"), gases, checked_months(months)
+    )
+    write_forecast(published, metrics, checked_months(months), lake.path("gold", "ml"))
+
+
+if __name__ == "__main__":
+    main(*sys.argv[1:])

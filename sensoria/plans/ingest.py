@@ -78,6 +78,29 @@ def ingest_zip(
     return load_period(lake, dataset, period, rows, resource)
 
 
+def ingest_landed(
+    lake: Lakehouse, dataset: str, folder: str, schema: str
+) -> DataFrame:
+    """Load every landed ``<period>.csv`` of a folder in one job.
+
+    Returns the ledger entries written.  All periods are replaced; for picking up
+    only what is new see :func:`sensoria.streaming.landing.land_new_files`.
+    """
+    rows = read_delimited(lake.spark, f"{folder}/*.csv", schema, file_column="_archivo")
+    name = F.element_at(F.split("_archivo", "/"), -1)
+    period = F.regexp_extract(name, r"^(\d{4}(?:-\d{1,2})?)\.csv$", 1)
+    dated = rows.withColumn("_periodo", F.nullif(period, F.lit(""))).filter(
+        F.col("_periodo").isNotNull()
+    )
+    dated = dated.select("*", *period_columns(F.col("_periodo")))
+    write_periods(dated.drop("_archivo", "_periodo"), lake.path("bronze", dataset))
+
+    files = dated.groupBy(F.col("_periodo").alias("periodo"), F.col("_archivo").alias("resource"))
+    entries = files.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(dataset))
+    write_periods(entries, lake.path("bronze", LEDGER), LEDGER_KEY)
+    return lake.bronze(LEDGER).filter(F.col("dataset") == F.lit(dataset))
+
+
 def backfill(loads: Iterable[tuple[str, object]]) -> list[tuple[str, str]]:
     """Run (name, callable) loads; a failing one does not stop the others.
 

@@ -24,6 +24,11 @@ def traffic_variable(name: str) -> str:
     return name.upper()
 
 
+def chosen(option: object) -> bool:
+    """Whether a selector has a value; 0 is one."""
+    return option is not None and option != ""
+
+
 def _of_gas(air: DataFrame, gas: str) -> DataFrame:
     return valid_only(air).filter(F.col("MAGNITUD") == F.lit(gas))
 
@@ -50,7 +55,7 @@ def stations(air: DataFrame) -> DataFrame:
 
 
 def magnitudes(air: DataFrame, station: int | str | None = None) -> DataFrame:
-    if station:
+    if chosen(station):
         air = air.filter(F.col("ID_AIRE") == F.lit(int(station)))
     return air.select("MAGNITUD").distinct().orderBy("MAGNITUD")
 

@@ -68,9 +68,12 @@ def read_delimited(
     schema: str | T.StructType | None = None,
     types: Mapping[str, str] | None = None,
     encoding: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Rows of semicolon-separated files with a header line.
 
+    ``file_column`` adds the path of the file each row came from.
+
     Without an encoding the files are split into UTF-8 and Latin-1 ones and read
     accordingly.  Quoted empty values are NULL.  With a schema nothing is inferred.
     """
@@ -86,8 +89,13 @@ def read_delimited(
     if schema is None:
         first = sorted(groups, reverse=True)[0]
         schema = inferred_schema(spark, groups[first], types, first)
+    extra = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
     parts = [
-        _reader(spark, name).schema(schema).option("emptyValue", None).csv(files)
+        _reader(spark, name)
+        .schema(schema)
+        .option("emptyValue", None)
+        .csv(files)
+        .select("*", *extra)
         for name, files in sorted(groups.items())
     ]
     result = parts[0]

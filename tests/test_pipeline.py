@@ -159,3 +159,12 @@ def test_checks_find_violations(lake):
     assert quality.orphan_keys(lake.silver("aire"), lake.gold("dim_estacion_aire"), "ID_AIRE").count() == 1
     drift = quality.schema_drift(air.drop("DATO"), quality.CONTRACT["fact_calidad_aire"])
     assert [tuple(r) for r in drift.collect()] == [("DATO", None, "double")]
+
+
+def test_forecast_command_needs_enough_history(lake):
+    from sensoria.plans.forecast import run
+
+    with pytest.raises(ValueError, match="O3"):
+        run.main(lake.root, "1", "O3")
+    with pytest.raises(ValueError, match="within"):
+        run.main(lake.root, "13")

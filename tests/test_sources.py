@@ -159,6 +159,20 @@ def test_ingest_keeps_a_ledger(spark, tmp_path):
     assert entries == [("estaciones_aire", "latest", 1), ("trafico", "2024-01", 1)]
 
 
+def test_landed_files_load_in_one_job(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "2023.csv").write_bytes("id;n\n1;ñ\n2;b\n".encode("latin-1"))
+    (landed / "2024-5.csv").write_text("id;n\n3;ñ\n")
+    (landed / "notes.csv").write_text("id;n\n9;x\n")
+    for _ in range(2):
+        entries = ingest.ingest_landed(lake, "aire", str(landed), "id int, n string")
+    assert rows(entries.select("periodo", "rows")) == [("2023", 2), ("2024-5", 1)]
+    back = rows(lake.bronze("aire").select("year", "month", "id", "n"))
+    assert back == [(2023, 0, 1, "ñ"), (2023, 0, 2, "b"), (2024, 5, 3, "ñ")]
+
+
 def test_backfill_goes_on_after_a_failure():
     done = []
 
