@@ -225,18 +225,18 @@ def _(inputs: Inputs):
         UNION ALL SELECT 'mes sin datos', CAST(UNNEST(range(1, 13)) AS VARCHAR)""",
 )
 def _(inputs: Inputs):
-    air, stations = _air(inputs)
-    traffic, points = _traffic(inputs)
-    tables = (air, stations, traffic, points)
+    shown = dashboard.SensorTables(
+        *_air(inputs), *_traffic(inputs), inputs.view("v_district")
+    )
     options = {
-        "distrito": dashboard.district_options(air, stations, points, "Aire", GAS),
-        "distrito sin datos": dashboard.district_options(air, stations, points, "Aire", "EBE"),
-        "variable": dashboard.variable_options(air, stations, "Aire", DISTRICT),
-        "variable sin datos": dashboard.variable_options(air, stations, "Aire", "99"),
-        "anio": dashboard.year_options(*tables, "Trafico", "CARGA", DISTRICT),
-        "anio sin datos": dashboard.year_options(*tables, "Aire", GAS, "99"),
-        "mes": dashboard.month_options(*tables, "Trafico", "CARGA", DISTRICT, 1996),
-        "mes sin datos": dashboard.month_options(*tables, "Aire", GAS, DISTRICT, 1996),
+        "distrito": dashboard.district_options(shown, "Aire", GAS),
+        "distrito sin datos": dashboard.district_options(shown, "Aire", "EBE"),
+        "variable": dashboard.variable_options(shown, "Aire", DISTRICT),
+        "variable sin datos": dashboard.variable_options(shown, "Aire", "99"),
+        "anio": dashboard.year_options(shown, "Trafico", "CARGA", DISTRICT),
+        "anio sin datos": dashboard.year_options(shown, "Aire", GAS, "99"),
+        "mes": dashboard.month_options(shown, "Trafico", "CARGA", DISTRICT, 1996),
+        "mes sin datos": dashboard.month_options(shown, "Aire", GAS, DISTRICT, 1996),
     }
     result = None
     for selector, found in options.items():

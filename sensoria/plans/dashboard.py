@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +15,38 @@ from sensoria.catalogs import (
     DEFAULT_YEARS,
     TRAFFIC_VARIABLES,
     UNITS,
+    band_table,
 )
 from sensoria.functions.codes import run_gas, run_months
-from sensoria.operators.bands import color_of
+from sensoria.operators.bands import band_labels, color_of
 from sensoria.plans import reads
 from sensoria.session import literal_table
+from sensoria.sources.tables import Lakehouse
 
 AIR = "Aire"
 
 
+@dataclass(frozen=True)
+class SensorTables:
+    """The tables the dashboard reads."""
+
+    air: DataFrame
+    stations: DataFrame
+    traffic: DataFrame
+    points: DataFrame
+    districts: DataFrame
+
+    @classmethod
+    def of(cls, lake: Lakehouse) -> SensorTables:
+        return cls(
+            lake.silver("aire"),
+            lake.silver("estaciones_aire"),
+            lake.silver("trafico"),
+            lake.gold("dim_punto_trafico"),
+            lake.gold("dim_distrito"),
+        )
+
+
 def first_non_empty(preferred: DataFrame, fallback: DataFrame) -> DataFrame:
     """``preferred``, or all of ``fallback`` when it has no rows.
 
@@ -41,79 +65,117 @@ def _options(df: DataFrame, column: str, values: Sequence, kind: str) -> DataFra
 
 
 def district_options(
-    air: DataFrame,
-    stations: DataFrame,
-    points: DataFrame,
-    domain: str | None = None,
-    variable: str | None = None,
+    tables: SensorTables, domain: str | None = None, variable: str | None = None
 ) -> DataFrame:
-    every = reads.traffic_districts(points)
+    every = reads.traffic_districts(tables.points)
     if domain != AIR or not variable:
         return every
-    return first_non_empty(reads.districts_by_gas(air, stations, variable), every)
+    measured = reads.districts_by_gas(tables.air, tables.stations, variable)
+    return first_non_empty(measured, every)
 
 
 def variable_options(
-    air: DataFrame, stations: DataFrame, domain: str, district: str | None = None
+    tables: SensorTables, domain: str, district: str | None = None
 ) -> DataFrame:
     if domain != AIR:
-        return _options(air, "MAGNITUD", sorted(TRAFFIC_VARIABLES), "string")
-    every = _options(air, "MAGNITUD", DEFAULT_AIR_VARIABLES, "string")
+        return _options(tables.air, "MAGNITUD", sorted(TRAFFIC_VARIABLES), "string")
+    every = _options(tables.air, "MAGNITUD", DEFAULT_AIR_VARIABLES, "string")
     if not district:
         return every
-    return first_non_empty(
-        reads.air_variables_by_district(air, stations, district), every
-    )
+    measured = reads.air_variables_by_district(tables.air, tables.stations, district)
+    return first_non_empty(measured, every)
 
 
 def _periods(
-    air: DataFrame,
-    stations: DataFrame,
-    traffic: DataFrame,
-    points: DataFrame,
-    domain: str,
-    variable: str,
-    district: str,
+    tables: SensorTables, domain: str, variable: str, district: str
 ) -> DataFrame:
     if domain == AIR:
-        return reads.air_periods(air, stations, variable, district)
-    return reads.traffic_periods(traffic, points, variable, district)
+        return reads.air_periods(tables.air, tables.stations, variable, district)
+    return reads.traffic_periods(tables.traffic, tables.points, variable, district)
 
 
 def year_options(
-    air: DataFrame,
-    stations: DataFrame,
-    traffic: DataFrame,
-    points: DataFrame,
-    domain: str,
-    variable: str | None,
-    district: str | None,
+    tables: SensorTables, domain: str, variable: str | None, district: str | None
 ) -> DataFrame:
-    every = _options(air, "anio", DEFAULT_YEARS, "int")
+    every = _options(tables.air, "anio", DEFAULT_YEARS, "int")
     if not variable or not district:
         return every
-    periods = _periods(air, stations, traffic, points, domain, variable, district)
+    periods = _periods(tables, domain, variable, district)
     return first_non_empty(periods.select("anio").distinct(), every)
 
 
 def month_options(
-    air: DataFrame,
-    stations: DataFrame,
-    traffic: DataFrame,
-    points: DataFrame,
+    tables: SensorTables,
     domain: str,
     variable: str | None,
     district: str | None,
     year: int | str | None,
 ) -> DataFrame:
-    every = _options(air, "mes", DEFAULT_MONTHS, "int")
+    every = _options(tables.air, "mes", DEFAULT_MONTHS, "int")
     if not variable or not district or not year:
         return every
-    periods = _periods(air, stations, traffic, points, domain, variable, district)
+    periods = _periods(tables, domain, variable, district)
     of_year = periods.filter(F.col("anio") == F.lit(int(year))).select("mes")
     return first_non_empty(of_year, every)
 
 
+# Values of either domain.
+
+
+def district_values(
+    tables: SensorTables, domain: str, variable: str, year: int, month: int
+) -> DataFrame:
+    """Monthly mean per district."""
+    if domain == AIR:
+        return reads.district_monthly_air(
+            tables.air, tables.stations, variable, year, month
+        )
+    return reads.district_monthly_traffic(
+        tables.traffic, tables.points, variable, year, month
+    )
+
+
+def evolution(
+    tables: SensorTables, domain: str, variable: str, district: str
+) -> DataFrame:
+    """Daily mean of one district over the whole history."""
+    if domain == AIR:
+        return reads.daily_air_by_district(tables.air, tables.stations, variable, district)
+    return reads.daily_traffic_by_district_noon(
+        tables.traffic, tables.points, variable, district
+    )
+
+
+def overview(
+    tables: SensorTables,
+    domain: str,
+    variable: str,
+    district: str,
+    year: int,
+    month: int,
+) -> dict[str, DataFrame]:
+    """All that one search shows: legend, map, counts, mean and daily series."""
+    means = district_values(tables, domain, variable, year, month)
+    legend = band_labels(band_table(tables.air.sparkSession))
+    return {
+        "legend": legend.filter(F.col("variable") == F.lit(variable)),
+        "map": choropleth_table(tables.districts, means, variable),
+        "counts": kpi_counts(tables.stations, tables.points, district),
+        "mean": kpi_mean(means, district),
+        "evolution": evolution(tables, domain, variable, district),
+    }
+
+
+def summary(tables: SensorTables) -> dict[str, DataFrame]:
+    """Catalogue view: KPIs, positions, coverage map and table."""
+    return {
+        "kpis": summary_kpis(tables.districts),
+        "positions": position_layer(tables.stations, tables.points),
+        "map": coverage_map(tables.districts),
+        "table": coverage_table(tables.districts),
+    }
+
+
 # KPIs and tables.
 
 

@@ -136,6 +136,34 @@ def test_reads(lake):
     assert sorted((r.kind, r.id) for r in layer) == [("estacion", 4), ("estacion", 9), ("punto", 1)]
 
 
+def test_dashboard(lake):
+    shown = dashboard.SensorTables.of(lake)
+    assert [r[0] for r in dashboard.district_options(shown, "Aire", "NO2").collect()] == ["01"]
+    assert [r[0] for r in dashboard.district_options(shown, "Aire", "O3").collect()] == ["01"]
+    assert dashboard.variable_options(shown, "Trafico").count() == 4
+    assert dashboard.variable_options(shown, "Aire", "02").count() == 5
+    assert [r[0] for r in dashboard.year_options(shown, "Aire", "NO2", "01").collect()] == [2024]
+    assert dashboard.year_options(shown, "Aire", None, "01").count() == 5
+    months = dashboard.month_options(shown, "Trafico", "CARGA", "01", "2024").collect()
+    assert [r[0] for r in months] == [4]
+    parts = dashboard.overview(shown, "Aire", "NO2", "01", 2024, 4)
+    assert [r.etiqueta for r in parts["legend"].orderBy("orden").collect()] == [
+        "0 - 90", "90 - 120", "120 - 230", "230+",
+    ]
+    colors = {r.COD_DIS: (r.color, r.valor_texto) for r in parts["map"].collect()}
+    assert colors == {"01": ("green", "15.5"), "02": ("lightgray", "N/A")}
+    assert tuple(parts["counts"].first()) == (1, 1)
+    assert parts["mean"].first().valor == 15.5
+    assert parts["evolution"].count() == 30
+    assert dashboard.overview(shown, "Trafico", "CARGA", "01", 2024, 4)["evolution"].count() == 1
+    parts = dashboard.summary(shown)
+    assert tuple(parts["kpis"].first()) == (2, 1, 1, 1)
+    assert parts["positions"].count() == 2
+    assert {r.NOMBRE: r.cobertura for r in parts["table"].collect()} == {
+        "Oeste": "With coverage", "Este": "No coverage",
+    }
+
+
 @pytest.mark.parametrize("name", ["x", "INTENSIDAD; DROP", ""])
 def test_unknown_traffic_variable(lake, name):
     with pytest.raises(ValueError):
