@@ -116,7 +116,9 @@ def _wkt_sql(corner: str) -> str:
     ) + " || '))'"
 
 
-_METRE_CORNER = "CAST(CAST({x} AS BIGINT) AS VARCHAR) || ' ' || CAST(CAST({y} AS BIGINT) AS VARCHAR)"
+_METRE_CORNER = (
+    "CAST(CAST({x} AS BIGINT) AS VARCHAR) || ' ' || CAST(CAST({y} AS BIGINT) AS VARCHAR)"
+)
 
 
 @check(

@@ -71,15 +71,13 @@ def latest_per_key(
 ) -> DataFrame:
     """The row of each key that is greatest in ``order`` (NULLs are lowest).
 
-    A partial ``max_by`` keeps one candidate per key and map task, so copies of a
-    single key are never gathered; the order needs a unique last column to be
-    deterministic.
+    A partial maximum keeps one candidate per key and map task, so copies of a single
+    key are never gathered.  Rows equal in ``order`` are told apart by their other
+    columns, which makes the choice repeatable.
     """
-    payload = F.struct(*[F.col(name) for name in df.columns])
-    best = df.groupBy(*keys).agg(
-        F.max_by(payload, F.struct(*[F.col(name) for name in order])).alias("_row")
-    )
-    return best.select("_row.*")
+    rank = [F.col(name).alias(f"_orden_{i}") for i, name in enumerate(order)]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rank, *df.columns)).alias("_fila"))
+    return best.select(*[F.col("_fila")[name].alias(name) for name in df.columns])
 
 
 def count_by(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -29,9 +29,9 @@ def land_new_files(
 ) -> None:
     """Load every file that arrived since the last call, then stop.
 
-    Files lie in one folder per period, ``<source>/periodo=YYYY-MM/``.  The checkpoint remembers finished files.  Each micro-batch replaces exactly the
-    periods of its files, so a batch repeated after a lost executor or driver
-    leaves the same table.  Files of one period that arrive later replace what an
+    Files lie in one folder per period, ``<source>/periodo=YYYY-MM/``.  The checkpoint
+    remembers finished files.  Each micro-batch replaces exactly the periods of its
+    files, so a batch repeated after a lost executor or driver leaves the same table.  Files of one period that arrive later replace what an
     earlier call loaded for it, so a period's files must arrive together.
     """
     rows = (

@@ -1,3 +1,5 @@
+import math
+import random
 import struct
 
 import pytest
@@ -85,7 +87,8 @@ def test_centroids(edges):
     found = {r.z: (r.CX, r.CY) for r in geo.polygon_centroids(edges, "z").collect()}
     assert found["L"] == pytest.approx((20 / 12, 20 / 12))
     area = 36 - 4 + 4
-    assert found["H"] == pytest.approx(((36 * 13 - 4 * 13 + 4 * 21) / area, (36 * 3 - 4 * 3 + 4) / area))
+    center = ((36 * 13 - 4 * 13 + 4 * 21) / area, (36 * 3 - 4 * 3 + 4) / area)
+    assert found["H"] == pytest.approx(center)
 
 
 def test_wkt(edges):
@@ -110,3 +113,44 @@ def test_projection_control_points(spark):
     first, second = df.select(lon.alias("lon"), lat.alias("lat")).collect()
     assert first.lon == -3.0
     assert (second.lat, second.lon) == pytest.approx((40.4168, -3.7038), abs=1e-6)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_containment_matches_brute_force_on_ragged_outlines(spark, threshold):
+    """Random stars, and points of which a third share one place."""
+    chance = random.Random(11)
+    stars, rows = {}, []
+    for number in range(6):
+        cx, cy = chance.uniform(0, 3), chance.uniform(0, 3)
+        corners = []
+        for step in range(40):
+            angle, radius = 2 * math.pi * step / 40, chance.uniform(0.2, 0.8)
+            corners.append((cx + radius * math.cos(angle), cy + radius * math.sin(angle)))
+        stars[str(number)] = corners
+        rows.append((str(number), bytearray(polygon_bytes([corners]))))
+    points = [
+        (i, 1.5, 1.5) if i % 3 == 0 else (i, chance.uniform(-1, 4), chance.uniform(-1, 4))
+        for i in range(1500)
+    ]
+
+    def contains(corners, x, y):
+        inside = False
+        for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1]):
+            if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+                inside = not inside
+        return inside
+
+    expected = set()
+    for i, x, y in points:
+        hits = [name for name, corners in stars.items() if contains(corners, x, y)]
+        expected |= {(i, name) for name in hits or [None]}
+
+    edges = geo.polygon_edges(spark.createDataFrame(rows, "z string, geometry binary"), "z")
+    df = spark.createDataFrame(points, "i int, LONGITUD double, LATITUD double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = geo.locate_points(df, edges, "z", height=0.1).select("i", "z").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert len(found) == len(expected)
+    assert {tuple(row) for row in found} == expected

@@ -43,7 +43,9 @@ def lake(spark, tmp_path_factory):
             "CODIGO_CORTO bigint, ESTACION string, DIRECCION string, LATITUD double, "
             "LONGITUD double, NO2 string, BTX string",
         )
-        .withColumns({flag: F.lit(None).cast("string") for flag in ("SO2", "CO", "PM10", "PM2_5", "O3")})
+        .withColumns(
+            {flag: F.lit(None).cast("string") for flag in ("SO2", "CO", "PM10", "PM2_5", "O3")}
+        )
         .withColumn("Fecha alta", F.lit(date(2000, 1, 1))),
     )
     days = ", ".join(f"D{d:02d} double, V{d:02d} string" for d in range(1, 32))
@@ -184,7 +186,8 @@ def test_checks_find_violations(lake):
         quality.require_none(
             quality.duplicate_keys(air.union(air), ["FECHA"]), "grain"
         )
-    assert quality.orphan_keys(lake.silver("aire"), lake.gold("dim_estacion_aire"), "ID_AIRE").count() == 1
+    stations = lake.gold("dim_estacion_aire")
+    assert quality.orphan_keys(lake.silver("aire"), stations, "ID_AIRE").count() == 1
     drift = quality.schema_drift(air.drop("DATO"), quality.CONTRACT["fact_calidad_aire"])
     assert [tuple(r) for r in drift.collect()] == [("DATO", None, "double")]
 

@@ -1,7 +1,6 @@
-import io
 import json
 import zipfile
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
