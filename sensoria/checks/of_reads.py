@@ -152,7 +152,11 @@ def _(inputs: Inputs):
     return reads.points_by_district(inputs.view("v_point"), DISTRICT)
 
 
-@check("station_coords", "SELECT ID_AIRE, ESTACION, LONGITUD, LATITUD, COD_DIS FROM v_station", decimals=None)
+@check(
+    "station_coords",
+    "SELECT ID_AIRE, ESTACION, LONGITUD, LATITUD, COD_DIS FROM v_station",
+    decimals=None,
+)
 def _(inputs: Inputs):
     return reads.station_coords(inputs.view("v_station"))
 

@@ -267,12 +267,12 @@ def _(inputs: Inputs):
         "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("periodo")
     )
     schema = "o_orderkey bigint, o_totalprice double"
-    arrivals = [F.col("periodo") < "1998-01", F.col("periodo") >= "1998-01"]
-    for number, arrived in enumerate(arrivals):
+    early, late = F.col("periodo") < "1998-01", F.col("periodo") >= "1998-01"
+    cheap = F.col("o_totalprice") < 100000
+    for arrived in (early, late & cheap, late & ~cheap):
         writer = orders.filter(arrived).write.options(header=True, sep=";")
         writer.mode("append").partitionBy("periodo").csv(source)
         land_new_files(spark, source, schema, table, state)
-    land_new_files(spark, source, schema, table, state)
     return tables.read_table(spark, table)
 
 

@@ -84,7 +84,7 @@ def ingest_landed(
     """Load every landed ``<period>.csv`` of a folder in one job.
 
     Returns the ledger entries written.  All periods are replaced; for picking up
-    only what is new see :func:`sensoria.streaming.landing.land_new_files`.
+    what is new see :func:`sensoria.streaming.landing.land_new_files`.
     """
     rows = read_delimited(lake.spark, f"{folder}/*.csv", schema, file_column="_archivo")
     name = F.element_at(F.split("_archivo", "/"), -1)

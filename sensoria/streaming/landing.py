@@ -27,25 +27,32 @@ def land_new_files(
     encoding: str = "UTF-8",
     glob: str = "*.csv",
 ) -> None:
-    """Load every file that arrived since the last call, then stop.
-
-    Files lie in one folder per period, ``<source>/periodo=YYYY-MM/``.  The checkpoint
-    remembers finished files.  Each micro-batch replaces exactly the periods of its
-    files, so a batch repeated after a lost executor or driver leaves the same table.  Files of one period that arrive later replace what an
-    earlier call loaded for it, so a period's files must arrive together.
+    """Bring the periods of newly arrived files up to date, then stop.
+
+    Files lie in one folder per period, ``<source>/periodo=YYYY-MM/``, and a period of
+    the table always mirrors the whole folder: when a file arrives, its period is read
+    again and replaced.  Files of one period may therefore arrive in several rounds, a
+    correction takes the place of the files it corrects, and a batch repeated after a
+    lost executor or driver leaves the same table.  The checkpoint remembers which
+    files have been seen.
     """
-    rows = (
-        spark.readStream.schema(f"{schema}, periodo string")
-        .options(header=True, sep=SEPARATOR, encoding=encoding, pathGlobFilter=glob)
-        .csv(source)
-    )
-    dated = rows.select("*", *period_columns(F.col("periodo"))).drop("periodo")
-
-    def replace_periods(batch: DataFrame, _: int) -> None:
-        write_periods(batch, table)
+    layout = f"{schema}, periodo string"
+    options = {"header": True, "sep": SEPARATOR, "encoding": encoding, "pathGlobFilter": glob}
+
+    def refresh_periods(batch: DataFrame, _: int) -> None:
+        arrived = [row["periodo"] for row in batch.select("periodo").distinct().collect()]
+        if not arrived:
+            return
+        files = batch.sparkSession.read.schema(layout).options(**options).csv(source)
+        current = files.filter(F.col("periodo").isin(arrived))
+        dated = current.select("*", *period_columns(F.col("periodo"))).drop("periodo")
+        write_periods(dated, table)
 
     query = (
-        dated.writeStream.foreachBatch(replace_periods)
+        spark.readStream.schema(layout)
+        .options(**options)
+        .csv(source)
+        .writeStream.foreachBatch(refresh_periods)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

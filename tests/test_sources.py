@@ -125,19 +125,23 @@ def test_clustered_write_keeps_and_counts_all_rows(spark, tmp_path):
 def test_landing_is_incremental_and_repeatable(spark, tmp_path):
     source, table, state = (str(tmp_path / name) for name in ("in", "out", "state"))
 
-    def land(period, text):
-        folder = tmp_path / "in" / f"periodo={period}"
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"{len(list(folder.iterdir()))}.csv").write_text(text)
-
-    land("2024-01", "id;v\n1;1.0\n")
-    land("2023", "id;v\n2;2.0\n")
-    land_new_files(spark, source, "id int, v double", table, state)
-    land("2024-01", "id;v\n1;5.0\n3;3.0\n")
-    for _ in range(2):
+    def land(name, text):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
         land_new_files(spark, source, "id int, v double", table, state)
-    back = tables.read_table(spark, table).select("year", "month", "id", "v")
-    assert rows(back) == [(2023, 0, 2, 2.0), (2024, 1, 1, 5.0), (2024, 1, 3, 3.0)]
+        return rows(tables.read_table(spark, table).select("year", "month", "id", "v"))
+
+    land("periodo=2024-01/a.csv", "id;v\n1;1.0\n")
+    whole_year = (2023, 0, 2, 2.0)
+    assert land("periodo=2023/a.csv", "id;v\n2;2.0\n") == [whole_year, (2024, 1, 1, 1.0)]
+    parts = land("periodo=2024-01/b.csv", "id;v\n3;3.0\n")
+    assert parts == [whole_year, (2024, 1, 1, 1.0), (2024, 1, 3, 3.0)]
+    (tmp_path / "in" / "periodo=2024-01" / "a.csv").unlink()
+    corrected = [whole_year, (2024, 1, 1, 5.0), (2024, 1, 3, 3.0)]
+    assert land("periodo=2024-01/c.csv", "id;v\n1;5.0\n") == corrected
+    land_new_files(spark, source, "id int, v double", table, state)
+    assert rows(tables.read_table(spark, table).select("year", "month", "id", "v")) == corrected
 
 
 def test_ingest_keeps_a_ledger(spark, tmp_path):
