@@ -19,9 +19,15 @@ from sensoria.streaming.landing import period_columns
 
 LEDGER = "_ledger"
 LEDGER_KEY = ("dataset", "periodo")
+LEDGER_COLUMNS = "dataset string, periodo string, resource string, rows bigint"
 SNAPSHOT = "latest"
 
 
+def read_ledger(lake: Lakehouse) -> DataFrame:
+    """The ledger; periods are text even where all of them look like years."""
+    return lake.spark.read.schema(LEDGER_COLUMNS).parquet(lake.path("bronze", LEDGER))
+
+
 def record_load(
     lake: Lakehouse, dataset: str, period: str, resource: str, rows: int
 ) -> None:
@@ -29,7 +35,7 @@ def record_load(
     entry = literal_table(
         lake.spark,
         [(dataset, period, resource, rows)],
-        "dataset string, periodo string, resource string, rows bigint",
+        LEDGER_COLUMNS,
     )
     write_periods(entry, lake.path("bronze", LEDGER), LEDGER_KEY)
 
@@ -98,7 +104,7 @@ def ingest_landed(
     files = dated.groupBy(F.col("_periodo").alias("periodo"), F.col("_archivo").alias("resource"))
     entries = files.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(dataset))
     write_periods(entries, lake.path("bronze", LEDGER), LEDGER_KEY)
-    return lake.bronze(LEDGER).filter(F.col("dataset") == F.lit(dataset))
+    return read_ledger(lake).filter(F.col("dataset") == F.lit(dataset))
 
 
 def backfill(loads: Iterable[tuple[str, object]]) -> list[tuple[str, str]]:

@@ -132,3 +132,34 @@ def test_fact_keeps_every_reading_of_a_hot_station(spark, skewed):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     assert found == sum(row[0] < 50 for row in data)
+
+
+def test_a_hot_station_is_split_in_the_row_level_join(spark, skewed, tmp_path):
+    data, air, sensors = skewed
+    path = str(tmp_path / "air")
+    air.repartition(8).write.parquet(path)
+    gases = spark.createDataFrame([(8, "NO2")], "ID_MAGNITUD int, MAGNITUD string")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.files.openCostInBytes": "100MB",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        silver = spark.read.parquet(path)
+        fact = silver.join(sensors.select("ID_AIRE", "COD_DIS"), "ID_AIRE")
+        assert fact.count() == sum(row[0] < 50 for row in data)
+        fact.collect()
+        assert "skew=true" in plan_of(fact)
+        assert star.fact_calidad_aire(silver, sensors, gases).count() == fact.count()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

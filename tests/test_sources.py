@@ -158,7 +158,7 @@ def test_ingest_keeps_a_ledger(spark, tmp_path):
         assert ingest.ingest_csv(lake, "estaciones_aire", str(tmp_path / "s.csv")) == 1
     row = lake.bronze("trafico").first()
     assert (row.id, row.fecha, row.year, row.month) == (7, datetime(2024, 1, 1, 0, 15), 2024, 1)
-    entries = rows(lake.bronze(ingest.LEDGER).select("dataset", "periodo", "rows"))
+    entries = rows(ingest.read_ledger(lake).select("dataset", "periodo", "rows"))
     assert entries == [("estaciones_aire", "latest", 1), ("trafico", "2024-01", 1)]
 
 
@@ -176,6 +176,15 @@ def test_landed_files_load_in_one_job(spark, tmp_path):
     assert back == [(2023, 0, 1, "ñ"), (2023, 0, 2, "b"), (2024, 5, 3, "ñ")]
 
 
+def test_a_ledger_of_years_still_meets_monthly_periods(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    ingest.record_load(lake, "aire", "2023", "r", 1)
+    ingest.record_load(lake, "aire", "2024", "r", 1)
+    grid = ledger.period_grid(spark, 2023, 2025)
+    left = rows(ledger.missing_periods(grid, ingest.read_ledger(lake)))
+    assert len(left) == 3 * 12 * 2 + 1 and ("aire", "2025") in left
+
+
 def test_backfill_goes_on_after_a_failure():
     done = []
 
