@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from sensoria.checks import registry
 from sensoria.checks.compare import differences, oracle_connection
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ANSWERS = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ANSWERS = registry.ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -30,3 +31,8 @@ def test_entry_has_rows(spark):
 def test_answers_belong_to_queries():
     assert set(ANSWERS) <= set(QUERIES)
     assert set(QUERIES) - set(ANSWERS) == {"gbt_global"}
+
+
+def test_entry_offers_every_registered_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ANSWERS) <= set(entry.oracle_sql())
