@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensoria.llm import language, toxicity
+from sensoria.llm import language, minhash, toxicity
 from sensoria.session import configure
 
 ORACLE: dict[str, str] = {}
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _ready(query)
     for query in (
         language.op4_language,
+        minhash.op5_minhash,
         toxicity.op10_toxicity,
     )
 }
