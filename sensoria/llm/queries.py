@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensoria.llm import language, minhash, toxicity
+from sensoria.llm import language, minhash, packing, toxicity
 from sensoria.session import configure
 
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         language.op4_language,
         minhash.op5_minhash,
+        packing.op6_packing,
         toxicity.op10_toxicity,
     )
 }
