@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensoria.llm import language, minhash, packing, toxicity
+from sensoria.llm import language, line_dedup, minhash, packing, toxicity
 from sensoria.session import configure
 
 ORACLE: dict[str, str] = {}
@@ -19,6 +19,7 @@ def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _ready(query)
     for query in (
+        line_dedup.op2_line_dedup,
         language.op4_language,
         minhash.op5_minhash,
         packing.op6_packing,
