@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensoria.llm import language, line_dedup, minhash, packing, toxicity
+from sensoria.llm import language, line_dedup, merkle, minhash, packing, toxicity
 from sensoria.session import configure
 
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         language.op4_language,
         minhash.op5_minhash,
         packing.op6_packing,
+        merkle.op9_fingerprints,
         toxicity.op10_toxicity,
     )
 }
