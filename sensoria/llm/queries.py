@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensoria.llm import language, line_dedup, maxent, merkle, minhash, packing, toxicity
+from sensoria.llm import (
+    language,
+    line_dedup,
+    maxent,
+    merkle,
+    minhash,
+    packing,
+    sentencepiece,
+    toxicity,
+)
 from sensoria.session import configure
 
 ORACLE: dict[str, str] = {}
@@ -23,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         language.op4_language,
         minhash.op5_minhash,
         packing.op6_packing,
+        sentencepiece.op7_sentencepiece,
         maxent.op8_maxent,
         merkle.op9_fingerprints,
         toxicity.op10_toxicity,
