@@ -7,18 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensoria.llm import (
+    hamming,
     language,
     line_dedup,
     maxent,
     merkle,
     minhash,
     packing,
+    quality,
     sentencepiece,
     toxicity,
 )
 from sensoria.session import configure
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_hamming": hamming.ORACLE}
 
 
 def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,7 +30,9 @@ def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _ready(query)
     for query in (
+        quality.op1_quality,
         line_dedup.op2_line_dedup,
+        hamming.op3_hamming,
         language.op4_language,
         minhash.op5_minhash,
         packing.op6_packing,
