@@ -184,7 +184,7 @@ def _scanned(open_queries: DataFrame, codes: DataFrame, words: int, n: int, chun
                 other = np.array(batch.column(0).to_pylist(), np.int64)
                 ids, members = batch.column(1).to_numpy(), batch.column(2).to_numpy()
                 for name, code in zip(names, asked, strict=True):
-                    distance = np.bitwise_count(other ^ code).sum(axis=1).astype(np.int32)
+                    distance = np.bitwise_count((other ^ code).view(np.uint64)).sum(axis=1).astype(np.int32)
                     near = np.lexsort((ids, distance))[:n]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(near), name)), pa.array(ids[near]), pa.array(distance[near]), pa.array(members[near])],

@@ -156,7 +156,7 @@ def with_next(docs: DataFrame, partitions: int, text: str = "text", key: str = "
     order = sorted(firsts)
     last = order[-1] if order else 0
     first = F.lit([firsts.get(i) for i in range(last + 1)]).cast(f"array<{dict(rows.dtypes)['doc_id']}>")
-    before = dict(zip(order, [last, *order[:-1]], strict=True))
+    before = {slot: order[i - 1] for i, slot in enumerate(order)}
     back = F.get(F.lit([before.get(i, 0) for i in range(last + 1)]), F.col("slot"))
     # several rows may share the first key: all are copied, and sorting finds the first of them
     opens = F.col("doc_id").eqNullSafe(F.get(first, F.col("slot")))

@@ -213,7 +213,7 @@ def fit_scorer(texts: list[bytes], labels: LabelModel, s: Settings) -> Model:
     words, linear, bias = np.zeros(1 << s.bits), np.zeros(x.shape[1]), 0.0
     starts = np.cumsum(lengths) - lengths
     rng = np.random.default_rng(s.seed)
-    for epoch in range(s.epochs):
+    for epoch in range(s.epochs if len(texts) else 0):
         rate = s.rate / (1 + epoch)
         for pick in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // 64)):
             at = np.concatenate([place[starts[i] : starts[i] + lengths[i]] for i in pick])
