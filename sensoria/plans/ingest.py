@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from sensoria.session import literal_table
 from sensoria.sources.archives import archive_files, read_zipped
 from sensoria.sources.delimited import read_delimited
-from sensoria.sources.tables import Lakehouse, write_periods
-from sensoria.streaming.landing import period_columns
+from sensoria.sources.tables import Lakehouse, clear_period, write_periods
+from sensoria.streaming.landing import land_new_files, period_columns
 
 LEDGER = "_ledger"
 LEDGER_KEY = ("dataset", "periodo")
@@ -46,6 +46,9 @@ def load_period(
     """Replace one period (``YYYY`` or ``YYYY-MM``) of a bronze table."""
     dated = rows.select("*", *period_columns(F.lit(period)))
     count = write_periods(dated, lake.path("bronze", dataset))
+    if not count:
+        year, _, month = period.partition("-")
+        clear_period(lake.spark, lake.path("bronze", dataset), {"year": int(year), "month": int(month or 0)})
     record_load(lake, dataset, period, resource, count)
     return count
 
@@ -89,24 +92,44 @@ def ingest_landed(
 ) -> DataFrame:
     """Load every landed ``<period>.csv`` of a folder in one job.
 
-    Returns the ledger entries written.  All periods are replaced; for picking up
+    Returns the ledger entries written.  Periods are ``YYYY`` or ``YYYY-MM`` whatever the
+    file's spelling of the month; a file of another name ends the load.  A period's files are
+    one entry, named after the last of them.  All periods are replaced; for picking up
     what is new see :func:`sensoria.streaming.landing.land_new_files`.
     """
     rows = read_delimited(lake.spark, f"{folder}/*.csv", schema, file_column="_archivo")
     name = F.element_at(F.split("_archivo", "/"), -1)
-    period = F.regexp_extract(name, r"^(\d{4}(?:-\d{1,2})?)\.csv$", 1)
-    dated = rows.withColumn("_periodo", F.nullif(period, F.lit(""))).filter(
-        F.col("_periodo").isNotNull()
-    )
+    pattern = r"^(\d{4})(?:-(\d{1,2}))?\.csv$"
+    month = F.nullif(F.regexp_extract(name, pattern, 2), F.lit(""))
+    period = F.when(
+        name.rlike(pattern),
+        F.concat_ws("-", F.regexp_extract(name, pattern, 1), F.lpad(month, 2, "0")),
+    ).otherwise(F.raise_error(F.concat(F.lit("no period in the file name "), name)))
+    dated = rows.withColumn("_periodo", period)
     dated = dated.select("*", *period_columns(F.col("_periodo")))
     write_periods(dated.drop("_archivo", "_periodo"), lake.path("bronze", dataset))
 
-    files = dated.groupBy(F.col("_periodo").alias("periodo"), F.col("_archivo").alias("resource"))
-    entries = files.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(dataset))
+    periods = dated.groupBy(F.col("_periodo").alias("periodo"))
+    entries = periods.agg(F.max("_archivo").alias("resource"), F.count(F.lit(1)).alias("rows"))
+    entries = entries.withColumn("dataset", F.lit(dataset))
     write_periods(entries, lake.path("bronze", LEDGER), LEDGER_KEY)
     return read_ledger(lake).filter(F.col("dataset") == F.lit(dataset))
 
 
+def land(lake: Lakehouse, dataset: str, source: str, schema: str, checkpoint: str) -> None:
+    """Bring the periods of newly landed files up to date, in the table and in the ledger."""
+
+    def record(loaded: DataFrame) -> None:
+        entries = loaded.select(
+            F.lit(dataset).alias("dataset"), "periodo", F.lit(source).alias("resource"), "rows"
+        )
+        write_periods(entries, lake.path("bronze", LEDGER), LEDGER_KEY)
+
+    land_new_files(
+        lake.spark, source, schema, lake.path("bronze", dataset), checkpoint, on_loaded=record
+    )
+
+
 def backfill(loads: Iterable[tuple[str, object]]) -> list[tuple[str, str]]:
     """Run (name, callable) loads; a failing one does not stop the others.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,8 @@ def read_zipped(
 ) -> DataFrame:
     """Typed rows of the first member of every archive.
 
-    Columns are found by name in each member's own header; text that does not fit a
-    column's type becomes NULL.
+    Columns are found by name in each member's own header; a missing column, a line with
+    too many or too few cells, and text that does not fit its column's type end the job.
 
     A deflate stream has no entry points, so an archive is one unit of work.  It is
     decompressed and split into columns as a stream of Arrow batches, never as a
@@ -55,7 +55,7 @@ def read_zipped(
 
         as_text = csv.ConvertOptions(
             include_columns=names,
-            include_missing_columns=True,
+            include_missing_columns=False,
             column_types={name: pa.string() for name in names},
             strings_can_be_null=True,
             quoted_strings_can_be_null=True,
@@ -77,5 +77,15 @@ def read_zipped(
     if partitions:
         rows = rows.repartition(partitions)
     return rows.select(
-        *[F.trim(field.name).try_cast(field.dataType).alias(field.name) for field in fields]
+        *[_typed(F.trim(field.name), field).alias(field.name) for field in fields]
     )
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    """The text as a value; NULL only for NULL and empty text."""
+    if isinstance(field.dataType, T.StringType):
+        return text
+    message = F.concat(F.lit(f"{field.name} does not take "), text)
+    value = text.try_cast(field.dataType)
+    bad = value.isNull() & (text != "")
+    return F.when(bad, F.raise_error(message).cast(field.dataType)).otherwise(value)

@@ -1,21 +1,39 @@
-"""Delimited text files, with types and encodings sorted out per file."""
+"""Delimited text files: columns by header name, encoding per file, no value lost in silence."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensoria.session import cut_lineage
+
 SEPARATOR = ";"
 FALLBACK_ENCODING = "ISO-8859-1"
+BAD_LINE = "_rechazo"
+FAIL, REJECT = "fail", "reject"
+#: Types tried for a column without a given type, narrowest first.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+MOST_LAYOUTS = 1000
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.text(_paths(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("archivo"),
+        F.col("_metadata.file_block_start").alias("inicio"),
+        F.is_valid_utf8("value").alias("ok"),
+        F.monotonically_increasing_id().alias("orden"),
+    )
+
+
 def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(archivo, encoding) per file: UTF-8 if every byte of it is valid UTF-8.
 
@@ -23,43 +41,143 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     sequence, so large files are checked split by split and only one flag per
     split is shuffled.
     """
-    lines = spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("archivo"),
-        F.is_valid_utf8("value").alias("ok"),
+    return _encoded(_lines(spark, paths).groupBy("archivo").agg(F.bool_and("ok").alias("ok")))
+
+
+def _encoded(flags: DataFrame) -> DataFrame:
+    name = F.when(F.col("ok"), "UTF-8").otherwise(FALLBACK_ENCODING)
+    return flags.select("archivo", name.alias("encoding"))
+
+
+def file_layouts(
+    spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None
+) -> DataFrame:
+    """(archivo, encoding, header, quoted_breaks) per file, in one pass over the text.
+
+    A line with an odd number of quotes belongs to a record with a line break in it;
+    only files with such lines have to be read as a whole.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = F.when(F.col("inicio") == 0, F.col("orden"))
+    found = _lines(spark, paths).groupBy("archivo").agg(
+        F.bool_and("ok").alias("ok"),
+        F.min_by(F.col("value").cast("binary"), first).alias("header"),
+        F.bool_or(quotes % 2 == 1).alias("quoted_breaks"),
     )
-    return lines.groupBy("archivo").agg(
-        F.when(F.bool_and("ok"), "UTF-8").otherwise(FALLBACK_ENCODING).alias("encoding")
+    name = F.lit(encoding) if encoding else F.when(F.col("ok"), "UTF-8").otherwise(FALLBACK_ENCODING)
+    # bytes that are no UTF-8 are taken as Latin-1 in the header, whatever the encoding asked for
+    text = F.when(F.col("ok"), F.decode("header", "UTF-8")).otherwise(F.decode("header", FALLBACK_ENCODING))
+    return found.select(
+        "archivo", name.alias("encoding"),
+        F.rtrim(text, F.lit("\r")).alias("header"), "quoted_breaks",
     )
 
 
-def _reader(spark: SparkSession, encoding: str):
-    return spark.read.options(header=True, sep=SEPARATOR, encoding=encoding)
+def header_names(header: str) -> list[str]:
+    """Column names of a header line."""
+    return [name.strip() for name in next(csv.reader([header.removeprefix("﻿")], delimiter=SEPARATOR))]
+
+
+def _struct(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+class _Layouts:
+    """The files behind some paths, grouped by encoding, header and quoted breaks.
+
+    Only the distinct layouts come to the driver, never a list of files.
+    """
+
+    def __init__(self, spark: SparkSession, paths, encoding: str | None):
+        self.spark, self.paths = spark, _paths(paths)
+        self.files = cut_lineage(file_layouts(spark, paths, encoding))
+        self.kinds = (
+            self.files.select("encoding", "header", "quoted_breaks").distinct()
+            .orderBy("encoding", "header", "quoted_breaks").limit(MOST_LAYOUTS + 1).collect()
+        )
+        if not self.kinds:
+            raise ValueError(f"no lines in {paths}")
+        if len(self.kinds) > MOST_LAYOUTS:
+            raise ValueError(f"more than {MOST_LAYOUTS} different headers in {paths}")
+        self.names = [header_names(kind["header"]) for kind in self.kinds]
+
+    def require(self, wanted: Sequence[str]) -> None:
+        for kind, names in zip(self.kinds, self.names, strict=True):
+            missing = [name for name in wanted if name not in names]
+            if missing:
+                raise ValueError(f"columns {missing} are missing below the header {kind['header']!r}")
+
+    def rows(self, schema: T.StructType, partitions: str) -> DataFrame:
+        """Columns of the schema, then file, bad line (NULL if good) and partition columns."""
+        parts = [self._part(kind, names, schema, partitions) for kind, names in zip(self.kinds, self.names, strict=True)]
+        result = parts[0]
+        for part in parts[1:]:
+            result = result.unionByName(part)
+        return result
+
+    def _part(self, kind: T.Row, names: list[str], schema: T.StructType, partitions: str) -> DataFrame:
+        typed = {field.name: field.dataType for field in schema}
+        fields = [T.StructField(name, typed.get(name, T.StringType())) for name in names]
+        extra = T.StructType.fromDDL(partitions).fields if partitions else []
+        read = (
+            self.spark.read.options(
+                header=True, sep=SEPARATOR, encoding=kind["encoding"], multiLine=kind["quoted_breaks"],
+                columnNameOfCorruptRecord=BAD_LINE, mode="PERMISSIVE", enforceSchema=True,
+            )
+            .option("emptyValue", None)
+            .schema(T.StructType([*fields, T.StructField(BAD_LINE, T.StringType()), *extra]))
+            .csv(self.paths)
+        )
+        rows = read.select(*schema.names, BAD_LINE, *[f.name for f in extra], F.col("_metadata.file_path").alias("_archivo"))
+        if len(self.kinds) == 1:
+            return rows.withColumn("_own", F.lit(""))
+        mine = self.files.where(
+            (F.col("encoding") == kind["encoding"]) & (F.col("header") == kind["header"])
+            & (F.col("quoted_breaks") == kind["quoted_breaks"])
+        )
+        # a column of the file table, so that a filter on it is not moved below the join
+        return rows.join(mine.select(F.col("archivo").alias("_archivo"), F.col("header").alias("_own")), "_archivo")
 
 
 def inferred_schema(
     spark: SparkSession,
     paths: str | Sequence[str],
     types: Mapping[str, str] | None = None,
-    encoding: str = "UTF-8",
+    encoding: str | None = None,
 ) -> T.StructType:
-    """Inferred column types with overrides by name; one extra pass over the files.
+    """Column types that hold every value of every file, with overrides by name.
 
-    Give :func:`read_delimited` a schema instead wherever it is known.
+    One extra pass: all columns are read as text and the narrowest type that takes all
+    values is kept, whatever file they come from.  Give :func:`read_delimited` a schema
+    instead wherever it is known.
     """
-    found = (
-        _reader(spark, encoding)
-        .option("inferSchema", True)
-        .option("preferDate", True)
-        .csv(_paths(paths))
-        .schema
-    )
-    forced = {
-        name: T.StructType.fromDDL(f"c {kind}")["c"].dataType
-        for name, kind in (types or {}).items()
-    }
-    return T.StructType(
-        [T.StructField(f.name, forced.get(f.name, f.dataType), True) for f in found]
-    )
+    return _inferred(_Layouts(spark, paths, encoding), types or {}, "")
+
+
+def _inferred(layouts: _Layouts, types: Mapping[str, str], partitions: str) -> T.StructType:
+    names = list(dict.fromkeys(name for found in layouts.names for name in found))
+    layouts.require(names)
+    open_names = [name for name in names if name not in types]
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    fits = layouts.rows(text, partitions).agg(*[
+        F.coalesce(F.bool_and(F.col(f"`{name}`").isNull() | _fits(F.col(f"`{name}`"), kind)), F.lit(True)).alias(f"{i}_{kind}")
+        for i, name in enumerate(open_names) for kind in INFERRED
+    ]).first() if open_names else {}
+    chosen = {
+        name: next((kind for kind in INFERRED if fits[f"{i}_{kind}"]), "string") for i, name in enumerate(open_names)
+    } | dict(types)
+    return T.StructType([T.StructField(name, T.StructType.fromDDL(f"c {chosen[name]}")["c"].dataType) for name in names])
+
+
+def _fits(value: Column, kind: str) -> Column:
+    parsed = value.try_cast(kind).isNotNull()
+    if kind == "date":
+        return value.rlike(r"^\d{4}-\d{2}-\d{2}$") & parsed
+    if kind == "timestamp":
+        return value.rlike(r"^\d{4}-\d{2}-\d{2}[T ]") & parsed
+    if kind == "boolean":
+        return F.lower(value).isin("true", "false")
+    return parsed
 
 
 def read_delimited(
@@ -69,53 +187,47 @@ def read_delimited(
     types: Mapping[str, str] | None = None,
     encoding: str | None = None,
     file_column: str | None = None,
+    bad: str = FAIL,
+    partitions: str = "",
 ) -> DataFrame:
     """Rows of semicolon-separated files with a header line.
 
-    ``file_column`` adds the path of the file each row came from.
+    Columns are bound by each file's own header; a file that lacks one is an error, further
+    columns are left out.  Without an encoding each file is UTF-8 if it can be, else
+    Latin-1.  Quoted empty values are NULL; quoted line breaks are part of the value.
 
-    Without an encoding the files are split into UTF-8 and Latin-1 ones and read
-    accordingly.  Quoted empty values are NULL.  With a schema nothing is inferred.
+    A line with too few or too many cells, or a cell that does not fit its type, ends the
+    job (``bad="fail"``) or is left out (``bad="reject"``): :func:`rejected_lines` lists
+    those.  ``file_column`` adds the path of the file each row came from; ``partitions``
+    names and types the folder columns below the path.
     """
-    if encoding:
-        groups = {encoding: _paths(paths)}
+    if bad not in (FAIL, REJECT):
+        raise ValueError(f"bad must be {FAIL!r} or {REJECT!r}, not {bad!r}")
+    layouts = _Layouts(spark, paths, encoding)
+    wanted = _inferred(layouts, types or {}, partitions) if schema is None else _struct(schema)
+    layouts.require(wanted.names)
+    rows = layouts.rows(wanted, partitions)
+    if bad == FAIL:
+        message = F.concat(F.lit("a line does not fit: "), F.col(BAD_LINE), F.lit(" in "), F.col("_archivo"))
+        own_bad = F.col(BAD_LINE).isNotNull() & F.col("_own").isNotNull()
+        good = F.when(own_bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     else:
-        groups: dict[str, list[str]] = {}
-        for row in file_encodings(spark, paths).toLocalIterator():
-            groups.setdefault(row["encoding"], []).append(row["archivo"])
-    if not groups:
-        raise ValueError(f"no lines in {paths}")
-
-    if schema is None:
-        first = sorted(groups, reverse=True)[0]
-        schema = inferred_schema(spark, groups[first], types, first)
-    extra = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
-    parts = [
-        _reader(spark, name)
-        .schema(schema)
-        .option("emptyValue", None)
-        .csv(files)
-        .select("*", *extra)
-        for name, files in sorted(groups.items())
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        good = F.col(BAD_LINE).isNull()
+    # true for any row, and makes the parser look at every cell whatever is selected later
+    good = good & (F.xxhash64(*wanted.names) >= F.lit(-(2**63)))
+    folders = T.StructType.fromDDL(partitions).names if partitions else []
+    extra = [F.col("_archivo").alias(file_column)] if file_column else []
+    return rows.filter(good).select(*wanted.names, *folders, *extra)
 
 
 def rejected_lines(
-    spark: SparkSession, paths: str | Sequence[str], schema: str, encoding: str = "UTF-8"
+    spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, encoding: str | None = None
 ) -> DataFrame:
     """Lines that do not fit the schema: their file, their text and what was read."""
-    names = T.StructType.fromDDL(schema).names
-    rows = (
-        _reader(spark, encoding)
-        .schema(f"{schema}, _rechazo string")
-        .option("columnNameOfCorruptRecord", "_rechazo")
-        .csv(_paths(paths))
-        .select("*", F.col("_metadata.file_path").alias("archivo"))
-    )
-    return rows.filter(F.col("_rechazo").isNotNull()).select(
-        "archivo", F.col("_rechazo").alias("linea"), F.struct(*names).alias("leido")
+    wanted = _struct(schema)
+    layouts = _Layouts(spark, paths, encoding)
+    layouts.require(wanted.names)
+    return layouts.rows(wanted, "").filter(F.col(BAD_LINE).isNotNull()).select(
+        F.col("_archivo").alias("archivo"), F.col(BAD_LINE).alias("linea"),
+        F.struct(*wanted.names).alias("leido"),
     )

@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 
 def upsert_entries(
-    ledger: DataFrame, entries: DataFrame, key: str | Sequence[str] | None
+    ledger: DataFrame, entries: DataFrame, key: str | Sequence[str] | None,
+    order: str | None = None,
 ) -> DataFrame:
     """Ledger with the entries added; an entry replaces older ones of its period.
 
+    Of several entries of one period in the batch the last by ``order`` stays, a column that
+    the ledger need not have; without it, the greatest by all columns.
+
     Snapshot datasets have no period (``key=None``): their newest entries replace
     everything.
     """
     if key is None:
         return entries.select(*ledger.columns)
     keys = [key] if isinstance(key, str) else list(key)
+    columns = F.struct(*([order] if order else []), *[c for c in ledger.columns if c != order])
+    entries = entries.groupBy(*keys).agg(F.max(columns).alias("_last")).select("_last.*")
     kept = ledger.join(entries.select(*keys), keys, "left_anti")
     return kept.select(*ledger.columns).unionByName(entries.select(*ledger.columns))
 

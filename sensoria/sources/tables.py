@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +47,14 @@ def write_periods(
     return seen.get["rows"]
 
 
+def clear_period(spark: SparkSession, path: str, period: Mapping[str, object]) -> None:
+    """Empty one period of a table, which an overwrite without rows cannot do."""
+    context = spark.sparkContext
+    folder = "/".join([path, *[f"{name}={value}" for name, value in period.items()]])
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """A table folder, a file, a glob or a list of them, as one table."""
     return spark.read.parquet(*([path] if isinstance(path, str) else path))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensoria.sources.delimited import SEPARATOR
-from sensoria.sources.tables import write_periods
+from sensoria.session import cut_lineage
+from sensoria.sources.delimited import read_delimited
+from sensoria.sources.tables import clear_period, write_periods
 
 
 def period_columns(period: Column) -> tuple[Column, Column]:
@@ -24,8 +27,8 @@ def land_new_files(
     schema: str,
     table: str,
     checkpoint: str,
-    encoding: str = "UTF-8",
-    glob: str = "*.csv",
+    encoding: str | None = None,
+    on_loaded: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Bring the periods of newly arrived files up to date, then stop.
 
@@ -35,23 +38,35 @@ def land_new_files(
     correction takes the place of the files it corrects, and a batch repeated after a
     lost executor or driver leaves the same table.  The checkpoint remembers which
     files have been seen.
-    """
-    layout = f"{schema}, periodo string"
-    options = {"header": True, "sep": SEPARATOR, "encoding": encoding, "pathGlobFilter": glob}
 
+    Files are read as by :func:`sensoria.sources.delimited.read_delimited`: columns by header,
+    encoding per file, a bad line ends the batch before its period is replaced.  A period
+    whose files hold no rows is emptied.  ``on_loaded`` gets (periodo, rows) of each batch.
+    """
     def refresh_periods(batch: DataFrame, _: int) -> None:
-        arrived = [row["periodo"] for row in batch.select("periodo").distinct().collect()]
+        session = batch.sparkSession
+        name = F.regexp_extract(F.col("_file"), r"/periodo=([^/]+)/", 1)
+        arrived = [row["periodo"] for row in batch.select(name.alias("periodo")).distinct().collect()]
         if not arrived:
             return
-        files = batch.sparkSession.read.schema(layout).options(**options).csv(source)
-        current = files.filter(F.col("periodo").isin(arrived))
-        dated = current.select("*", *period_columns(F.col("periodo"))).drop("periodo")
-        write_periods(dated, table)
+        folders = [f"{source}/periodo={period}" for period in arrived]
+        files = read_delimited(session, folders, schema, encoding=encoding, file_column="_file")
+        dated = files.withColumn("periodo", name).drop("_file")
+        given = session.createDataFrame([(period,) for period in arrived], "periodo string")
+        loaded = given.join(dated.groupBy("periodo").agg(F.count(F.lit(1)).alias("rows")), "periodo", "left")
+        loaded = cut_lineage(loaded.fillna(0, ["rows"]))
+        empty = loaded.where("rows = 0").select(*period_columns(F.col("periodo"))).collect()
+        if len(empty) < len(arrived):
+            write_periods(dated.select("*", *period_columns(F.col("periodo"))).drop("periodo"), table)
+        for row in empty:
+            clear_period(session, table, row.asDict())
+        if on_loaded:
+            on_loaded(loaded)
 
     query = (
-        spark.readStream.schema(layout)
-        .options(**options)
-        .csv(source)
+        spark.readStream.schema("value string, periodo string")
+        .text(source)
+        .select(F.col("_metadata.file_path").alias("_file"))
         .writeStream.foreachBatch(refresh_periods)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -49,12 +49,14 @@ def _zip(path, text, encoding="utf-8", name="datos.csv"):
 def test_zipped_csv(spark, tmp_path):
     body = '"b";"a";"n"\n{}\n'
     _zip(tmp_path / "1.zip", body.format('2.5;1;"ñ"\n;2;""'))
-    _zip(tmp_path / "2.zip", body.format("x;3;ñ"), "latin-1")
+    _zip(tmp_path / "2.zip", body.format("7;3;ñ"), "latin-1")
     files = archives.archive_files(spark, str(tmp_path / "*.zip"))
-    df = archives.read_zipped(files, "a int, b double, n string, z int", partitions=3)
-    assert sorted(df.collect(), key=lambda r: r.a) == [
-        (1, 2.5, "ñ", None), (2, None, None, None), (3, None, "ñ", None),
-    ]
+    df = archives.read_zipped(files, "a int, b double, n string", partitions=3)
+    assert sorted(df.collect(), key=lambda r: r.a) == [(1, 2.5, "ñ"), (2, None, None), (3, 7.0, "ñ")]
+    with pytest.raises(Exception, match="z"):
+        archives.read_zipped(files, "a int, z int").collect()
+    with pytest.raises(Exception, match="does not take"):
+        archives.read_zipped(files, "n int").collect()
 
 
 def _payload():
@@ -168,10 +170,9 @@ def test_landed_files_load_in_one_job(spark, tmp_path):
     landed.mkdir()
     (landed / "2023.csv").write_bytes("id;n\n1;ñ\n2;b\n".encode("latin-1"))
     (landed / "2024-5.csv").write_text("id;n\n3;ñ\n")
-    (landed / "notes.csv").write_text("id;n\n9;x\n")
     for _ in range(2):
         entries = ingest.ingest_landed(lake, "aire", str(landed), "id int, n string")
-    assert rows(entries.select("periodo", "rows")) == [("2023", 2), ("2024-5", 1)]
+    assert rows(entries.select("periodo", "rows")) == [("2023", 2), ("2024-05", 1)]
     back = rows(lake.bronze("aire").select("year", "month", "id", "n"))
     assert back == [(2023, 0, 1, "ñ"), (2023, 0, 2, "b"), (2024, 5, 3, "ñ")]
 
@@ -193,3 +194,80 @@ def test_backfill_goes_on_after_a_failure():
 
     rejects = ingest.backfill([("a", fail), ("b", lambda: done.append("b"))])
     assert done == ["b"] and rejects == [("a", "corrupt")]
+
+
+def test_columns_are_bound_by_header(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("id;v\n1;10\n")
+    (tmp_path / "c.csv").write_bytes("v;extra;id\n3.5;ñ;2\n".encode("latin-1"))
+    (tmp_path / "d.csv").write_text('id;v\n3;"4"\n')
+    with pytest.raises(ValueError, match="extra"):
+        delimited.read_delimited(spark, str(tmp_path))
+    found = delimited.read_delimited(spark, str(tmp_path), "id int, v double")
+    assert rows(found) == [(1, 10.0), (2, 3.5), (3, 4.0)]
+    with pytest.raises(ValueError, match="missing"):
+        delimited.read_delimited(spark, str(tmp_path), "id int, w int")
+
+
+def test_types_are_inferred_over_all_files(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("n;v\na;10\n")
+    (tmp_path / "l.csv").write_bytes("v;n\n3.5;ñ\n".encode("latin-1"))
+    found = delimited.read_delimited(spark, str(tmp_path))
+    assert dict(found.dtypes) == {"n": "string", "v": "double"}
+    assert {(r.n, r.v) for r in found.collect()} == {("a", 10.0), ("ñ", 3.5)}
+
+
+def test_bad_lines_fail_or_are_listed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a;b\n1;2\nx;4\n5;6;7\n8\n")
+    schema = "a int, b int"
+    with pytest.raises(Exception, match="does not fit"):
+        delimited.read_delimited(spark, str(tmp_path), schema).collect()
+    kept = delimited.read_delimited(spark, str(tmp_path), schema, bad="reject")
+    listed = delimited.rejected_lines(spark, str(tmp_path), schema)
+    assert rows(kept) == [(1, 2)]
+    assert sorted(r.linea for r in listed.collect()) == ["5;6;7", "8", "x;4"]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a;b\n1;"two\nlines"\n2;"x"\n')
+    (tmp_path / "p.csv").write_text("a;b\n3;plain\n")
+    found = delimited.read_delimited(spark, str(tmp_path), "a int, b string")
+    assert rows(found) == [(1, "two\nlines"), (2, "x"), (3, "plain")]
+
+
+def test_an_empty_reload_empties_its_period(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    full = spark.createDataFrame([(1,)], "id int")
+    ingest.load_period(lake, "aire", "2024-01", full, "r")
+    ingest.load_period(lake, "aire", "2024-02", full, "r")
+    ingest.load_period(lake, "aire", "2024-01", full.limit(0), "r")
+    assert rows(lake.bronze("aire").select("year", "month")) == [(2024, 2)]
+    assert rows(ingest.read_ledger(lake).select("periodo", "rows")) == [("2024-01", 0), ("2024-02", 1)]
+
+
+def test_landing_writes_the_ledger(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    source = tmp_path / "in"
+    for period, text in (("2024-01", "id;n\n1;ñ\n"), ("2024-02", "n;id\nx;2\ny;3\n")):
+        (source / f"periodo={period}").mkdir(parents=True)
+        (source / f"periodo={period}" / "a b.csv").write_bytes(text.encode("latin-1"))
+    ingest.land(lake, "aire", str(source), "id int, n string", str(tmp_path / "state"))
+    assert rows(lake.bronze("aire").select("month", "id", "n")) == [(1, 1, "ñ"), (2, 2, "x"), (2, 3, "y")]
+    (source / "periodo=2024-02" / "a b.csv").unlink()
+    (source / "periodo=2024-02" / "b.csv").write_text("id;n\n")
+    ingest.land(lake, "aire", str(source), "id int, n string", str(tmp_path / "state"))
+    assert rows(lake.bronze("aire").select("month", "id", "n")) == [(1, 1, "ñ")]
+    assert rows(ingest.read_ledger(lake).select("periodo", "rows")) == [("2024-01", 1), ("2024-02", 0)]
+
+
+def test_a_file_without_a_period_ends_the_load(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    (tmp_path / "2024-05.csv").write_text("id;n\n3;x\n")
+    (tmp_path / "notes.csv").write_text("id;n\n9;x\n")
+    with pytest.raises(Exception, match="notes"):
+        ingest.ingest_landed(lake, "aire", str(tmp_path), "id int, n string")
+
+
+def test_the_last_entry_of_a_batch_stays(spark):
+    old = spark.createDataFrame([("2023", "a", 1)], LEDGER)
+    new = spark.createDataFrame([("2023", "z", 2, 1), ("2023", "b", 3, 2)], LEDGER + ", n int")
+    assert rows(ledger.upsert_entries(old, new, "periodo", "n")) == [("2023", "b", 3)]
