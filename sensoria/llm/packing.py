@@ -26,6 +26,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import os
+import string
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import WordTable, raw, small_batches
+from sensoria.llm.words import Numbers, WordTable, raw, small_batches
 from sensoria.session import cut_lineage
 
 
@@ -53,7 +54,13 @@ class Settings:
 
 
 class WordTokens:
-    """Token ids of words, kept one after the other, with the words' places."""
+    """Token ids of words, computed once per word and task.
+
+    A word that is letters with punctuation behind is two units, any other word is one.  New
+    letter units are encoded many at a time, parted by blanks: each is one run of letters, so
+    it ends with the only id that carries the tokenizer's end-of-word mark.  Where the counts
+    do not agree (another kind of tokenizer), units are encoded one by one.
+    """
 
     def __init__(self, path: str | None, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,28 +71,78 @@ class WordTokens:
 
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
+        self.ends = np.array([name.endswith("</w>") for name in names])
         self.table = WordTable(limit=limit)
         self._reset()
 
     def _reset(self) -> None:
-        self.ids, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.known = Numbers()
+        self.known[""]
+        self.ids = np.zeros(0, np.uint32)
+        self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.units = np.zeros((0, 2), np.int32)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _sized(self, units: list[str], joined: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of units, one after the other, and their number for each unit, in chunks."""
+        parts, sizes = [], []
+        for start in range(0, len(units), 500):
+            some = units[start : start + 500]
+            if joined:
+                ids = np.array(self._encode([" ".join(some)])[0], np.uint32)
+                size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if not joined or len(size) != len(some) or size.sum() != len(ids):
+                found = self._encode(some)
+                size = np.array([len(x) for x in found], np.int64)
+                ids = np.array([i for x in found for i in x], np.uint32)
+            parts.append(ids)
+            sizes.append(size)
+        return parts, sizes
+
+    def _learn(self, words: list[bytes]) -> None:
+        before, number = len(self.known), self.known.__getitem__
+        first, second = [], []
+        for text in b"\n".join(words).decode().split("\n"):
+            core = text.rstrip(string.punctuation)
+            if core.isascii():
+                letters, unit = core.isalpha(), core.lower()
+            else:
+                letters, unit = core.isalpha() and core.lower().isalpha(), core
+            first.append(number(unit if letters else text))
+            second.append(number(text[len(core) :]) if letters else 0)
+        self.units = np.concatenate([self.units, np.array([first, second], np.int32).T])
+        fresh = list(self.known)[before:]
+        runs = np.array([unit.isalpha() and unit.lower().isalpha() for unit in fresh], bool)
+        start, size, end = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64), len(self.ids)
+        held = [self.ids]
+        for joined in (True, False):
+            rows = np.flatnonzero(runs == joined)
+            parts, sizes = self._sized([fresh[i] for i in rows], joined)
+            if parts:
+                size[rows] = np.concatenate(sizes)
+                start[rows] = end + np.cumsum(size[rows]) - size[rows]
+                end += int(size[rows].sum())
+                held += parts
+        self.ids = np.concatenate(held)
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number for each text."""
         if len(self.table.index) > self.table.limit:
             self._reset()
         words, lengths = self.table.batch(texts, lambda text: text.split() if text else [])
-        added = [word.decode() for word in self.table.fresh()]
+        added = self.table.fresh()
         if added:
-            found = [e.ids for e in self.tokenizer.encode_batch(added, add_special_tokens=False)]
-            self.size = np.concatenate([self.size, np.array([len(x) for x in found], np.int64)])
-            self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
-        ends = np.cumsum(self.size)
-        size = self.size[words]
-        shift = np.repeat(ends[words] - size - (np.cumsum(size) - size), size)
+            self._learn(added)
+        units = self.units[words].reshape(-1)
+        size = self.size[units]
+        edges = np.concatenate([[0], np.cumsum(size)])
+        shift = np.repeat(self.start[units] - edges[:-1], size)
         flat = self.ids[np.arange(len(shift)) + shift] if len(shift) else np.zeros(0, np.uint32)
-        edges = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(lengths)])]
-        return flat, np.diff(edges)
+        return flat, np.diff(edges[2 * np.concatenate([[0], np.cumsum(lengths)])])
 
 
 def tokenised(docs: DataFrame, s: Settings, text: str, key: str, source: str) -> DataFrame:

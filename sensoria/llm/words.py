@@ -34,10 +34,10 @@ def split(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-class _Index(dict):
-    """Word to row number; unknown words get the next number."""
+class Numbers(dict):
+    """Key to row number; unknown keys get the next number."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         number = self[word] = len(self)
         return number
 
@@ -57,7 +57,7 @@ class WordTable:
         self.reset()
 
     def reset(self) -> None:
-        self.index, self.rows, self.filled = _Index(), None, 0
+        self.index, self.rows, self.filled = Numbers(), None, 0
 
     def batch(
         self, texts: Iterable[bytes | None], cut: Callable[[bytes | None], list[bytes]] = split
