@@ -191,16 +191,14 @@ def _loads(inputs: Inputs, table: str, column: str, name: str, date_format: str)
                   FROM orders GROUP BY 1),
        e AS (SELECT strftime(ts, '%Y-%m') AS periodo, COUNT(*) AS rows FROM events GROUP BY 1
              UNION ALL SELECT strftime(l_shipdate, '%Y-%m'), COUNT(*) FROM lineitem
-             WHERE l_shipdate >= DATE '1999-01-01' GROUP BY 1)
+             GROUP BY 1)
        SELECT periodo, rows, 'nuevo' AS resource FROM e
        UNION ALL SELECT periodo, rows, 'anterior' FROM o
        WHERE periodo NOT IN (SELECT periodo FROM e)""",
 )
 def _(inputs: Inputs):
     old = _loads(inputs, "orders", "o_orderdate", "anterior", "yyyy-MM")
-    shipped = _loads(inputs, "lineitem", "l_shipdate", "nuevo", "yyyy-MM").filter(
-        F.col("periodo") >= "1999-01"
-    )
+    shipped = _loads(inputs, "lineitem", "l_shipdate", "nuevo", "yyyy-MM")
     new = _loads(inputs, "events", "ts", "nuevo", "yyyy-MM").unionByName(shipped)
     return ledger.upsert_entries(old, new, "periodo")
 

@@ -264,15 +264,24 @@ def _(inputs: Inputs):
 
 @check(
     "schema_contract",
-    """SELECT * FROM (VALUES ('ID_MAGNITUD', CAST(NULL AS VARCHAR), 'int'),
-           ('COD_DIS', CAST(NULL AS VARCHAR), 'string'),
-           ('MAGNITUD', 'string', CAST(NULL AS VARCHAR)),
-           ('VALIDEZ', 'string', CAST(NULL AS VARCHAR))) t(columna, tipo_real, tipo_acordado)""",
+    """SELECT t.columna, t.tipo_real, t.tipo_acordado,
+              CASE WHEN t.tipo_real IS NOT NULL THEN c.filas END AS filas,
+              CASE t.columna WHEN 'FECHA' THEN c.sin_fecha WHEN 'ID_AIRE' THEN c.sin_estacion
+                   WHEN 'DATO' THEN c.sin_dato WHEN 'MAGNITUD' THEN c.sin_gas
+                   WHEN 'VALIDEZ' THEN c.sin_validez END AS nulos
+       FROM (VALUES ('FECHA', 'date', 'date'), ('ID_AIRE', 'bigint', 'bigint'),
+             ('DATO', 'double', 'double'),
+             ('ID_MAGNITUD', CAST(NULL AS VARCHAR), 'int'),
+             ('COD_DIS', CAST(NULL AS VARCHAR), 'string'),
+             ('MAGNITUD', 'string', CAST(NULL AS VARCHAR)),
+             ('VALIDEZ', 'string', CAST(NULL AS VARCHAR))) t(columna, tipo_real, tipo_acordado),
+            (SELECT COUNT(*) AS filas, COUNT(*) - COUNT(FECHA) AS sin_fecha,
+                    COUNT(*) - COUNT(ID_AIRE) AS sin_estacion, COUNT(*) - COUNT(DATO) AS sin_dato,
+                    COUNT(*) - COUNT(MAGNITUD) AS sin_gas, COUNT(*) - COUNT(VALIDEZ) AS sin_validez
+             FROM v_air) c""",
 )
 def _(inputs: Inputs):
-    return quality.schema_drift(
-        inputs.view("v_air"), quality.CONTRACT["fact_calidad_aire"]
-    ).select("columna", "tipo_real", "tipo_acordado")
+    return quality.contract_report(inputs.view("v_air"), quality.CONTRACT["fact_calidad_aire"])
 
 
 @check(

@@ -15,9 +15,14 @@ from sensoria.catalogs import (
 )
 
 
+def _no_data(value: Column) -> Column:
+    """NULL or not a number, which Spark would place above all bands."""
+    return value.isNull() | F.isnan(value.cast("double"))
+
+
 def color_of(value: Column, variable: str) -> Column:
     """Colour of a value of one variable that is known when the plan is built."""
-    color = F.when(value.isNull(), COLOR_NO_DATA)
+    color = F.when(_no_data(value), COLOR_NO_DATA)
     for name, lo, hi, band in COLOR_BANDS:
         if name == variable:
             inside = value >= lo if hi is None else (value >= lo) & (value < hi)
@@ -40,7 +45,7 @@ def color_band(df: DataFrame, variable: str, value: str, name: str = "color") ->
         & (F.col(value) >= F.col("lo"))
         & (F.col("hi").isNull() | (F.col(value) < F.col("hi")))
     )
-    color = F.when(F.col(value).isNull(), COLOR_NO_DATA).otherwise(
+    color = F.when(_no_data(F.col(value)), COLOR_NO_DATA).otherwise(
         F.coalesce(F.col("color"), F.lit(COLOR_OUT_OF_BANDS))
     )
     return df.join(bands, in_band, "left").select(

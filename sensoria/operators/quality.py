@@ -96,6 +96,29 @@ def schema_drift(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     )
 
 
+def contract_report(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
+    """Every column of the table or the contract: both types, rows and NULLs.
+
+    Rows and NULLs come from one aggregation over the table; they are NULL for columns that
+    the table lacks.
+    """
+    rows = F.count(F.lit(1))
+    counts = [
+        F.struct(F.lit(name).alias("columna"), rows.alias("filas"), F.count_if(F.col(f"`{name}`").isNull()).alias("nulos"))
+        for name in df.columns
+    ]
+    counted = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    spark = df.sparkSession
+    names = sorted({*df.columns, *contract})
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    every = literal_table(
+        spark,
+        [(name, types.get(name), contract.get(name)) for name in names],
+        "columna string, tipo_real string, tipo_acordado string",
+    )
+    return every.join(counted, "columna", "left")
+
+
 def require_none(violations: DataFrame, message: str) -> None:
     """Raise with a few examples when a check found something."""
     examples = violations.take(5)

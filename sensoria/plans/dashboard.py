@@ -101,7 +101,7 @@ def year_options(
     if not variable or not district:
         return every
     periods = _periods(tables, domain, variable, district)
-    return first_non_empty(periods.select("anio").distinct(), every)
+    return first_non_empty(periods.select("anio").distinct(), every).orderBy("anio")
 
 
 def month_options(
@@ -116,7 +116,7 @@ def month_options(
         return every
     periods = _periods(tables, domain, variable, district)
     of_year = periods.filter(F.col("anio") == F.lit(int(year))).select("mes")
-    return first_non_empty(of_year, every)
+    return first_non_empty(of_year, every).orderBy("mes")
 
 
 # Values of either domain.
@@ -294,12 +294,14 @@ def history_plus_forecast(real: DataFrame, forecast: DataFrame) -> DataFrame:
     last = real.agg(
         F.max("fecha").alias("fecha"), F.max_by("dato", "fecha").alias("valor")
     ).filter(F.col("fecha").isNotNull())
+    place = F.array_position(F.lit(["real", "puente", "predicho"]), F.col("kind"))
     return (
         real.select("fecha", F.col("dato").alias("valor"), F.lit("real").alias("kind"))
         .unionByName(last.withColumn("kind", F.lit("puente")))
         .unionByName(
             forecast.select("fecha", "valor", F.lit("predicho").alias("kind"))
         )
+        .orderBy(place, "fecha")
     )
 
 
@@ -308,9 +310,10 @@ def longest_runs(runs: DataFrame) -> DataFrame:
     named = runs.select(
         "run", run_gas(F.col("run")).alias("gas"), run_months(F.col("run")).alias("meses")
     ).filter(F.col("gas").isNotNull())
-    return named.groupBy("gas").agg(
+    longest = named.groupBy("gas").agg(
         F.max("meses").alias("meses"), F.max_by("run", "meses").alias("run")
     )
+    return longest.orderBy("gas")
 
 
 def forecast_stations(predictions: DataFrame, gas: str) -> DataFrame:

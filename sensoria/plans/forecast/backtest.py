@@ -78,7 +78,9 @@ def backtest_predictions(rows: DataFrame, models: Mapping[str, Model]) -> DataFr
             "modelo", F.lit(name)
         )
         predictions = part if predictions is None else predictions.unionByName(part)
-    return actual.join(predictions, [*FOLD_DOMAIN, "estacion", "cod_dis", "fecha"]).select(
+    # stations outside every district have no cod_dis; they count like all others
+    predictions = predictions.drop("cod_dis")
+    return actual.join(predictions, [*FOLD_DOMAIN, "estacion", "fecha"]).select(
         "gas", "modelo", "fold", "estacion", "cod_dis", "fecha", "dato", "yhat"
     )
 

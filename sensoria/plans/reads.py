@@ -33,6 +33,11 @@ def _of_gas(air: DataFrame, gas: str) -> DataFrame:
     return valid_only(air).filter(F.col("MAGNITUD") == F.lit(gas))
 
 
+def _read_at(readings: DataFrame, sensors: DataFrame, sensor: str) -> DataFrame:
+    """Readings of the given sensors only, so that others are not aggregated and shuffled."""
+    return readings.join(sensors.select(sensor), sensor, "left_semi")
+
+
 def _in_district(sensors: DataFrame, district: str) -> DataFrame:
     return sensors.filter(F.col("COD_DIS") == F.lit(str(district)))
 
@@ -115,9 +120,10 @@ def district_monthly_traffic(
 def daily_air_by_district(
     air: DataFrame, sensors: DataFrame, gas: str, district: str
 ) -> DataFrame:
+    chosen = _in_district(sensors, district)
     return mean_by_attribute(
-        _of_gas(air, gas),
-        _in_district(sensors, district),
+        _read_at(_of_gas(air, gas), chosen, "ID_AIRE"),
+        chosen,
         "ID_AIRE",
         "DATO",
         periods=[F.to_date("FECHA").alias("dia")],
@@ -129,9 +135,10 @@ def daily_traffic_by_district_noon(
     traffic: DataFrame, points: DataFrame, variable: str, district: str
 ) -> DataFrame:
     """Daily mean over the readings taken within the noon hour."""
+    chosen = _in_district(points, district)
     return mean_by_attribute(
-        traffic.filter(F.hour("FECHA") == 12),
-        _in_district(points, district),
+        _read_at(traffic.filter(F.hour("FECHA") == 12), chosen, "ID_TRAFICO"),
+        chosen,
         "ID_TRAFICO",
         traffic_variable(variable),
         periods=[F.to_date("FECHA").alias("dia")],
@@ -145,9 +152,10 @@ def daily_traffic_by_district_noon(
 def air_variables_by_district(
     air: DataFrame, sensors: DataFrame, district: str
 ) -> DataFrame:
+    chosen = _in_district(sensors, district)
     return distinct_by_attribute(
-        valid_only(air),
-        _in_district(sensors, district),
+        _read_at(valid_only(air), chosen, "ID_AIRE"),
+        chosen,
         "ID_AIRE",
         ["MAGNITUD"],
         ["MAGNITUD"],
@@ -164,9 +172,10 @@ def air_periods(
     air: DataFrame, sensors: DataFrame, gas: str, district: str
 ) -> DataFrame:
     """Months with a valid reading as (anio, mes)."""
+    chosen = _in_district(sensors, district)
     return distinct_by_attribute(
-        _of_gas(air, gas),
-        _in_district(sensors, district),
+        _read_at(_of_gas(air, gas), chosen, "ID_AIRE"),
+        chosen,
         "ID_AIRE",
         [F.year("FECHA").alias("anio"), F.month("FECHA").alias("mes")],
         ["anio", "mes"],
@@ -182,12 +191,10 @@ def traffic_periods(
     :func:`traffic_periods_exact` for those with data only.
     """
     traffic_variable(variable)
-    spans = traffic.groupBy("ID_TRAFICO").agg(
-        F.min("FECHA").alias("f0"), F.max("FECHA").alias("f1")
-    )
+    chosen = _in_district(points, district)
     span = (
-        spans.join(_in_district(points, district), "ID_TRAFICO")
-        .agg(F.min("f0").alias("f0"), F.max("f1").alias("f1"))
+        _read_at(traffic, chosen, "ID_TRAFICO")
+        .agg(F.min("FECHA").alias("f0"), F.max("FECHA").alias("f1"))
         .filter(F.col("f0").isNotNull())
     )
     months = span.select(
@@ -205,9 +212,10 @@ def traffic_periods_exact(
 ) -> DataFrame:
     """Months with at least one value of the variable in a district."""
     rows = traffic.filter(F.col(traffic_variable(variable)).isNotNull())
+    chosen = _in_district(points, district)
     return distinct_by_attribute(
-        rows,
-        _in_district(points, district),
+        _read_at(rows, chosen, "ID_TRAFICO"),
+        chosen,
         "ID_TRAFICO",
         [F.year("FECHA").alias("anio"), F.month("FECHA").alias("mes")],
         ["anio", "mes"],

@@ -163,3 +163,14 @@ def test_date_coverage_shows_gaps(spark):
     )
     row = rollups.date_coverage(df).first()
     assert (row.dias_con_dato, row.dias_del_rango, row.filas) == (2, 5, 3)
+
+
+def test_not_a_number_is_no_data(spark):
+    from pyspark.sql import functions as F
+
+    from sensoria.catalogs import COLOR_NO_DATA
+    from sensoria.operators.bands import color_band, color_of
+
+    df = spark.createDataFrame([("NO2", float("nan")), ("NO2", None)], "v string, x double")
+    assert {r.color for r in color_band(df, "v", "x").collect()} == {COLOR_NO_DATA}
+    assert {r.c for r in df.select(color_of(F.col("x"), "NO2").alias("c")).collect()} == {COLOR_NO_DATA}

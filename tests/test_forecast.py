@@ -209,3 +209,16 @@ def test_run_refuses_bad_requests(spark, hist):
         rn.run_forecast(
             brief, gas_table(spark), ["NO2"], 1, {"seasonal_naive": md.seasonal_naive}
         )
+
+
+def test_stations_outside_every_district_count_in_the_backtest(spark):
+    from sensoria.plans.forecast.backtest import backtest_predictions
+    from sensoria.plans.forecast.models import seasonal_naive
+
+    days = spark.sql(
+        "SELECT 'NO2' AS gas, 1L AS estacion, CAST(NULL AS STRING) AS cod_dis, "
+        "explode(sequence(DATE'2024-01-01', DATE'2024-06-30')) AS fecha"
+    ).selectExpr("*", "CAST(day(fecha) AS DOUBLE) AS dato", "0 AS fold", "weekday(fecha) AS dow")
+    role = "CASE WHEN fecha < DATE'2024-06-01' THEN 'train' ELSE 'test' END AS rol"
+    found = backtest_predictions(days.selectExpr("*", role), {"naive": seasonal_naive})
+    assert found.count() == 30

@@ -163,3 +163,15 @@ def test_a_hot_station_is_split_in_the_row_level_join(spark, skewed, tmp_path):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_one_district_reads_are_cut_below_the_aggregation(spark):
+    from sensoria.plans import reads
+
+    air = spark.createDataFrame([], "ID_AIRE int, FECHA timestamp, MAGNITUD string, VALIDEZ string, DATO double")
+    stations = spark.createDataFrame([], "ID_AIRE int, COD_DIS string")
+    plan = reads.daily_air_by_district(air, stations, "NO2", "19")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert any("Aggregate" in line for line in lines[:semi])
+    assert not any("Aggregate" in line for line in lines[semi:])
