@@ -25,7 +25,7 @@ from sensoria.plans.forecast.features import (
     train_rows,
 )
 from sensoria.plans.forecast.models import MODELS, Model
-from sensoria.session import configure, cut_lineage
+from sensoria.session import configure, cut_lineage, staging
 from sensoria.sources.tables import Lakehouse
 
 
@@ -167,10 +167,11 @@ def write_forecast(
 def main(root: str, months: str = "2", names: str = "NO2,O3") -> None:
     lake = Lakehouse(configure(SparkSession.builder.getOrCreate()), root)
     gases = [name.strip() for name in names.split(",") if name.strip()]
-    published, metrics = run_forecast(
-        lake.gold("fact_calidad_aire"), lake.gold("dim_magnitud"), gases, checked_months(months)
-    )
-    write_forecast(published, metrics, checked_months(months), lake.path("gold", "ml"))
+    with staging(lake.spark):
+        published, metrics = run_forecast(
+            lake.gold("fact_calidad_aire"), lake.gold("dim_magnitud"), gases, checked_months(months)
+        )
+        write_forecast(published, metrics, checked_months(months), lake.path("gold", "ml"))
 
 
 if __name__ == "__main__":

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -79,14 +80,36 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/sensoria/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block at its end.
+
+    Results have to be written inside the block: they may read staged tables.
+    """
+    _STAGED.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for folder in _STAGED.pop():
+            place = context._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The result written to the shared folder and read back, for use by several jobs.
 
     Parquet rather than a row checkpoint: later jobs still prune columns, skip row
-    groups and know the table's size.  The files outlive any executor.
+    groups and know the table's size.  The files outlive any executor; :func:`staging`
+    removes them after the last write.
     """
     spark = df.sparkSession
     folder = new_folder(spark, "stage")
+    if _STAGED:
+        _STAGED[-1].append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -199,3 +199,17 @@ def test_forecast_command_needs_enough_history(lake):
         run.main(lake.root, "1", "O3")
     with pytest.raises(ValueError, match="within"):
         run.main(lake.root, "13")
+
+
+def test_staged_tables_go_after_the_last_write(spark, tmp_path):
+    import os
+
+    from sensoria.session import cut_lineage, staging
+
+    with staging(spark):
+        staged = cut_lineage(spark.range(5))
+        path = staged.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        staged.write.parquet(str(tmp_path / "out"))
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
