@@ -226,10 +226,23 @@ def _(inputs: Inputs):
     return md.seasonal_ar(train, future, GAS)
 
 
-@check("gbt_global")
+@check(
+    "gbt_global",
+    f"""SELECT gas, COUNT(*) AS filas, COUNT(*) AS finitas,
+               COUNT(DISTINCT estacion) AS estaciones, MIN(fecha) AS desde, MAX(fecha) AS hasta
+        FROM {_FUTURE} GROUP BY gas""",
+)
 def _(inputs: Inputs):
     train, future = _split(inputs)
-    return md.gradient_boosting(maxIter=10)(train, future, GAS)
+    predicted = md.gradient_boosting(maxIter=10)(train, future, GAS)
+    finite = F.abs("yhat") < float("inf")
+    return predicted.groupBy("gas").agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(finite).alias("finitas"),
+        F.countDistinct("estacion").alias("estaciones"),
+        F.min("fecha").alias("desde"),
+        F.max("fecha").alias("hasta"),
+    )
 
 
 _FOLDS = """

@@ -12,7 +12,9 @@ catalogue times backtest folds.  Tables per station are left to the optimizer.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
@@ -198,12 +200,16 @@ def seasonal_ar(
     )
 
 
+#: Fits that run side by side; each is a series of small jobs.
+PARALLEL_FITS = 4
+
+
 def gradient_boosting(**overrides) -> Model:
     """Boosted trees over the legal features, one distributed fit per domain.
 
     The only model that needs the driver to iterate: it learns the list of domains
-    (a handful of gases and folds) and fits them one after the other, each fit
-    running over all executors.
+    (a handful of gases and folds) and fits a few of them at a time, each fit
+    running over all executors on its own training rows, cached until it is done.
     """
     settings = {**GBT_SETTINGS, **overrides}
 
@@ -212,14 +218,24 @@ def gradient_boosting(**overrides) -> Model:
         learner = GBTRegressor(
             labelCol="dato", featuresCol="features", predictionCol="yhat", **settings
         )
-        predictions = None
-        for row in train.select(*domain).distinct().orderBy(*domain).toLocalIterator():
+
+        def fitted(row) -> DataFrame:
             own = F.lit(True)
             for name in domain:
                 own = own & F.col(name).eqNullSafe(F.lit(row[name]))
-            fitted = learner.fit(assembler.transform(train.filter(own)))
-            part = fitted.transform(assembler.transform(future.filter(own)))
-            part = part.select(*_keys(domain), "yhat")
+            rows = assembler.transform(train.filter(own)).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                model = learner.fit(rows)
+            finally:
+                rows.unpersist()
+            part = model.transform(assembler.transform(future.filter(own)))
+            return part.select(*_keys(domain), "yhat")
+
+        found = train.select(*domain).distinct().orderBy(*domain).collect()
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            parts = list(pool.map(fitted, found))
+        predictions = None
+        for part in parts:
             predictions = part if predictions is None else predictions.unionByName(part)
         if predictions is None:
             predictions = future.select(
