@@ -24,6 +24,7 @@ encoded one by one; columns of the input are kept, the result's names win.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -49,12 +50,18 @@ class Transducer:
     byte_ids: list[int]
     unknown: int
     merges: bool
-    longest: int
     pieces: list[str] = field(repr=False)
     limit: int = 300_000
+    prefixes: dict[str, float | None] = field(init=False, repr=False)
     _adjacent: dict = field(default_factory=dict, repr=False)
+    _history: dict = field(default_factory=dict, repr=False)
     _solved: dict = field(default_factory=dict, repr=False)
 
+    def __post_init__(self) -> None:
+        # the lexicon as a trie: prefixes of pieces, with the cost where a piece ends
+        self.prefixes = dict.fromkeys(piece[:n] for piece in self.costs for n in range(1, len(piece)))
+        self.prefixes.update(self.costs)
+
     def adjacent(self, left: str, right: str) -> bool:
         """Whether merging ``left + right`` by rank leaves a border between the two."""
         key = (left, right)
@@ -65,18 +72,42 @@ class Transducer:
             found = self._adjacent[key] = not self.merges or self._border(left, right)
         return found
 
-    def _border(self, left: str, right: str) -> bool:
-        parts, costs = list(left + right), self.costs
+    def _merging(self, piece: str) -> list[tuple[float, str, str]]:
+        """States while a piece's characters merge by rank: next cost, first and last part."""
+        found = self._history.get(piece)
+        if found is not None:
+            return found
+        parts, costs, states = list(piece), self.costs, []
         while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                cost = costs.get(parts[i] + parts[i + 1])
-                if cost is not None and (best is None or cost < best):
-                    best, at = cost, i
-            if best is None:
+            options = [(costs.get(a + b, math.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
+            cost, at = min(options, default=(math.inf, -1))
+            states.append((cost, parts[0], parts[-1]))
+            if cost == math.inf:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts == [left, right]
+        if len(self._history) > self.limit:
+            self._history.clear()
+        self._history[piece] = states = states if len(parts) == 1 else []
+        return states
+
+    def _border(self, left: str, right: str) -> bool:
+        """Both sides merge on their own until a merge across the border comes first, if ever."""
+        one, other = self._merging(left), self._merging(right)
+        if not one or not other:
+            return False
+        i = j = 0
+        while True:
+            ahead, _, last = one[i]
+            after, first, _ = other[j]
+            across = self.costs.get(last + first, math.inf)
+            if across < ahead and across <= after:  # of equal merges the leftmost goes first
+                return False
+            if ahead == after == math.inf:
+                return True
+            if ahead <= after:
+                i += 1
+            else:
+                j += 1
 
     def shortest(self, part: str) -> tuple[int, ...]:
         """Ids on the cheapest path that reads ``part``.
@@ -84,27 +115,31 @@ class Transducer:
         States are (position, last piece); for merge-ranked models one piece at most can end
         at each position, otherwise the cheapest is kept.
         """
-        size, costs, longest = len(part), self.costs, self.longest
+        size, prefixes, merges, adjacent = len(part), self.prefixes, self.merges, self._adjacent
         reach: list[tuple[float, str | None, int] | None] = [None] * (size + 1)
         reach[0] = (0.0, None, -1)
-        for end in range(1, size + 1):
-            best = None
-            for start in range(max(0, end - longest), end):
-                before = reach[start]
-                if before is None:
-                    continue
+        for start in range(size):
+            before = reach[start]
+            if before is None:
+                continue
+            so_far, last, _ = before
+            for end in range(start + 1, size + 1):
                 piece = part[start:end]
-                cost = costs.get(piece)
+                if piece not in prefixes:
+                    break
+                cost = prefixes[piece]
                 if cost is None:
                     continue
-                total = before[0] + cost
-                if (best is None or total < best[0]) and (before[1] is None or self.adjacent(before[1], piece)):
-                    best = (total, piece, start)
-                    if self.merges:
-                        break
-            if best is None and reach[end - 1] is not None and part[end - 1] not in costs:
-                best = (reach[end - 1][0], None, end - 1)
-            reach[end] = best
+                held = reach[end]
+                if held is not None and (merges or held[0] <= so_far + cost):
+                    continue
+                if last is not None:
+                    fits = adjacent.get((last, piece))
+                    if not (self.adjacent(last, piece) if fits is None else fits):
+                        continue
+                reach[end] = (so_far + cost, piece, start)
+            if reach[start + 1] is None and prefixes.get(part[start]) is None:
+                reach[start + 1] = (so_far, None, start)
         out: list[int] = []
         at = size
         while at > 0:
@@ -174,7 +209,7 @@ def compiled(model_file: str | None = None) -> Transducer:
     merges = all(cost == int(cost) for cost in costs.values())
     return Transducer(
         {pieces[i]: i for i in usual}, costs, byte_ids if len(byte_ids) == 256 else [],
-        model.unk_id(), merges, max(map(len, costs)), pieces,
+        model.unk_id(), merges, pieces,
     )
 
 

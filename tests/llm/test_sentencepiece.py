@@ -25,7 +25,7 @@ def test_ids_are_the_librarys(reference):
 
 def test_cheapest_path_is_the_least_of_all_paths():
     costs = {"a": 2.5, "b": 1.5, "ab": 3.2, "ba": 3.9, "aba": 4.4, "c": 0.5, "bc": 2.2}
-    model = sentencepiece.Transducer({p: i for i, p in enumerate(costs)}, costs, [], 99, False, 3, list(costs))
+    model = sentencepiece.Transducer({p: i for i, p in enumerate(costs)}, costs, [], 99, False, list(costs))
 
     def paths(text):
         if not text:
