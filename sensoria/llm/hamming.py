@@ -1,16 +1,17 @@
 """Exact top-k search on binary codes by incremental multi-index hashing.
 
 A vector's code has one bit for each component: set unless the component is negative.  Codes
-are cut into about as many segments as their bits hold logarithms of the number of codes.
-If two codes differ in at most ``segments * (r + 1) - 1`` bits, some segment differs in at
-most r.  So round r looks, in every segment's index, for the values at distance exactly r
-from the query's; what is found is verified on whole codes.  A query is finished as soon as
-its k-th verified distance is covered by the radius searched so far; only the others go on.
-
-Equal codes are one index row with its k + 1 smallest ids, limited before the shuffle, so a
-vector that fills a third of the table is one row.  Where the next radius would take more than
-``most_masks`` probes for a segment, the queries still open are compared with all codes, in
-chunks of ``chunk`` queries.
+are dealt into blocks of bounded size, and every block of queries meets every block of codes
+in one task.  There, codes are cut into about as many segments as their bits hold logarithms
+of the block's size, each with an index of its values.  For one query the segment radius r
+grows from 0; for each segment in turn the values at distance exactly r from the query's are
+looked up and what is new is verified on whole codes.  With ``segments`` segments, after
+segment j of radius r every code within ``segments * r + j`` bits has been verified: one
+further away in all segments has at least one bit more.  The query is finished as soon as its
+k-th verified distance is covered.
+
+Equal codes are one code with its k + 1 smallest ids, limited before the shuffle, so a vector
+that fills a third of the table is one row.  The nearest of all blocks are merged by query.
 
 Defined results: neighbours are ordered by distance, then id, and never include the query's
 own row; fewer than k other rows give fewer neighbours.  NULL and empty vectors and NULL ids
@@ -20,14 +21,14 @@ as not negative.  Repeated ids are one row each (all of a query's own id are lef
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
-from math import comb, log2
+from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensoria.session import cut_lineage
@@ -35,10 +36,12 @@ from sensoria.session import cut_lineage
 
 @dataclass
 class Settings:
+    """``block_codes`` and ``block_queries`` bound what meets in one task."""
+
     k: int = 10
     query_modulus: int = 50
-    most_masks: int = 20_000
-    chunk: int = 512
+    block_codes: int = 8192
+    block_queries: int = 1024
 
 
 def binary_codes(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
@@ -57,7 +60,7 @@ def binary_codes(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame,
 
 def segments(bits: int, codes: int) -> list[tuple[int, int]]:
     """First bit and width of each segment; a segment lies within one word."""
-    wide = min(24, max(4, round(log2(max(codes, 2)))))
+    wide = min(16, max(4, round(log2(max(codes, 2)))))
     out = []
     for start in range(0, bits, 64):
         size = min(64, bits - start)
@@ -67,46 +70,68 @@ def segments(bits: int, codes: int) -> list[tuple[int, int]]:
     return out
 
 
-def _value(code: Column, first: int, width: int) -> Column:
-    word = F.shiftrightunsigned(F.get(code, F.lit(first // 64)), first % 64)
-    return word if width == 64 else word.bitwiseAND(F.lit((1 << width) - 1))
-
-
-def _distance(a: Column, b: Column, words: int) -> Column:
-    total = F.lit(0)
-    for i in range(words):
-        total = total + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
-    return total
-
-
-def _masks(width: int, radius: int) -> list[int]:
-    return [sum(1 << i for i in places) for places in combinations(range(width), radius)]
-
-
-def _flipped(value: Column, masks: list[int]) -> Column:
-    """The value with each mask's bits flipped."""
-    return F.transform(F.lit(masks).cast("array<bigint>"), lambda mask: mask.bitwiseXOR(value))
-
-
 def _smallest(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
     """The first n rows of each group; Spark limits groups before the shuffle."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return rows.withColumn("_place", place).where(F.col("_place") <= n)
 
 
-def _merge(best: DataFrame | None, found: DataFrame, n: int) -> DataFrame:
-    """The n nearest codes of each query; the n nearest rows are always among their members."""
-    both = found if best is None else best.unionByName(found)
-    once = both.groupBy("query", "code_id").agg(F.min("distance").alias("distance"), F.min("members").alias("members"))
-    return _smallest(once, "query", ["distance", "code_id"], n).drop("_place")
-
-
-def _finished(best: DataFrame, n: int, covered: int) -> DataFrame:
-    """Queries whose n-th row lies within the covered distance."""
-    return (
-        best.where(F.col("distance") <= covered).groupBy("query").agg(F.sum("members").alias("rows"))
-        .where(F.col("rows") >= n).select("query")
-    )
+@functools.lru_cache(maxsize=512)
+def _masks(width: int, radius: int) -> np.ndarray:
+    """All values of so many bits with so many ones."""
+    values = np.arange(1 << width, dtype=np.uint64)
+    return values[np.bitwise_count(values) == radius]
+
+
+class MultiIndex:
+    """Indexes of one block of codes (codes x words) by segment."""
+
+    def __init__(self, codes: np.ndarray, ids: np.ndarray, members: np.ndarray, bits: int):
+        self.codes, self.ids, self.members, self.bits = codes, ids, members, bits
+        self.parts = segments(bits, len(codes))
+        self.tables = []
+        for first, width in self.parts:
+            value = self._segment(codes, first, width).astype(np.int64)
+            edges = np.concatenate([[0], np.cumsum(np.bincount(value, minlength=1 << width))])
+            self.tables.append((np.argsort(value, kind="stable"), edges))
+
+    @staticmethod
+    def _segment(codes: np.ndarray, first: int, width: int) -> np.ndarray:
+        return (codes[..., first // 64] >> np.uint64(first % 64)) & np.uint64((1 << width) - 1)
+
+    def search(self, query: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and distances of the codes that hold the n nearest rows, ties by id."""
+        seen = np.zeros(len(self.codes), bool)
+        near = np.zeros(self.bits + 1)  # verified rows by distance
+        places, distances = [], []
+        wanted = min(n, int(self.members.sum()))
+        last = self.bits
+        for radius in range(max(width for _, width in self.parts) + 1):
+            for j, (first, width) in enumerate(self.parts):
+                if radius <= width:
+                    order, edges = self.tables[j]
+                    value = (self._segment(query, first, width) ^ _masks(width, radius)).astype(np.int64)
+                    size = edges[value + 1] - edges[value]
+                    value, size = value[size > 0], size[size > 0]
+                    at = np.arange(size.sum()) + np.repeat(edges[value] - (np.cumsum(size) - size), size)
+                    found = order[at]
+                    found = found[~seen[found]]
+                    seen[found] = True
+                    distance = np.bitwise_count(self.codes[found] ^ query).sum(axis=1)
+                    near += np.bincount(distance, self.members[found], self.bits + 1)
+                    places.append(found)
+                    distances.append(distance)
+                    last = int(np.searchsorted(np.cumsum(near), wanted))
+                if last <= len(self.parts) * radius + j:
+                    break
+            else:
+                continue
+            break
+        place, distance = np.concatenate(places), np.concatenate(distances)
+        kept = distance <= last
+        place, distance = place[kept], distance[kept]
+        best = np.lexsort((self.ids[place], distance))[:n]
+        return place[best], distance[best].astype(np.int32)
 
 
 def top_k(
@@ -119,44 +144,28 @@ def top_k(
     coded, bits = binary_codes(vectors, key, vector)
     if not bits:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, neighbour_id long, distance int")
-    words = -(-bits // 64)
     members = cut_lineage(_smallest(coded, "code", ["id"], n))
     codes = cut_lineage(
         members.groupBy("code").agg(F.min("id").alias("code_id"), F.count("*").cast("int").alias("members"))
     )
-    parts = segments(bits, codes.count())
-    asked = queries.where(F.col(key).isNotNull() & (F.size(vector) > 0)).select(F.col(key).cast("long").alias("query"))
-    asked = cut_lineage(coded.join(asked.distinct(), F.col("id") == F.col("query"), "left_semi")
-                        .select(F.col("id").alias("query"), "code").distinct())
-    index = cut_lineage(codes.select(
-        F.posexplode(F.array(*[_value(F.col("code"), a, w) for a, w in parts])).alias("segment", "value"),
-        F.col("code").alias("other"), "code_id", "members",
+    asked = queries.where(F.col(key).isNotNull() & (F.size(vector) > 0)).select(F.col(key).cast("long").alias("id"))
+    asked = cut_lineage(coded.join(asked.distinct(), "id", "left_semi").select("id", "code").distinct())
+    code_blocks = max(1, -(-codes.count() // s.block_codes))
+    query_blocks = max(1, -(-asked.count() // s.block_queries))
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    own = lambda name, count: F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
+    dealt = codes.select(
+        own("code_id", code_blocks).alias("block"), every(query_blocks).alias("asking"), F.lit(0).alias("role"),
+        F.col("code_id").alias("id"), "code", "members",
+    ).unionAll(asked.select(
+        every(code_blocks).alias("block"), own("id", query_blocks).alias("asking"), F.lit(1).alias("role"),
+        "id", "code", F.lit(0).alias("members"),
     ))
-    best, open_queries = None, asked
-    widest = max(w for _, w in parts)
-    radius = 0
-    while radius <= widest and comb(widest, radius) <= s.most_masks:
-        probes = None
-        for number, (first, width) in enumerate(parts):
-            masks = _masks(width, radius)
-            if not masks:
-                continue
-            part = open_queries.select(
-                "query", "code", F.lit(number).alias("segment"),
-                F.explode(_flipped(_value(F.col("code"), first, width), masks)).alias("value"),
-            )
-            probes = part if probes is None else probes.unionAll(part)
-        found = probes.join(index, ["segment", "value"]).select(
-            "query", "code_id", _distance(F.col("code"), F.col("other"), words).alias("distance"), "members"
-        )
-        best = cut_lineage(_merge(best, found, n))
-        done = _finished(best, n, len(parts) * (radius + 1) - 1)
-        open_queries = cut_lineage(open_queries.join(done, "query", "left_anti"))
-        radius += 1
-        if open_queries.isEmpty():
-            break
-    else:
-        best = cut_lineage(_merge(best, _scanned(open_queries, codes, words, n, s.chunk), n))
+    ordered = dealt.repartition("block", "asking").sortWithinPartitions("block", "asking", "role", "id")
+    found = ordered.mapInArrow(
+        lambda batches: _searched(batches, n, bits), "query long, code_id long, distance int"
+    )
+    best = _smallest(found, "query", ["distance", "code_id"], n).drop("_place")
     rows = best.join(members.join(codes.select("code", "code_id"), "code").select("code_id", "id"), "code_id")
     near = _smallest(rows.where(F.col("id") != F.col("query")), "query", ["distance", "id"], s.k)
     return near.select(
@@ -164,40 +173,30 @@ def top_k(
     )
 
 
-def _scanned(open_queries: DataFrame, codes: DataFrame, words: int, n: int, chunk: int) -> DataFrame:
-    """Open queries against all codes: a chunk of queries at a time meets every partition."""
-    spark = codes.sparkSession
-    schema = "query long, code_id long, distance int, members int"
-    out = spark.createDataFrame([], schema)
-    held: list = []
-
-    def compare(rows: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(
-            (np.array([r["query"] for r in rows], np.int64), np.array([r["code"] for r in rows], np.int64))
-        )
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names, asked = shared.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                other = np.array(batch.column(0).to_pylist(), np.int64)
-                ids, members = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-                for name, code in zip(names, asked, strict=True):
-                    distance = np.bitwise_count((other ^ code).view(np.uint64)).sum(axis=1).astype(np.int32)
-                    near = np.lexsort((ids, distance))[:n]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(near), name)), pa.array(ids[near]), pa.array(distance[near]), pa.array(members[near])],
-                        ["query", "code_id", "distance", "members"],
-                    )
-
-        return cut_lineage(codes.select("code", "code_id", "members").mapInArrow(run, schema))
-
-    for row in open_queries.toLocalIterator():
-        held.append(row)
-        if len(held) == chunk:
-            out, held = _merge(out, compare(held), n), []
-    return _merge(out, compare(held), n) if held else out
+def _searched(batches: Iterator[pa.RecordBatch], n: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Nearest codes of each block pair: its codes come first, then its queries."""
+    pair, held, index = None, [], None
+    for batch in batches:
+        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        roles, ids, members = (batch.column(i).to_numpy() for i in (2, 3, 5))
+        codes = np.array(batch.column(4).to_pylist(), np.int64).view(np.uint64)
+        out: list[tuple] = []
+        for i, key in enumerate(keys):
+            if key != pair:
+                pair, held, index = key, [], None
+            if roles[i] == 0:
+                held.append((codes[i], ids[i], members[i]))
+                continue
+            if not held and index is None:
+                continue
+            if index is None:
+                index = MultiIndex(*[np.array(column) for column in zip(*held, strict=True)], bits)
+                held = []
+            place, distance = index.search(codes[i], n)
+            out.append((np.full(len(place), ids[i]), index.ids[place], distance))
+        if out:
+            columns = [pa.array(np.concatenate(column)) for column in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["query", "code_id", "distance"])
 
 
 def op3_hamming(spark, folder: str) -> DataFrame:

@@ -28,8 +28,8 @@ def found_by(spark, rows, asked, s):
     return sorted((r.query_id, r["rank"], r.neighbour_id, r.distance) for r in result.collect())
 
 
-@pytest.mark.parametrize("masks", [20_000, 40])  # with 40, open queries are compared with all codes
-def test_equals_brute_force(spark, masks):
+@pytest.mark.parametrize("block", [8192, 40])  # with 40, many blocks of codes and queries meet
+def test_equals_brute_force(spark, block):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((5, 70))
     rows = []
@@ -39,7 +39,7 @@ def test_equals_brute_force(spark, masks):
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # one vector many times
     rows += [(2000, None), (2001, []), (2002, [1.0, None, float("nan")]), (None, rows[1][1])]
     asked = [0, 50, 100, 151, 1000, 2000, 2001, 2002]
-    found = found_by(spark, [(*r, "x", "y", 1) for r in rows], asked, hamming.Settings(k=7, most_masks=masks, chunk=3))
+    found = found_by(spark, [(*r, "x", "y", 1) for r in rows], asked, hamming.Settings(k=7, block_codes=block, block_queries=3))
     assert found == nearest(rows, asked, 7)
 
 
