@@ -8,21 +8,14 @@ and read again as the next stage's input.  All stages but the last return the co
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sensoria.llm import language, line_dedup, minhash, packing, toxicity
 from sensoria.session import configure, cut_lineage
 
-#: Score from which a document counts as toxic.
-TOXIC = 0.3
-
-
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network does not reject; it learns from the labelled ones among them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.train(docs, labels)
-    marked = toxicity.score(docs.withColumn("_text", F.col("text")), model, "_text")
-    return marked.where(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.keep_harmless(docs, toxicity.train(docs, labels))
 
 
 def of_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

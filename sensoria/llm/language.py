@@ -14,12 +14,12 @@ scored whatever their length.  Columns of the input are kept; the result's names
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensoria.llm.words import WordTable, byte_grams, raw, small_batches, sum_by_text
@@ -164,10 +164,9 @@ def train(
     return fit([item for group in picked.values() for item in group], settings)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``ambiguous`` for every whole text."""
-    spark = small_batches(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+def verdict(spark: SparkSession, model: Model):
+    """Function of a text column: struct of ``lang_pred``, ``score`` and ``ambiguous``."""
+    shared = small_batches(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -190,17 +189,32 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 ["lang_pred", "score", "ambiguous"],
             )
 
+    return judge
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``ambiguous`` for every whole text."""
+    judge = verdict(docs.sparkSession, model)
     return with_struct(docs, judge(F.col(text)), ["lang_pred", "score", "ambiguous"])
 
 
 def with_struct(docs: DataFrame, result: Column, names: list[str]) -> DataFrame:
     """``docs`` plus the fields of a struct; fields replace input columns of their name."""
+    held = "_result"
+    while held in docs.columns:
+        held += "_"
     kept = [F.col(f"`{name}`") for name in docs.columns if name not in names]
-    return docs.select(*kept, result.alias("_result")).select(
-        *kept, *[F.col(f"_result.{name}").alias(name) for name in names]
+    return docs.select(*kept, result.alias(held)).select(
+        *kept, *[F.col(f"{held}.{name}").alias(name) for name in names]
     )
 
 
+def kept_by(docs: DataFrame, judged: Column, keep: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose verdict passes; columns stay as they are, whatever their names."""
+    rows = docs.select(F.struct("*").alias("row"), judged.alias("verdict"))
+    return rows.where(keep(F.col("verdict"))).select("row.*")
+
+
 def remainder(modulus: int, key: str = "doc_id") -> Column:
     """crc32 of the key's text, modulo a number."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
@@ -208,12 +222,10 @@ def remainder(modulus: int, key: str = "doc_id") -> Column:
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Documents of a known language: neither ``und`` nor ambiguous; columns as they were."""
-    judged = identify(docs.withColumn("_text", F.col(text)), model, "_text")
-    good = judged.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
-    own = [name for name in ("lang_pred", "score", "ambiguous") if name in docs.columns]
-    if own:
-        raise ValueError(f"columns {own} clash with the decision's columns")
-    return good.select(*docs.columns)
+    judge = verdict(docs.sparkSession, model)
+    return kept_by(
+        docs, judge(F.col(text)), lambda found: (found["lang_pred"] != UNKNOWN) & ~found["ambiguous"]
+    )
 
 
 def op4_language(spark, folder: str) -> DataFrame:

@@ -21,13 +21,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensoria.llm.language import remainder, with_struct
+from sensoria.llm.language import kept_by, remainder, with_struct
 from sensoria.llm.words import WordTable, byte_grams, hash_words, raw, small_batches
 
 ORDERS = (3, 5)
+_CHUNK = 20_000
 _EDGES = b".,;:!?|\"'()[]{}<>#$%&*-_+=~`/\\"
 FIXED = 3  # log odds: word, mean n-gram, largest n-gram
 
@@ -36,8 +37,8 @@ FIXED = 3  # log odds: word, mean n-gram, largest n-gram
 class Settings:
     """``positives`` and ``negatives`` bound the training sample; the rest is the network."""
 
-    positives: int = 900
-    negatives: int = 2100
+    positives: int = 700
+    negatives: int = 1300
     window: int = 32
     stride: int = 16
     hidden: int = 8
@@ -74,11 +75,23 @@ class Model:
 def _parts(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word bucket of each word, punctuation at its edges aside; (word, bucket) of all its
     n-grams in word order."""
-    bucket = (hash_words([word.strip(_EDGES) or word for word in words]) >> np.uint64(64 - s.word_bits)).astype(np.int64)
-    found = [byte_grams(words, order, s.gram_bits) for order in ORDERS]
-    owner, gram = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-    order = np.argsort(owner, kind="stable")
-    return bucket, owner[order], gram[order]
+    bucket = (hash_words([word.strip(_EDGES) or word for word in words]) >> np.uint64(64 - s.word_bits)).astype(np.int32)
+    owners, grams = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for first in range(0, len(words), _CHUNK):
+        found = [byte_grams(words[first : first + _CHUNK], order, s.gram_bits) for order in ORDERS]
+        owner = np.concatenate([f[0] for f in found])
+        order = np.argsort(owner, kind="stable")
+        owners.append((owner[order] + first).astype(np.int32))
+        grams.append(np.concatenate([f[1] for f in found])[order].astype(np.int32))
+    return bucket, np.concatenate(owners), np.concatenate(grams)
+
+
+def _chunks(parts):
+    """The same for some words at a time, to bound what is unfolded at once."""
+    bucket, owner, gram = parts
+    for first in range(0, len(bucket), _CHUNK):
+        a, b = np.searchsorted(owner, [first, first + _CHUNK])
+        yield bucket[first : first + _CHUNK], owner[a:b] - first, gram[a:b]
 
 
 def _spread(owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +100,11 @@ def _spread(owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return number, number > 0
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places start, start + 1, ... of runs laid one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _log_odds(yes: np.ndarray, no: np.ndarray, share: float, s: Settings) -> np.ndarray:
     a = s.smoothing
     return np.log((yes + a * share) / (no + a * (1 - share)) * (1 - share) / share).astype(np.float32)
@@ -133,7 +151,7 @@ def _places(flat: np.ndarray, first: np.ndarray, size: np.ndarray, s: Settings,
     if not len(flat):
         return np.full(there.shape, pad, np.int64), there
     at = np.minimum(first[:, None] + step[None], len(flat) - 1)
-    return np.where(there, flat[at], pad), there
+    return np.where(there, flat[at], pad).astype(np.int32), there
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -261,44 +279,38 @@ def fit(rows: list[tuple[int, bytes | None]], s: Settings) -> Model:
     words = list(table.index)
     parts = _parts(words, s) if words else (np.zeros(0, np.int64),) * 3
     bucket, owner, gram = parts
-    seen = np.unique(np.repeat(np.arange(len(rows)), lengths) * max(1, len(words)) + flat)
-    text_of, word_of = seen // max(1, len(words)), seen % max(1, len(words))
     number, _ = _spread(owner, len(words))
     starts = np.cumsum(number) - number
-    counts = {}
-    for name, bits in (("word", s.word_bits), ("gram", s.gram_bits)):
-        if name == "word":
-            pair = np.unique(text_of << bits | bucket[word_of])
-        else:
-            reach = np.repeat(starts[word_of], number[word_of])
-            within = np.arange(len(reach)) - np.repeat(np.cumsum(number[word_of]) - number[word_of], number[word_of])
-            pair = np.unique(np.repeat(text_of, number[word_of]) << bits | gram[reach + within])
-        label = truth[pair >> bits]
-        place = pair & ((1 << bits) - 1)
-        counts[name] = (np.bincount(place, label, 1 << bits), np.bincount(place, 1 - label, 1 << bits))
+    counts = {k: np.zeros((2, 1 << bits), np.int32) for k, bits in (("word", s.word_bits), ("gram", s.gram_bits))}
+    ends = np.cumsum(lengths)
+    for i, label in enumerate(truth.astype(int)):  # texts that hold a word or n-gram, by label
+        used = np.unique(flat[ends[i] - lengths[i] : ends[i]])
+        counts["word"][label, np.unique(bucket[used])] += 1
+        counts["gram"][label, np.unique(gram[_ranges(starts[used], number[used])])] += 1
 
     def evidence(less_yes: int, less_no: int) -> Evidence:
         return Evidence(*[
-            _log_odds(np.maximum(counts[k][0] - less_yes, 0), np.maximum(counts[k][1] - less_no, 0), share, s)
+            _log_odds(np.maximum(counts[k][1] - less_yes, 0), np.maximum(counts[k][0] - less_no, 0), share, s)
             for k in ("word", "gram")
         ])
 
     model = Model(s, share, evidence(0, 0), _start(s))
-    # rows of the feature matrix: words as toxic texts see them, as others do, and the pad
     fixed = np.concatenate([
-        _fixed(parts, evidence(1, 0)), _fixed(parts, evidence(0, 1)), np.zeros((1, FIXED), np.float32)
+        *[_fixed(some, known) for known in (evidence(1, 0), evidence(0, 1)) for some in _chunks(parts)],
+        np.zeros((1, FIXED), np.float32),
     ])
     pad = 2 * len(words)
+    inputs = _Inputs(parts, starts, number, fixed)
     version = np.repeat(np.where(truth > 0, 0, len(words)), lengths) + flat
     text, first, size = _windows(lengths, s)
     place, there = _places(version, first, size, s, pad)
     rng, adam = np.random.default_rng(s.seed), _Adam(model.weights, s.rate)
-    level = np.where(there, fixed[place].sum(axis=2), -9).max(axis=1)
+    level = np.where(there, fixed.sum(axis=1)[place], -9).max(axis=1)
     mask = (1 << s.table_bits) - 1
     balance = np.where(truth > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     for phase, epochs in enumerate(s.epochs):
         if phase:
-            level = _all_logits(model, fixed, parts, len(words), place, there)
+            level = inputs.logits(place, there, model.weights, s)
         order = np.lexsort((-level, text))
         worst = order[np.concatenate([[True], text[order][1:] != text[order][:-1]])]
         for _ in range(epochs):
@@ -307,40 +319,53 @@ def fit(rows: list[tuple[int, bytes | None]], s: Settings) -> Model:
             for begin in range(0, len(chosen), s.batch):
                 pick = chosen[begin : begin + s.batch]
                 rows_used, local = np.unique(place[pick], return_inverse=True)
-                word = rows_used % max(1, len(words))
-                real = rows_used < pad
-                x = np.zeros((len(rows_used), fixed.shape[1] + s.word_size + s.char_size), np.float32)
-                x[:, :FIXED] = fixed[rows_used]
-                sub = word[real]
-                reach = np.repeat(starts[sub], number[sub])
-                own = np.repeat(np.arange(len(sub)), number[sub])
-                within = np.arange(len(reach)) - np.repeat(np.cumsum(number[sub]) - number[sub], number[sub])
-                batch_parts = (bucket[sub], own, gram[reach + within])
-                x[real, FIXED:] = _embedded(batch_parts, model.weights, s)
+                x, real, used = inputs.of(rows_used, model.weights, s)
                 grad, d_x = _gradient(
                     x, local.reshape(place[pick].shape), there[pick], truth[text[pick]], balance[text[pick]], model.weights
                 )
                 d_x = d_x[real, FIXED:]
                 for name in ("words", "chars"):
                     grad[name] = np.zeros_like(model.weights[name])
-                np.add.at(grad["words"], batch_parts[0] & mask, d_x[:, : s.word_size])
-                share_of = d_x[own, s.word_size :] / np.maximum(number[sub][own], 1)[:, None]
-                np.add.at(grad["chars"], batch_parts[2] & mask, share_of)
+                np.add.at(grad["words"], used[0] & mask, d_x[:, : s.word_size])
+                size = np.maximum(np.bincount(used[1], minlength=len(d_x)), 1)
+                np.add.at(grad["chars"], used[2] & mask, (d_x[:, s.word_size :] / size[:, None])[used[1]])
                 adam.step(grad)
-    logit = _all_logits(model, fixed, parts, len(words), place, there)
+    logit = inputs.logits(place, there, model.weights, s)
     best = np.full(len(rows), -np.inf)
     np.maximum.at(best, text, logit)
     model.scale = _calibrate(best, truth)
     return model
 
 
-def _all_logits(model: Model, fixed, parts, count: int, place, there) -> np.ndarray:
-    w, embedded = model.weights, _embedded(parts, model.weights, model.settings)
-    x = np.concatenate([fixed, np.concatenate([embedded, embedded, np.zeros((1, embedded.shape[1]), np.float32)])], axis=1)
-    project = x @ w["in"] + w["shift"]
-    return np.concatenate([
-        _logits(project, place[i : i + 4096], there[i : i + 4096], w) for i in range(0, len(place), 4096)
-    ])
+@dataclass
+class _Inputs:
+    """Feature rows of the sample: words as toxic texts see them, as others do, and the pad."""
+
+    parts: tuple
+    starts: np.ndarray
+    number: np.ndarray
+    fixed: np.ndarray
+
+    def of(self, rows: np.ndarray, w: dict[str, np.ndarray], s: Settings):
+        """Feature matrix of some rows, which of them are words, and those words' parts."""
+        bucket, _, gram = self.parts
+        real = rows < len(self.fixed) - 1
+        word = rows[real] % max(1, len(bucket))
+        size = self.number[word]
+        parts = (bucket[word], np.repeat(np.arange(len(word)), size), gram[_ranges(self.starts[word], size)])
+        x = np.zeros((len(rows), FIXED + s.word_size + s.char_size), np.float32)
+        x[:, :FIXED] = self.fixed[rows]
+        x[real, FIXED:] = _embedded(parts, w, s)
+        return x, real, parts
+
+    def logits(self, place: np.ndarray, there: np.ndarray, w: dict[str, np.ndarray], s: Settings) -> np.ndarray:
+        """Logits of all windows, a thousand at a time."""
+        out = []
+        for i in range(0, len(place), 1024):
+            rows, local = np.unique(place[i : i + 1024], return_inverse=True)
+            project = self.of(rows, w, s)[0] @ w["in"] + w["shift"]
+            out.append(_logits(project, local.reshape(-1, place.shape[1]), there[i : i + 1024], w))
+        return np.concatenate(out)
 
 
 def _calibrate(level: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
@@ -403,10 +428,9 @@ def text_scores(texts: list[bytes | None], table: WordTable, model: Model) -> np
     return 1 / (1 + np.exp(-np.clip(slope * best + offset, -30, 30)))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
-    spark = small_batches(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+def verdict(spark: SparkSession, model: Model):
+    """Function of a text column: struct of ``score`` (0 to 1) and ``predicted``."""
+    shared = small_batches(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf("score double, predicted int")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -417,9 +441,21 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             high = (found >= model.settings.threshold).astype(np.int32)
             yield pa.StructArray.from_arrays([pa.array(found), pa.array(high)], ["score", "predicted"])
 
+    return judge
+
+
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
+    judge = verdict(docs.sparkSession, model)
     return with_struct(docs, judge(F.col(text)), ["score", "predicted"])
 
 
+def keep_harmless(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Documents that are not predicted toxic; columns as they were."""
+    judge = verdict(docs.sparkSession, model)
+    return kept_by(docs, judge(F.col(text)), lambda found: found["predicted"] == 0)
+
+
 def op10_toxicity(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
