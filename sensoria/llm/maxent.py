@@ -224,9 +224,9 @@ def tokens_of(texts: list[bytes | None], table: WordTable, vocabulary: Vocabular
 
 def _chances(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Class probabilities of each token's context."""
-    level = model_rows[rows[:, 0]]
+    level = model_rows.take(rows[:, 0], axis=0)
     for i in range(1, rows.shape[1]):
-        level += model_rows[rows[:, i]]
+        level += model_rows.take(rows[:, i], axis=0)
     level += bias
     level -= level.max(axis=1, keepdims=True)
     np.exp(level, out=level)
@@ -234,6 +234,27 @@ def _chances(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.n
     return level
 
 
+def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, the sum of their values, and how many each has.
+
+    Short runs of equal rows are added place by place, all runs at once; long runs one by one.
+    """
+    order = np.argsort(rows, kind="stable")
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    size = np.diff(np.append(first, len(ordered)))
+    total = values.take(order[first], axis=0)
+    short = np.flatnonzero((size > 1) & (size <= 12))
+    place = 1
+    while len(short):
+        total[short] += values.take(order[first[short] + place], axis=0)
+        place += 1
+        short = short[size[short] > place]
+    for run in np.flatnonzero(size > 12):
+        total[run] = values.take(order[first[run] : first[run] + size[run]], axis=0).sum(axis=0)
+    return ordered[first], total, size
+
+
 def _descend(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, t: Tokens, s: Settings, seen: np.ndarray) -> None:
     """Gradient steps over a batch's tokens; weights, squares and seen tokens change in place."""
     for start in range(0, len(t.kind), s.batch):
@@ -242,14 +263,11 @@ def _descend(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, t: Toke
         slope = _chances(weights, bias, rows)
         slope[np.arange(len(kind)), kind] -= 1
         for i in range(rows.shape[1]):
-            order = np.argsort(rows[:, i], kind="stable")
-            sorted_rows = rows[order, i]
-            first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-            gradient = np.add.reduceat(slope[order], first, axis=0)
-            which = sorted_rows[first]
-            squares[which] += (gradient**2).sum(axis=1)
-            weights[which] -= s.rate * gradient / np.sqrt(squares[which] + 1)[:, None]
-            seen[which] += np.diff(np.append(first, len(sorted_rows)))
+            which, gradient, size = _sums_by_row(slope, rows[:, i])
+            squares[which] += np.einsum("ij,ij->i", gradient, gradient)
+            gradient *= (s.rate / np.sqrt(squares[which] + 1)).astype(np.float32)[:, None]
+            weights[which] -= gradient
+            seen[which] += size
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings, text: str = "text") -> Model:
@@ -313,7 +331,8 @@ def gains(model: Model, t: Tokens) -> np.ndarray:
         cut = slice(start, start + model.settings.batch)
         chance = _chances(model.rows, model.bias, t.rows[cut])
         kind = t.kind[cut]
-        out[cut] = np.log10(np.maximum(chance[np.arange(len(kind)), kind], 1e-30)) + offset[kind]
+        own = chance.reshape(-1).take(np.arange(len(kind)) * chance.shape[1] + kind)
+        out[cut] = np.log10(np.maximum(own, 1e-30)) + offset[kind]
     return out
 
 
@@ -359,7 +378,7 @@ def scored_parts(docs: DataFrame, model: Model, text: str, key: str) -> DataFram
                     pa.array(row + np.arange(n)), batch.column(0), batch.column(1),
                     pa.array(np.bincount(t.text, minlength=n).astype(np.int64)),
                     pa.array(np.bincount(t.text[known], minlength=n).astype(np.int64)),
-                    pa.array(sum_of(base, sure)), pa.array(sum_of(gain, known)), tail,
+                    pa.array(sum_of(base, sure).astype(np.float64)), pa.array(sum_of(gain, known).astype(np.float64)), tail,
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "known", "base", "gain", "tail"],
             )
