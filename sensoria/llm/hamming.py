@@ -10,13 +10,17 @@ segment j of radius r every code within ``segments * r + j`` bits has been verif
 further away in all segments has at least one bit more.  The query is finished as soon as its
 k-th verified distance is covered.
 
-Equal codes are one code with its k + 1 smallest ids, limited before the shuffle, so a vector
-that fills a third of the table is one row.  The nearest of all blocks are merged by query.
+Equal codes are one code with the rows of its k + 1 smallest ids, equal ids counted, limited
+before the shuffle, so a vector or an id that fills a third of the table is one entry.  Rows
+of the query's own id are left out inside the search and count for nothing there, so k rows
+of other ids are covered however often an id repeats.  The nearest of all blocks are merged
+by query.
 
-Defined results: neighbours are ordered by distance, then id, and never include the query's
-own row; fewer than k other rows give fewer neighbours.  NULL and empty vectors and NULL ids
-take no part.  NULL components, and those that shorter vectors lack, count as negative, NaN
-as not negative.  Repeated ids are one row each (all of a query's own id are left out).
+Defined results: neighbours are ordered by distance, then id, and never include rows of the
+query's own id; fewer than k other rows give fewer neighbours.  NULL and empty vectors and
+NULL ids take no part.  NULL components, and those that shorter vectors lack, count as
+negative, NaN as not negative.  Repeated ids are one row each.  A query id that repeats with
+different codes gets one list for each of its codes.
 """
 
 from __future__ import annotations
@@ -84,10 +88,19 @@ def _masks(width: int, radius: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """Indexes of one block of codes (codes x words) by segment."""
+    """Indexes of one block of codes (codes x words) by segment.
 
-    def __init__(self, codes: np.ndarray, ids: np.ndarray, members: np.ndarray, bits: int):
-        self.codes, self.ids, self.members, self.bits = codes, ids, members, bits
+    ``owner, ids, times`` list the codes' rows: place of the code, id, rows with that id.
+    """
+
+    def __init__(self, codes: np.ndarray, owner: np.ndarray, ids: np.ndarray, times: np.ndarray, bits: int):
+        order = np.lexsort((ids, owner))
+        self.codes, self.bits = codes, bits
+        self.ids, self.times = ids[order], times[order]
+        self.start = np.searchsorted(owner[order], np.arange(len(codes) + 1))
+        self.members = np.bincount(owner, times, len(codes))
+        by_id = np.argsort(ids, kind="stable")
+        self.by_id = ids[by_id], owner[by_id], times[by_id]
         self.parts = segments(bits, len(codes))
         self.tables = []
         for first, width in self.parts:
@@ -99,12 +112,18 @@ class MultiIndex:
     def _segment(codes: np.ndarray, first: int, width: int) -> np.ndarray:
         return (codes[..., first // 64] >> np.uint64(first % 64)) & np.uint64((1 << width) - 1)
 
-    def search(self, query: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and distances of the codes that hold the n nearest rows, ties by id."""
-        seen = np.zeros(len(self.codes), bool)
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the k nearest rows of other ids than ``own``, ties by id."""
+        members, seen = self.members, np.zeros(len(self.codes), bool)
+        sorted_ids, owner, times = self.by_id
+        mine = slice(np.searchsorted(sorted_ids, own, "left"), np.searchsorted(sorted_ids, own, "right"))
+        if mine.start < mine.stop:
+            members = members.copy()
+            members[owner[mine]] -= times[mine]
+            seen[members <= 0] = True
         near = np.zeros(self.bits + 1)  # verified rows by distance
         places, distances = [], []
-        wanted = min(n, int(self.members.sum()))
+        wanted = min(k, int(members.sum()))
         last = self.bits
         for radius in range(max(width for _, width in self.parts) + 1):
             for j, (first, width) in enumerate(self.parts):
@@ -118,7 +137,7 @@ class MultiIndex:
                     found = found[~seen[found]]
                     seen[found] = True
                     distance = np.bitwise_count(self.codes[found] ^ query).sum(axis=1)
-                    near += np.bincount(distance, self.members[found], self.bits + 1)
+                    near += np.bincount(distance, members[found], self.bits + 1)
                     places.append(found)
                     distances.append(distance)
                     last = int(np.searchsorted(np.cumsum(near), wanted))
@@ -130,8 +149,20 @@ class MultiIndex:
         place, distance = np.concatenate(places), np.concatenate(distances)
         kept = distance <= last
         place, distance = place[kept], distance[kept]
-        best = np.lexsort((self.ids[place], distance))[:n]
-        return place[best], distance[best].astype(np.int32)
+        first = self.start[place]
+        at = np.minimum(first + 1, len(self.ids) - 1)
+        smallest = np.where(self.ids[first] == own, self.ids[at], self.ids[first])  # of other ids
+        best = np.lexsort((smallest, distance))[:k]
+        place, distance = place[best], distance[best]
+        size = self.start[place + 1] - self.start[place]
+        at = np.arange(size.sum()) + np.repeat(self.start[place] - (np.cumsum(size) - size), size)
+        distance = np.repeat(distance, size)
+        other = self.ids[at] != own
+        at, distance = at[other], distance[other]
+        size = np.minimum(self.times[at], k)
+        ids, distance = np.repeat(self.ids[at], size), np.repeat(distance, size)
+        best = np.lexsort((ids, distance))[:k]
+        return ids[best], distance[best].astype(np.int32)
 
 
 def top_k(
@@ -140,63 +171,69 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, neighbour_id, distance`` for every row of ``queries``."""
     s = settings or Settings()
-    n = s.k + 1
     coded, bits = binary_codes(vectors, key, vector)
     if not bits:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, neighbour_id long, distance int")
-    members = cut_lineage(_smallest(coded, "code", ["id"], n))
+    # one id more than wanted, as one of a code's ids may be the query's own
+    counted = coded.groupBy("code", "id").agg(F.count("*").alias("times"))
     codes = cut_lineage(
-        members.groupBy("code").agg(F.min("id").alias("code_id"), F.count("*").cast("int").alias("members"))
+        _smallest(counted, "code", ["id"], s.k + 1)
+        .groupBy("code").agg(F.collect_list("id").alias("ids"), F.collect_list("times").alias("times"))
     )
     asked = queries.where(F.col(key).isNotNull() & (F.size(vector) > 0)).select(F.col(key).cast("long").alias("id"))
-    asked = cut_lineage(coded.join(asked.distinct(), "id", "left_semi").select("id", "code").distinct())
+    asked = coded.join(asked.distinct(), "id", "left_semi").select("id", "code").distinct()
+    asked = cut_lineage(asked.withColumn("query", F.monotonically_increasing_id()))
     code_blocks = max(1, -(-codes.count() // s.block_codes))
     query_blocks = max(1, -(-asked.count() // s.block_queries))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     own = lambda name, count: F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
     dealt = codes.select(
-        own("code_id", code_blocks).alias("block"), every(query_blocks).alias("asking"), F.lit(0).alias("role"),
-        F.col("code_id").alias("id"), "code", "members",
+        own("code", code_blocks).alias("block"), every(query_blocks).alias("asking"), F.lit(0).alias("role"),
+        F.lit(0).cast("long").alias("query"), "code", "ids", "times",
     ).unionAll(asked.select(
-        every(code_blocks).alias("block"), own("id", query_blocks).alias("asking"), F.lit(1).alias("role"),
-        "id", "code", F.lit(0).alias("members"),
+        every(code_blocks).alias("block"), own("query", query_blocks).alias("asking"), F.lit(1).alias("role"),
+        "query", "code", F.array("id").alias("ids"), F.array(F.lit(0).cast("long")).alias("times"),
     ))
-    ordered = dealt.repartition("block", "asking").sortWithinPartitions("block", "asking", "role", "id")
+    ordered = dealt.repartition("block", "asking").sortWithinPartitions("block", "asking", "role")
     found = ordered.mapInArrow(
-        lambda batches: _searched(batches, n, bits), "query long, code_id long, distance int"
+        lambda batches: _searched(batches, s.k, bits), "query long, query_id long, neighbour_id long, distance int"
     )
-    best = _smallest(found, "query", ["distance", "code_id"], n).drop("_place")
-    rows = best.join(members.join(codes.select("code", "code_id"), "code").select("code_id", "id"), "code_id")
-    near = _smallest(rows.where(F.col("id") != F.col("query")), "query", ["distance", "id"], s.k)
-    return near.select(
-        F.col("query").alias("query_id"), F.col("_place").alias("rank"), F.col("id").alias("neighbour_id"), "distance"
+    return _smallest(found, "query", ["distance", "neighbour_id"], s.k).select(
+        "query_id", F.col("_place").alias("rank"), "neighbour_id", "distance"
     )
 
 
-def _searched(batches: Iterator[pa.RecordBatch], n: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Nearest codes of each block pair: its codes come first, then its queries."""
+def _searched(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Nearest rows of each block pair: its codes come first, then its queries."""
     pair, held, index = None, [], None
     for batch in batches:
         keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-        roles, ids, members = (batch.column(i).to_numpy() for i in (2, 3, 5))
+        roles, queries = (batch.column(i).to_numpy() for i in (2, 3))
         codes = np.array(batch.column(4).to_pylist(), np.int64).view(np.uint64)
+        ids, times = (batch.column(i).to_pylist() for i in (5, 6))
         out: list[tuple] = []
         for i, key in enumerate(keys):
             if key != pair:
                 pair, held, index = key, [], None
             if roles[i] == 0:
-                held.append((codes[i], ids[i], members[i]))
+                held.append((codes[i], ids[i], times[i]))
                 continue
             if not held and index is None:
                 continue
             if index is None:
-                index = MultiIndex(*[np.array(column) for column in zip(*held, strict=True)], bits)
+                index = MultiIndex(
+                    np.array([code for code, _, _ in held]),
+                    np.repeat(np.arange(len(held)), [len(some) for _, some, _ in held]),
+                    np.array([x for _, some, _ in held for x in some], np.int64),
+                    np.array([x for _, _, some in held for x in some], np.int64), bits,
+                )
                 held = []
-            place, distance = index.search(codes[i], n)
-            out.append((np.full(len(place), ids[i]), index.ids[place], distance))
+            near, distance = index.search(codes[i], ids[i][0], k)
+            full = np.full(len(near), queries[i]), np.full(len(near), ids[i][0])
+            out.append((*full, near, distance))
         if out:
             columns = [pa.array(np.concatenate(column)) for column in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["query", "code_id", "distance"])
+            yield pa.RecordBatch.from_arrays(columns, ["query", "query_id", "neighbour_id", "distance"])
 
 
 def op3_hamming(spark, folder: str) -> DataFrame:

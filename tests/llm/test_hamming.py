@@ -50,6 +50,24 @@ def test_few_and_no_rows(spark):
     assert hamming.top_k(none, none).count() == 0
 
 
+@pytest.mark.parametrize("block", [8192, 20])
+def test_repeated_ids_leave_k_neighbours(spark, block):
+    rng = np.random.default_rng(9)
+    vector = lambda: [float(np.float32(x)) for x in rng.standard_normal(40)]
+    rows = [(i, vector()) for i in range(60)]
+    rows += [(0, rows[0][1])] + [(1, rows[1][1])] * 30  # one vector again
+    rows += [(2, vector()) for _ in range(30)]  # one id with many vectors
+    rows += [(3, rows[4][1])] * 5 + [(100 + i, rows[1][1]) for i in range(3)]
+    asked = [0, 1, 2, 3, 4, 100]
+    found = found_by(spark, [(*r, "x", "y", 1) for r in rows], asked, hamming.Settings(k=10, block_codes=block, block_queries=3))
+    expected = []
+    for q in asked:
+        for code in {tuple(x >= 0 for x in v) for i, v in rows if i == q}:
+            near = sorted((sum(a != (x >= 0) for a, x in zip(code, v, strict=True)), i) for i, v in rows if i != q)
+            expected += [(q, rank, i, d) for rank, (d, i) in enumerate(near[:10], 1)]
+    assert found == sorted(expected)
+
+
 def test_query_equals_sql(spark):
     import duckdb
 
