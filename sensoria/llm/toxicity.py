@@ -37,8 +37,8 @@ FIXED = 3  # log odds: word, mean n-gram, largest n-gram
 class Settings:
     """``positives`` and ``negatives`` bound the training sample; the rest is the network."""
 
-    positives: int = 700
-    negatives: int = 1300
+    positives: int = 900
+    negatives: int = 2100
     window: int = 32
     stride: int = 16
     hidden: int = 8
@@ -393,9 +393,8 @@ def train(
         part = known.where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(bound)
         picked = part if picked is None else picked.unionAll(part)
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(picked), "_key").select("_key", "_label", "_text").collect()
-    rows.sort(key=lambda row: (row["_key"], row["_label"], row["_text"] or ""))
-    return fit([(row["_label"], row["_text"].encode() if row["_text"] else None) for row in rows], s)
+    rows = texts.join(F.broadcast(picked), "_key").orderBy("_key", "_label", "_text").select("_label", "_text")
+    return fit([(row["_label"], row["_text"].encode() if row["_text"] else None) for row in rows.toLocalIterator()], s)
 
 
 def _projector(model: Model):

@@ -67,6 +67,15 @@ def test_awkward_rows(spark):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
+def test_the_sample_has_900_and_2100_rows(spark, monkeypatch):
+    labels = spark.range(8000).selectExpr("id AS doc_id", "CAST(id % 3 = 0 AS int) AS toxic")
+    docs = spark.range(8000).selectExpr("id AS doc_id", "concat('words ', id) AS text")
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, s: taken.extend(label for label, _ in rows))
+    toxicity.train(docs, labels)
+    assert (sum(taken), len(taken) - sum(taken)) == (900, 2100)
+
+
 def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(awkward(spark), labels)
