@@ -9,6 +9,10 @@ rule is closed, a task finds the windows of its own documents from the number of
 precede them in their queue, and deficits carry over windows and partitions without any
 sequential pass.  When a queue runs dry the others share on in proportion (a new phase).
 
+Every source is a queue of its own, however many there are.  The driver's schedule names only
+sources with a target share.  All others are served in one last phase, each in proportion to
+its tokens; their places in it are a table, joined by queue, that is summed group by group.
+
 Windows are cut into sequences without gaps.  What is left at the very end is cut into
 sequences of falling powers of two, so that nothing is padded.  Documents are cut at window
 quanta and sequence edges only.
@@ -43,7 +47,10 @@ from sensoria.session import cut_lineage
 
 @dataclass
 class Settings:
-    """``shares`` maps sources to target weights; more than ``max_queues`` sources are hashed."""
+    """``shares`` maps sources to target weights.
+
+    Sources without one are summed in ``max_queues`` groups, whose totals the driver holds.
+    """
 
     tokenizer: str | None = None
     end_id: int = 2
@@ -152,8 +159,6 @@ def tokenised(docs: DataFrame, s: Settings, text: str, key: str, source: str) ->
     """
     small_batches(docs.sparkSession)
     queue = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    if docs.agg(F.approx_count_distinct(queue)).first()[0] > s.max_queues:
-        queue = F.format_string("queue-%05d", F.pmod(F.xxhash64(queue), F.lit(s.max_queues)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(s.tokenizer)
@@ -197,16 +202,22 @@ class Schedule:
     settings: Settings
     total: int
     phases: list[Phase] = field(default_factory=list)
+    last: Phase | None = None  # of the queues without a target that ``place`` is told about
 
-    def place(self, queue: str, first: int, last: int) -> Iterator[tuple[int, int, int]]:
-        """Runs (token of the queue, position, length) covering tokens first to last of a queue."""
+    def place(
+        self, queue: str, first: int, last: int, rest: tuple[int, int] | None = None
+    ) -> Iterator[tuple[int, int, int]]:
+        """Runs (token of the queue, position, length) covering tokens first to last of a queue.
+
+        ``rest`` is (tokens of such queues in front, own tokens) of a queue without a target.
+        """
         window = self.settings.sequence * self.settings.window_sequences
-        for p in self.phases:
-            share, below = p.served.get(queue, 0), p.below.get(queue, 0)
-            at, stop = max(first, p.base.get(queue, 0)), min(last, p.base.get(queue, 0) + share)
+        for p in [self.last] if rest else self.phases:
+            below, share = rest or (p.below.get(queue, 0), p.served.get(queue, 0))
+            base = p.base.get(queue, 0)
+            at, stop = max(first, base), min(last, base + share)
             if at >= stop:
                 continue
-            base = p.base[queue]
 
             def before(x: int, part: int, length: int = p.length) -> int:
                 return x * part // length
@@ -242,9 +253,9 @@ class Schedule:
             number, start, left = number + 1, start + part, left - part
 
 
-def schedule(totals: dict[str, int], s: Settings) -> Schedule:
-    """Phases from the tokens in each queue and the target shares."""
-    plan = Schedule(s, sum(totals.values()))
+def schedule(totals: dict[str, int], s: Settings, rest: int = 0) -> Schedule:
+    """Phases from the tokens in each queue and the target shares; ``rest`` tokens come last."""
+    plan = Schedule(s, sum(totals.values()) + rest)
     left = {q: n for q, n in sorted(totals.items()) if n > 0}
     weight = {q: float((s.shares or {}).get(q, 0.0)) for q in left} if s.shares else {q: float(n) for q, n in left.items()}
     done: dict[str, int] = dict.fromkeys(left, 0)
@@ -266,6 +277,7 @@ def schedule(totals: dict[str, int], s: Settings) -> Schedule:
             done[q] += n
             left[q] -= n
         left = {q: n for q, n in left.items() if n > 0}
+    plan.last = Phase(start, rest, {}, {}, {})
     return plan
 
 
@@ -281,18 +293,35 @@ def pack(
     offsets = cut_lineage(
         parts.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
     )
-    totals = offsets.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect()
-    plan = schedule({row["queue"]: row["tokens"] for row in totals}, s)
+    named = [q for q, weight in (s.shares or {}).items() if weight > 0]
+    totals = cut_lineage(
+        offsets.groupBy("queue").agg(F.sum("tokens").alias("total")).withColumn("named", F.col("queue").isin(named))
+        .withColumn("group", F.pmod(F.xxhash64("queue"), F.lit(s.max_queues)))
+    )
+    targets = {row["queue"]: row["total"] for row in totals.where("named").collect()}
+    sums = totals.where("NOT named").groupBy("group").agg(F.sum("total").alias("total")).orderBy("group").collect()
+    ahead, rest = [], 0
+    for row in sums:
+        ahead.append((row["group"], rest))
+        rest += row["total"]
+    plan = schedule(targets, s, rest)
+    ahead = docs.sparkSession.createDataFrame(ahead, "group long, ahead long")
+    within = Window.partitionBy("group").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
+    untargeted = totals.where("NOT named").withColumn("within", F.coalesce(F.sum("total").over(within), F.lit(0)))
+    below = untargeted.join(F.broadcast(ahead), "group").select(
+        "queue", (F.col("ahead") + F.col("within")).alias("below"), "total"
+    )
     shared = docs.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         for batch in batches:
-            queues, places, ids = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            queues, places, ids, ahead, own = (batch.column(i).to_pylist() for i in (1, 2, 3, 4, 5))
             out: list[tuple] = []
             for i, (queue, first, data) in enumerate(zip(queues, places, ids, strict=True)):
                 count = len(data) // 4
-                for token, position, length in plan.place(queue, first, first + count):
+                rest = None if own[i] is None else (ahead[i], own[i])
+                for token, position, length in plan.place(queue, first, first + count, rest):
                     begin = token - first
                     while length:
                         number, offset, room = plan.sequence_of(position)
@@ -309,8 +338,9 @@ def pack(
                 ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "queue"],
             )
 
-    placed = rows.join(offsets.select("queue", "part", "base"), ["queue", "part"]).select(
-        "doc_id", "queue", (F.col("base") + F.col("before")).alias("first"), "ids"
+    starts = offsets.select("queue", "part", "base").join(below, "queue", "left")
+    placed = rows.join(starts, ["queue", "part"]).select(
+        "doc_id", "queue", (F.col("base") + F.col("before")).alias("first"), "ids", "below", "total"
     )
     kind = dict(rows.dtypes)["doc_id"]
     return placed.mapInArrow(

@@ -60,6 +60,30 @@ def test_windows_hold_the_target_shares(spark):
         assert abs(window[number]["big"] - 256) <= 1
 
 
+def test_many_sources_keep_their_shares(spark):
+    rows = [(i, "alpha beta gamma delta " * 10, ("big", "small")[i % 2] if i < 80 else f"site{i % 20}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shares in ({"big": 3.0, "small": 1.0}, None):
+        s = packing.Settings(sequence=64, window_sequences=4, shares=shares, max_queues=4)
+        pieces = packing.pack(docs, s).collect()
+        check([(r[0], r[1]) for r in rows], pieces, 64)
+        total = sum(p["length"] for p in pieces)
+        sizes, served = defaultdict(int), defaultdict(lambda: defaultdict(int))
+        for p in pieces:
+            sizes[p["queue"]] += p["length"]
+            served[p["sequence_id"] * 64 // 256][p["queue"]] += p["length"]
+        assert set(sizes) == {r[2] for r in rows}
+        if shares:  # until the first of the two runs dry
+            for number in range(int(sizes["big"] / 0.75) // 256):
+                assert abs(served[number]["big"] - 192) <= 1 and abs(served[number]["small"] - 64) <= 1
+        else:
+            for q, n in sizes.items():
+                run = 0
+                for number in range(total // 256):
+                    run += served[number][q]
+                    assert abs(run - (number + 1) * 256 * n / total) <= 1
+
+
 def test_deficits_stay_below_one_token():
     plan = packing.schedule({"a": 10_007, "b": 3, "c": 5_000}, packing.Settings(sequence=64, window_sequences=3))
     taken = sorted(
