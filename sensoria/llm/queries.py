@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensoria.llm import (
+    chat,
     hamming,
     language,
     line_dedup,
@@ -20,7 +21,7 @@ from sensoria.llm import (
 )
 from sensoria.session import configure
 
-ORACLE: dict[str, str] = {"op3_hamming": hamming.ORACLE}
+ORACLE: dict[str, str] = {"op3_hamming": hamming.ORACLE, "op13_chat": chat.ORACLE}
 
 
 def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,5 +41,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         maxent.op8_maxent,
         merkle.op9_fingerprints,
         toxicity.op10_toxicity,
+        chat.op13_chat,
     )
 }
