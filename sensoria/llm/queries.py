@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensoria.llm import (
     chat,
+    divergence,
     hamming,
     language,
     line_dedup,
@@ -21,7 +22,11 @@ from sensoria.llm import (
 )
 from sensoria.session import configure
 
-ORACLE: dict[str, str] = {"op3_hamming": hamming.ORACLE, "op13_chat": chat.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_hamming": hamming.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_chat": chat.ORACLE,
+}
 
 
 def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         maxent.op8_maxent,
         merkle.op9_fingerprints,
         toxicity.op10_toxicity,
+        divergence.op12_divergence,
         chat.op13_chat,
     )
 }
