@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensoria.llm import (
     chat,
+    collocations,
     divergence,
     hamming,
     language,
@@ -24,6 +25,7 @@ from sensoria.session import configure
 
 ORACLE: dict[str, str] = {
     "op3_hamming": hamming.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_divergence": divergence.ORACLE,
     "op13_chat": chat.ORACLE,
 }
@@ -46,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         maxent.op8_maxent,
         merkle.op9_fingerprints,
         toxicity.op10_toxicity,
+        collocations.op11_collocations,
         divergence.op12_divergence,
         chat.op13_chat,
     )
