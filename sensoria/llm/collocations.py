@@ -44,7 +44,7 @@ class Settings:
     min_count: int = 100
     top: int = 2000
     covered_percent: int = 100
-    shard_words: int = 1 << 20
+    shard_words: int = 1 << 19
     max_bits: int = 26
 
 
@@ -148,8 +148,9 @@ class Order:
             rank = np.empty(len(ids), np.int64)
             rank[rows] = np.cumsum(fresh)
             known, span = int(rank[rows[-1]]) + 1, 2 * span
-        place = np.empty(len(ids), np.int64)
-        place[rows] = np.arange(len(ids))
+        del rank
+        place = np.empty(len(ids), np.int32)
+        place[rows] = np.arange(len(ids), dtype=np.int32)
         self.symbols = ids[rows - 1]
         self.follow = place[rows - 1]
 
@@ -219,22 +220,27 @@ def bitmap(rows: DataFrame, max_bits: int) -> Bitmap:
 
 
 def enumerate_phrases(
-    ids: np.ndarray, size: int, depth: int, pairs: np.ndarray | None = None, allowed: Bitmap | None = None
+    ids: np.ndarray, size: int, depth: int, pairs: np.ndarray | None = None, allowed: Bitmap | None = None,
+    at_once: int = 1 << 17,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Phrases of 2, 3, ... ``depth`` words, as rows of ids, with their counts.
+    """Phrases of 2 to ``depth`` words, as rows of ids of one length, with their counts.
 
     ``pairs`` holds a hash for each id; with ``allowed``, phrases grow by pairs in it only.
+    Each begins with the words of some ``at_once`` rows, so memory follows the index alone.
     """
     index = Index(ids, size, depth)
-    phrases = index.words
-    for length in range(2, depth + 1):
-        phrases = index.left(phrases) if length % 2 else index.right(phrases)
-        if allowed is not None:
-            one, other = (0, 1) if length % 2 else (-2, -1)
-            words = phrases[0]
-            kept = allowed.holds(pair_hash(pairs[words[:, one]], pairs[words[:, other]]))
-            phrases = tuple(part[kept] for part in phrases)
-        yield phrases[0], phrases[3]
+    group = np.cumsum(index.words[3]) // at_once
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(group)]
+    for start, end in zip(edges, edges[1:], strict=False):
+        phrases = tuple(part[start:end] for part in index.words)
+        for length in range(2, depth + 1):
+            phrases = index.left(phrases) if length % 2 else index.right(phrases)
+            if allowed is not None:
+                one, other = (0, 1) if length % 2 else (-2, -1)
+                words = phrases[0]
+                kept = allowed.holds(pair_hash(pairs[words[:, one]], pairs[words[:, other]]))
+                phrases = tuple(part[kept] for part in phrases)
+            yield phrases[0], phrases[3]
 
 
 KINDS = "lang string, phrase string, n_words int, n long, hash long"

@@ -98,6 +98,19 @@ def test_index_counts_left_and_right():
             assert found == {p: c for p, c in plain[k].items() if 0 not in p}
 
 
+def test_chunks_of_words_change_nothing():
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([[0], rng.integers(0, 9, 600), [0]]).astype(np.int32)
+    found = []
+    for at_once in (1, 50, 1 << 17):
+        held = Counter()
+        for phrases, counts in co.enumerate_phrases(ids, 9, 4, at_once=at_once):
+            for p, c in zip(phrases, counts, strict=True):
+                held[tuple(int(x) for x in p)] += int(c)
+        found.append(held)
+    assert found[0] == found[1] == found[2] and found[0]
+
+
 def test_score_beyond_64_bits_and_empty(spark):
     from pyspark.sql import functions as F
 
