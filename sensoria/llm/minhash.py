@@ -7,7 +7,8 @@ sets' Jaccard similarity reaches the threshold; groups are the connected compone
 1. Every set gets a SuperMinHash signature: step j of an element's own random permutation
    offers the value j + r to one signature place.  A set stops after the first step at which
    every place holds less than j + 1, because later steps cannot win any more.
-2. Equal word sequences are one node from here on, so exact copies never meet in pairs.
+2. A word sequence, named by its 128-bit hash, is one node from here on: exact copies never meet
+   in pairs, and texts under one ``doc_id`` stay apart.
 3. Nodes that agree in a whole band share a bucket; buckets are joined as stars, and the
    components of these stars are *families*, within which all candidate pairs lie.
 4. All pairs inside a family are decided on full sets, in blocks of bounded size: a block pair
@@ -21,9 +22,9 @@ different texts costs g^2/2 comparisons of sets inside tasks and g/block copies
 in the shuffle; that is the price of losing no link.
 
 Defined results: NULL, empty and blank texts have an empty set and are linked with nothing,
-not even with each other.  ``doc_id`` identifies a document; rows that repeat one are grouped
-by their own texts, and equal rows get equal results.  Rows with NULL ``doc_id`` get component
-NULL and are kept.  Ties go to the smallest ``doc_id``.  Other columns are not looked at.
+not even with each other.  ``doc_id`` is of any type with an order; rows that repeat one are
+grouped by their own texts, and equal rows get equal results.  Rows with NULL ``doc_id`` get
+component NULL and are kept.  Ties go to the smallest ``doc_id``.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.graph import components
@@ -120,13 +121,16 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, s: Settings, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, content, bands``; content names the exact word sequence."""
+    """``doc_id, copy, n_shingles, content, bands``; content names the exact word sequence.
+
+    ``copy`` is the whole text's hash, which tells rows of one ``doc_id`` apart.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(hash_words)
         for batch in batches:
-            texts = raw(batch.column(1))
+            texts = raw(batch.column(2))
             elements, sizes = shingle_sets(texts, table, s.shingle)
             keys = band_keys(super_minhash(elements, sizes, s.bands * s.rows), s.bands, s.rows)
             content = [
@@ -137,22 +141,35 @@ def signatures(docs: DataFrame, s: Settings, text: str = "text", key: str = "doc
             offsets = np.concatenate([[0], np.cumsum(some * s.bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes), pa.array(content, pa.binary()),
+                    batch.column(0), batch.column(1), pa.array(sizes), pa.array(content, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].reshape(-1))),
                 ],
-                ["doc_id", "n_shingles", "content", "bands"],
+                ["doc_id", "copy", "n_shingles", "content", "bands"],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, content binary, bands array<bigint>")
+    rows = docs.select(*_identity(text, key), F.col(text).alias("text"))
+    kind = dict(rows.dtypes)["doc_id"]
+    return rows.mapInArrow(
+        run, f"doc_id {kind}, copy long, n_shingles long, content binary, bands array<bigint>"
+    )
+
+
+def _identity(text: str, key: str) -> list[Column]:
+    return [F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("copy")]
 
 
 def _sets(docs: DataFrame, s: Settings) -> DataFrame:
-    """Input ``node, family, parts, text``; the text replaced by its full set."""
+    """Input ``node, family, parts, text``; the text replaced by its full set, once a node and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(hash_words)
+        table, seen = WordTable(hash_words), set()
         for batch in batches:
+            fresh = []
+            for place, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(place)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             elements, sizes = shingle_sets(raw(batch.column(3)), table, s.shingle)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             found = pa.ListArray.from_arrays(offsets, pa.array(elements.view(np.int64)))
@@ -160,7 +177,7 @@ def _sets(docs: DataFrame, s: Settings) -> DataFrame:
                 [batch.column(0), batch.column(1), batch.column(2), found], ["node", "family", "parts", "set"]
             )
 
-    return docs.mapInArrow(run, "node long, family long, parts int, set array<bigint>")
+    return docs.mapInArrow(run, "node binary, family binary, parts int, set array<bigint>")
 
 
 def block_links(nodes: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int):
@@ -206,7 +223,7 @@ def _family_links(blocks: DataFrame, s: Settings) -> DataFrame:
         held: list = []
         current = None
         for batch in batches:
-            at = [batch.column(i).to_numpy() for i in range(5)]
+            at = [batch.column(i).to_pylist() for i in range(5)]
             lists, offsets = batch.column(5), batch.column(5).offsets.to_numpy()
             values = lists.values.to_numpy().view(np.uint64)
             for i in range(batch.num_rows):
@@ -215,6 +232,8 @@ def _family_links(blocks: DataFrame, s: Settings) -> DataFrame:
                     yield held
                     held = []
                 current = pair
+                if held and held[-1][0] == at[4][i]:
+                    continue  # the same text from another task
                 held.append((at[4][i], at[3][i], values[offsets[i] : offsets[i + 1]].copy()))
         if held:
             yield held
@@ -224,11 +243,11 @@ def _family_links(blocks: DataFrame, s: Settings) -> DataFrame:
             if len(held) < 2:
                 continue
             nodes, sides, sets = zip(*held, strict=True)
-            a, b = block_links(np.array(nodes), np.array(sides, bool), list(sets), s.percent)
+            a, b = block_links(np.array(nodes, object), np.array(sides, bool), list(sets), s.percent)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return blocks.mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(
@@ -236,16 +255,19 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     s = settings or Settings()
+    return _grouped(docs, s, text, key).drop("copy")
+
+
+def _grouped(docs: DataFrame, s: Settings, text: str, key: str) -> DataFrame:
+    """The same with the text's hash as ``copy``."""
     signed = cut_lineage(signatures(docs, s, text, key))
+    # of equal word sequences one row stands for all: the first by doc_id
     nodes = cut_lineage(
-        signed.where("content IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("content").agg(F.min("doc_id").alias("node"))
-    )
-    buckets = (
-        signed.select("doc_id", "content", "bands")
-        .join(nodes.withColumnRenamed("node", "doc_id"), ["content", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
+        signed.where("content IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("content").alias("node"))
+        .agg(F.min(F.struct("doc_id", "copy")).alias("first"), F.any_value("bands").alias("bands"))
+        .select("node", "first.doc_id", "first.copy", "bands")
     )
+    buckets = nodes.select("node", F.explode("bands").alias("band"))
     hubs = buckets.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     stars = buckets.join(hubs.select("band", "hub"), "band").where("node <> hub")
     families = components(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
@@ -256,8 +278,9 @@ def near_duplicates(
             F.ceil(F.col("members") / s.block).cast("int").alias("parts"),
         )
     )
-    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    full = cut_lineage(_sets(texts.join(members, "node").select("node", "family", "parts", "text"), s))
+    texts = docs.select(*_identity(text, key), F.col(text).alias("text"))
+    places = members.join(nodes.select("node", "doc_id", "copy"), "node")
+    full = cut_lineage(_sets(texts.join(places, ["doc_id", "copy"]).select("node", "family", "parts", "text"), s))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     blocks = (
         full.withColumn("part", part)
@@ -268,22 +291,39 @@ def near_duplicates(
         )
     )
     ordered = blocks.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "second", "node")
-    groups = components(_family_links(ordered, s))
-    return (
-        signed.select("doc_id", "n_shingles", "content").join(nodes, "content", "left")
-        .join(groups, "node", "left")
-        .select(
-            "doc_id", "n_shingles",
-            F.coalesce("component", "node", "doc_id").alias("component_id"),
-        )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    groups = cut_lineage(components(_family_links(ordered, s)))
+    least = (
+        groups.join(nodes.select("node", "doc_id"), "node")
+        .groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    )
+    labels = nodes.select("node", "doc_id").join(groups.join(least, "component"), "node", "left").select(
+        F.col("node").alias("content"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+    found = signed.select("doc_id", "copy", "n_shingles", "content").join(labels, "content", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return found.select("doc_id", "n_shingles", own.alias("component_id"), "copy").withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
-def keep_first(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``docs`` with one document of each group; rows without ``doc_id`` stay."""
-    dropped = near_duplicates(docs, settings).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+def keep_first(
+    docs: DataFrame, settings: Settings | None = None, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """``docs`` with one document of each group; rows without ``doc_id`` stay.
+
+    Rows are told apart by ``doc_id`` and text; of rows equal in both, one stays.
+    """
+    judged = (
+        _grouped(docs, settings or Settings(), text, key).where("doc_id IS NOT NULL")
+        .groupBy("doc_id", "copy").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("times"))
+        .where("NOT kept OR times > 1")
+    )
+    judged = cut_lineage(judged)
+    # the row travels as one column, so that no name of its can clash
+    rows = docs.select(*_identity(text, key), F.struct("*").alias("row"))
+    untouched = rows.join(judged.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti")
+    repeated = rows.join(judged.where("kept").select("doc_id", "copy"), ["doc_id", "copy"], "left_semi")
+    return untouched.unionByName(repeated.dropDuplicates(["doc_id", "copy"])).select("row.*")
 
 
 def op5_minhash(spark, folder: str) -> DataFrame:

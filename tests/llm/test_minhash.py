@@ -90,6 +90,36 @@ def test_awkward_rows(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_repeated_ids_keep_their_own_texts(spark):
+    a, b = "the cat sat on the mat and slept all day long", "ten ships sailed north before the storm came in"
+    c = "nobody had ever seen such a bright green light"
+    rows = [(1, a), (1, b), (2, a), (3, b), (2, c), (4, c + " x"), (5, a.upper()), (5, a.upper()), (6, None), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    s = minhash.Settings(shingle=2, percent=80)
+    found = {(r.doc_id, r.text): (r.component_id, r.kept) for r in _with_text(docs, s)}
+    assert found[2, a] == (1, False) and found[3, b] == (1, False) and found[5, a.upper()] == (1, False)
+    assert found[2, c] == (2, True) and found[4, c + " x"] == (2, False)
+    kept = minhash.keep_first(docs, s).collect()
+    assert sorted(kept, key=repr) == sorted([(1, a), (1, b), (2, c), (6, None)], key=repr)
+    # equal rows: one stays
+    twice = minhash.keep_first(spark.createDataFrame([(1, a), (1, a), (None, a), (None, a)], "doc_id long, text string"))
+    assert sorted(r.doc_id or 0 for r in twice.collect()) == [0, 0, 1]
+
+
+def _with_text(docs, s):
+    from pyspark.sql import functions as F
+
+    found = minhash._grouped(docs, s, "text", "doc_id").distinct()
+    return docs.distinct().withColumn("copy", F.xxhash64("text")).join(found, ["doc_id", "copy"]).collect()
+
+
+def test_text_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([("b", text), ("a", text + " x"), ("c", "else")], "doc_id string, text string")
+    found = minhash.near_duplicates(docs, minhash.Settings(shingle=1)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {"a": "a", "b": "a", "c": "c"}
+
+
 def test_components_of_paths_and_stars(spark):
     from sensoria.llm.graph import components
 
