@@ -42,6 +42,6 @@ def test_awkward_tables(spark, tmp_path, make):
 
 def test_entry_registers_all_queries():
     names = [name for name in entry.queries() if name.startswith("op") and name[2].isdigit()]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert "op3_hamming" in entry.oracle_sql()
