@@ -15,7 +15,7 @@ MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _stage_csv(df, folder: str, encoding: str = "UTF-8", partition: str | None = None) -> str:
-    writer = df.write.options(header=True, sep=";", encoding=encoding)
+    writer = df.write.options(header=True, sep=";", encoding=encoding, escape='"')
     if partition:
         writer = writer.partitionBy(partition)
     writer.csv(folder)
@@ -34,6 +34,45 @@ def _(inputs: Inputs):
     return delimited.read_delimited(inputs.spark, folder, types=types)
 
 
+def _mixed_files(inputs: Inputs) -> str:
+    """Three layouts below one folder: another order, quoted breaks in Latin-1, lines that do not fit."""
+    orders = inputs.table("orders").select(
+        "o_orderkey", "o_totalprice",
+        F.concat(F.lit("línea\n"), F.col("o_orderpriority"), F.lit('; "fin"')).alias("nota"),
+        (F.col("o_orderkey") % 3).alias("k"),
+    )
+    folder = new_folder(inputs.spark, "mixed")
+    _stage_csv(orders.where("k = 0").select("o_orderkey", "o_totalprice", "nota"), f"{folder}/a=0")
+    _stage_csv(orders.where("k = 1").select("nota", "o_orderkey", "o_totalprice"), f"{folder}/a=1", "ISO-8859-1")
+    wrong = F.concat(F.lit("x"), F.col("o_totalprice").cast("string")).alias("o_totalprice")
+    _stage_csv(orders.where("k = 2").select("o_totalprice", wrong, "nota").toDF("o_orderkey", "o_totalprice", "nota")
+               .withColumn("o_orderkey", F.lit(7)).withColumn("nota", F.lit("simple")), f"{folder}/a=2")
+    return folder
+
+
+MIXED = "o_orderkey bigint, o_totalprice double, nota string"
+
+
+@check(
+    "read_mixed_layouts",
+    """SELECT o_orderkey, o_totalprice, 'línea' || chr(10) || o_orderpriority || '; "fin"' AS nota,
+              CAST(o_orderkey % 3 AS INTEGER) AS a
+       FROM orders WHERE o_orderkey % 3 < 2""",
+)
+def _(inputs: Inputs):
+    return delimited.read_delimited(inputs.spark, _mixed_files(inputs), MIXED, bad="reject", partitions="a int")
+
+
+@check(
+    "rejected_lines",
+    """SELECT '7;x' || CAST(o_totalprice AS VARCHAR) || ';simple' AS linea, 'a=2' AS carpeta
+       FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def _(inputs: Inputs):
+    found = delimited.rejected_lines(inputs.spark, _mixed_files(inputs), MIXED)
+    return found.select("linea", F.element_at(F.split("archivo", "/"), -2).alias("carpeta"))
+
+
 @check(
     "encoding_fallback",
     """SELECT c_custkey, 'Peñalara ' || c_name AS nombre, 'UTF-8' AS origen FROM customer
@@ -63,17 +102,34 @@ def _(inputs: Inputs):
 def _(inputs: Inputs):
     header = "l_orderkey;l_linenumber;l_extendedprice;l_returnflag;l_shipdate"
 
+    folder = new_folder(inputs.spark, "zip")
+    target = folder.removeprefix("file:")
+
     def pack(batches: Iterator) -> Iterator:
-        import io
+        """One archive a task, its members written as the rows come, in order of their number."""
+        import os
         import zipfile
 
         import pandas as pd
+        from pyspark import TaskContext
 
+        os.makedirs(target, exist_ok=True)
+        path = f"{target}/lote-{TaskContext.get().partitionId()}.zip"
+        archive, member, current = None, None, None
         for batch in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("datos.csv", "\n".join([header, *batch["linea"]]) + "\n")
-            yield pd.DataFrame({"path": ["lote.zip"], "content": [buffer.getvalue()]})
+            for number, lines in batch.groupby("parte", sort=False)["linea"]:
+                archive = archive or zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED)
+                if number != current:
+                    if member:
+                        member.close()
+                    member, current = archive.open(f"datos_{number}.csv", "w"), number
+                    member.write(f"{header}\n".encode())
+                member.write("".join(f"{line}\n" for line in lines).encode())
+        if archive:
+            member.close()
+            archive.writestr("leeme.txt", "sin datos")
+            archive.close()
+            yield pd.DataFrame({"path": [path]})
 
     line = F.concat_ws(
         ";",
@@ -83,10 +139,13 @@ def _(inputs: Inputs):
         F.concat(F.lit('"'), F.col("l_returnflag"), F.lit('"')),
         F.to_date("l_shipdate").cast("string"),
     )
-    lines = inputs.table("lineitem").select(line.alias("linea"))
-    zipped = lines.mapInPandas(pack, "path string, content binary")
+    lines = inputs.table("lineitem").repartition(3, "l_orderkey").select(
+        line.alias("linea"), (F.col("l_linenumber") % 2).alias("parte")
+    )
+    lines.sortWithinPartitions("parte").mapInPandas(pack, "path string").write.format("noop").mode("overwrite").save()
     return archives.read_zipped(
-        zipped,
+        inputs.spark,
+        folder,
         "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, "
         "l_shipdate date",
     )

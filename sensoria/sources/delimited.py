@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensoria.session import cut_lineage
+from sensoria.session import cut_lineage, literal_table
 
 SEPARATOR = ";"
 FALLBACK_ENCODING = "ISO-8859-1"
@@ -18,22 +20,43 @@ FAIL, REJECT = "fail", "reject"
 #: Types tried for a column without a given type, narrowest first.
 INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
 MOST_LAYOUTS = 1000
+#: Up to so many splits (about 100 bytes each) their table is broadcast; beyond, joined.
+MOST_BROADCAST = 200_000
+#: A quote that opens or closes a cell, once doubled quotes are taken out.
+BORDER_QUOTE = r'(?<![^;\ufeff])"|"(?=;|\r?$)'
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return spark.read.text(_paths(paths)).select(
+def _lines(spark: SparkSession, paths: str | Sequence[str], partitions: str = "") -> DataFrame:
+    """Raw lines with their file, the split they begin in and their place in it."""
+    schema = T.StructType([T.StructField("value", T.StringType()), *_folders(partitions)])
+    return spark.read.schema(schema).option("lineSep", "\n").text(_paths(paths)).select(
         "value",
+        *[field.name for field in _folders(partitions)],
         F.col("_metadata.file_path").alias("archivo"),
         F.col("_metadata.file_block_start").alias("inicio"),
-        F.is_valid_utf8("value").alias("ok"),
         F.monotonically_increasing_id().alias("orden"),
     )
 
 
+def _folders(partitions: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(partitions).fields if partitions else []
+
+
+def border_quotes(line: Column) -> Column:
+    """Number of quotes that open or close a cell of a line.
+
+    An odd number means that a record with a line break in it begins or ends here.  Doubled
+    quotes and quotes in the middle of a cell do not count.
+    """
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    found = F.regexp_count(single, F.lit(BORDER_QUOTE))
+    return F.when(F.contains(line, F.lit('"')), found).otherwise(0)
+
+
 def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(archivo, encoding) per file: UTF-8 if every byte of it is valid UTF-8.
 
@@ -41,36 +64,43 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     sequence, so large files are checked split by split and only one flag per
     split is shuffled.
     """
-    return _encoded(_lines(spark, paths).groupBy("archivo").agg(F.bool_and("ok").alias("ok")))
-
-
-def _encoded(flags: DataFrame) -> DataFrame:
-    name = F.when(F.col("ok"), "UTF-8").otherwise(FALLBACK_ENCODING)
-    return flags.select("archivo", name.alias("encoding"))
+    valid = F.bool_and(F.is_valid_utf8("value"))
+    return _lines(spark, paths).groupBy("archivo").agg(valid.alias("ok")).select(
+        "archivo", F.when(F.col("ok"), "UTF-8").otherwise(FALLBACK_ENCODING).alias("encoding")
+    )
 
 
-def file_layouts(
+def file_splits(
     spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None
 ) -> DataFrame:
-    """(archivo, encoding, header, quoted_breaks) per file, in one pass over the text.
+    """One row per split: its file's encoding and header, and where its records begin.
 
-    A line with an odd number of quotes belongs to a record with a line break in it;
-    only files with such lines have to be read as a whole.
+    Only counts leave the tasks.  Whether a split begins inside a quoted value follows from a
+    running sum of the splits before it, so no file is read as a whole.  ``dueno`` is the split
+    in which the record that runs into this one began; ``impares`` counts lines at which a
+    record with a line break begins or ends, ``ultimo`` marks the end of a file.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first = F.when(F.col("inicio") == 0, F.col("orden"))
-    found = _lines(spark, paths).groupBy("archivo").agg(
-        F.bool_and("ok").alias("ok"),
-        F.min_by(F.col("value").cast("binary"), first).alias("header"),
-        F.bool_or(quotes % 2 == 1).alias("quoted_breaks"),
+    found = _lines(spark, paths).groupBy("archivo", "inicio").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("ok"),
+        F.min_by(F.col("value").cast("binary"), "orden").alias("primera"),
+        F.min("orden").alias("orden_primera"),
+        F.sum(border_quotes(F.col("value")) % 2).alias("impares"),
+    )
+    file = Window.partitionBy("archivo")
+    order = file.orderBy("inicio")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    found = found.select(
+        "archivo", "inicio", "impares", "orden_primera",
+        F.min("ok").over(file).alias("ok"),
+        F.max(F.when(F.col("inicio") == 0, F.col("primera"))).over(file).alias("header"),
+        (F.coalesce(F.sum("impares").over(before), F.lit(0)) % 2 == 1).alias("dentro"),
+        F.max(F.when(F.col("impares") > 0, F.col("inicio"))).over(before).alias("dueno"),
+        F.lead("inicio").over(order).isNull().alias("ultimo"),
     )
     name = F.lit(encoding) if encoding else F.when(F.col("ok"), "UTF-8").otherwise(FALLBACK_ENCODING)
     # bytes that are no UTF-8 are taken as Latin-1 in the header, whatever the encoding asked for
     text = F.when(F.col("ok"), F.decode("header", "UTF-8")).otherwise(F.decode("header", FALLBACK_ENCODING))
-    return found.select(
-        "archivo", name.alias("encoding"),
-        F.rtrim(text, F.lit("\r")).alias("header"), "quoted_breaks",
-    )
+    return found.withColumns({"encoding": name, "header": F.rtrim(text, F.lit("\r"))}).drop("ok")
 
 
 def header_names(header: str) -> list[str]:
@@ -82,18 +112,73 @@ def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+def _assembled(lines: DataFrame, extra: list[str]) -> DataFrame:
+    """Records from the lines of files with quoted line breaks.
+
+    Splits without such records pass through as they are.  Every other split is walked line by
+    line from the state it begins in.  Records that lie in one split are whole; of one that
+    crosses a border the parts are kept by the split it began in, and joined in order.
+    """
+    kept = ["archivo", "formato", *extra]
+    kinds = {field.name: field.dataType.simpleString() for field in lines.schema}
+    crossing = lines.select("value", "inicio", "dentro", "dueno", "impares", "ultimo", *kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        border = re.compile(BORDER_QUOTE.replace("\\ufeff", "\xef\xbb\xbf").encode("latin-1"))
+        place: tuple | None = None
+        inside, held, owner, rest = False, [], None, ()
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(columns, target, strict=True)], names
+            )
+
+        for batch in batches:
+            names = ["value", "inicio", "dueno", *kept]
+            target = [batch.schema.field(name).type for name in names]
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            rows: list[tuple] = []
+            for value, start, begins, before, odd, last, *others in zip(*columns, strict=True):
+                if (others[0], start) != place:
+                    if held:
+                        rows.append((b"\n".join(held), place[1], None if at_end and owner == place[1] else owner, *rest))
+                    place, inside, held, owner, rest, at_end = (others[0], start), begins, [], before, others, last
+                    if not inside:
+                        owner = None
+                if not odd and not inside:
+                    rows.append((value, start, None, *others))
+                    continue
+                held.append(value)
+                if len(border.findall(value.replace(b'""', b""))) % 2:
+                    inside = not inside
+                    if inside:
+                        owner = start
+                if not inside:
+                    whole = owner is None or owner == start
+                    rows.append((b"\n".join(held), start, None if whole else owner, *others))
+                    held, owner = [], None
+            if rows:
+                yield out(rows)
+        if held:
+            yield out([(b"\n".join(held), place[1], None if at_end and owner == place[1] else owner, *rest)])
+
+    fields = ["value binary", "inicio bigint", "dueno bigint", *[f"`{name}` {kinds[name]}" for name in kept]]
+    return crossing.withColumn("value", F.col("value").cast("binary")).mapInArrow(run, ", ".join(fields))
+
+
 class _Layouts:
-    """The files behind some paths, grouped by encoding, header and quoted breaks.
+    """The files behind some paths, grouped by encoding and header.
 
     Only the distinct layouts come to the driver, never a list of files.
     """
 
     def __init__(self, spark: SparkSession, paths, encoding: str | None):
         self.spark, self.paths = spark, _paths(paths)
-        self.files = cut_lineage(file_layouts(spark, paths, encoding))
+        self.splits = cut_lineage(file_splits(spark, paths, encoding))
         self.kinds = (
-            self.files.select("encoding", "header", "quoted_breaks").distinct()
-            .orderBy("encoding", "header", "quoted_breaks").limit(MOST_LAYOUTS + 1).collect()
+            self.splits.select("encoding", "header").distinct()
+            .orderBy("encoding", "header").limit(MOST_LAYOUTS + 1).collect()
         )
         if not self.kinds:
             raise ValueError(f"no lines in {paths}")
@@ -107,36 +192,79 @@ class _Layouts:
             if missing:
                 raise ValueError(f"columns {missing} are missing below the header {kind['header']!r}")
 
-    def rows(self, schema: T.StructType, partitions: str) -> DataFrame:
-        """Columns of the schema, then file, bad line (NULL if good) and partition columns."""
-        parts = [self._part(kind, names, schema, partitions) for kind, names in zip(self.kinds, self.names, strict=True)]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
-
-    def _part(self, kind: T.Row, names: list[str], schema: T.StructType, partitions: str) -> DataFrame:
-        typed = {field.name: field.dataType for field in schema}
-        fields = [T.StructField(name, typed.get(name, T.StringType())) for name in names]
-        extra = T.StructType.fromDDL(partitions).fields if partitions else []
-        read = (
-            self.spark.read.options(
-                header=True, sep=SEPARATOR, encoding=kind["encoding"], multiLine=kind["quoted_breaks"],
-                columnNameOfCorruptRecord=BAD_LINE, mode="PERMISSIVE", enforceSchema=True,
-            )
-            .option("emptyValue", None)
-            .schema(T.StructType([*fields, T.StructField(BAD_LINE, T.StringType()), *extra]))
-            .csv(self.paths)
+    def records(self, partitions: str) -> DataFrame:
+        """``value`` (text), ``formato`` and file of every record, headers and blank lines left out."""
+        extra = [field.name for field in _folders(partitions)]
+        numbered = literal_table(
+            self.spark, [(kind["encoding"], kind["header"], i) for i, kind in enumerate(self.kinds)],
+            "encoding string, header string, formato int",
         )
-        rows = read.select(*schema.names, BAD_LINE, *[f.name for f in extra], F.col("_metadata.file_path").alias("_archivo"))
-        if len(self.kinds) == 1:
-            return rows.withColumn("_own", F.lit(""))
-        mine = self.files.where(
-            (F.col("encoding") == kind["encoding"]) & (F.col("header") == kind["header"])
-            & (F.col("quoted_breaks") == kind["quoted_breaks"])
+        splits = self.splits.join(numbered, ["encoding", "header"]).drop("encoding", "header")
+        facts = self.splits.agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.col("impares") > 0).alias("broken"), F.max("dentro").alias("crossed")
+        ).first()
+        if facts["n"] <= MOST_BROADCAST:
+            splits = F.broadcast(splits)
+        lines = _lines(self.spark, self.paths, partitions).join(splits, ["archivo", "inicio"])
+        lines = lines.where((F.col("inicio") > 0) | (F.col("orden") > F.col("orden_primera")))
+        if facts["broken"]:
+            found = _assembled(lines, extra)
+            whole = found.where("dueno IS NULL")
+            if facts["crossed"]:
+                part = F.struct("inicio", F.col("value").cast("string").alias("value"))
+                parts = found.where("dueno IS NOT NULL").groupBy("archivo", "formato", "dueno", *extra).agg(
+                    F.sort_array(F.collect_list(part)).alias("parts")
+                )
+                joined = F.array_join(F.transform("parts", lambda p: p["value"]), "\n").cast("binary")
+                whole = whole.select("value", "archivo", "formato", *extra).unionByName(
+                    parts.select(joined.alias("value"), "archivo", "formato", *extra)
+                )
+            lines = whole
+        raw = F.col("value").cast("binary")
+        text = None
+        for name in sorted({kind["encoding"] for kind in self.kinds}):
+            own = F.col("value").cast("string") if name == "UTF-8" else F.decode(raw, name)
+            of_name = [i for i, kind in enumerate(self.kinds) if kind["encoding"] == name]
+            hit = F.col("formato").isin(of_name)
+            text = F.when(hit, own) if text is None else text.when(hit, own)
+        return lines.select(F.rtrim(text, F.lit("\r")).alias("value"), "archivo", "formato", *extra).where(
+            F.trim("value") != ""
         )
-        # a column of the file table, so that a filter on it is not moved below the join
-        return rows.join(mine.select(F.col("archivo").alias("_archivo"), F.col("header").alias("_own")), "_archivo")
+
+    def rows(self, schema: T.StructType, partitions: str) -> DataFrame:
+        """Columns of the schema, bad line (NULL if good), partition columns and file, in one scan."""
+        parsed = None
+        for number, names in enumerate(self.names):
+            own = self._parsed(names, schema)
+            hit = F.col("formato") == number
+            parsed = F.when(hit, own) if parsed is None else parsed.when(hit, own)
+        extra = [field.name for field in _folders(partitions)]
+        # not deterministic, so that no filter on a cell moves below: headers are gone when a record
+        # is parsed, and it is parsed once
+        parsed = F.when(F.monotonically_increasing_id() >= 0, parsed)
+        rows = self.records(partitions).select(parsed.alias("_fila"), *extra, F.col("archivo").alias("_archivo"))
+        cells = [F.col("_fila")[f"c{i}"].alias(field.name) for i, field in enumerate(schema)]
+        return rows.select(*cells, F.col("_fila")[BAD_LINE].alias(BAD_LINE), *extra, "_archivo")
+
+    def _parsed(self, names: list[str], schema: T.StructType) -> Column:
+        """The cells of a record with these columns, as a struct of the wanted ones."""
+        typed = {field.name: field.dataType for field in schema}
+        fields = [T.StructField(f"n{i}", typed.get(name, T.StringType())) for i, name in enumerate(names)]
+        record = T.StructType([*fields, T.StructField(BAD_LINE, T.StringType())])
+        options = {"sep": SEPARATOR, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+        found = F.from_csv(F.col("value"), record.toDDL(), options)
+
+        def wanted(row: Column) -> Column:
+            cells = []
+            for i, field in enumerate(schema):
+                cell = row[f"n{names.index(field.name)}"]
+                if isinstance(field.dataType, T.StringType):
+                    cell = F.nullif(cell, F.lit(""))
+                cells.append(cell.alias(f"c{i}"))
+            return F.struct(*cells, row[BAD_LINE].alias(BAD_LINE))
+
+        # bound once, so that each record is parsed once, and with all its cells
+        return F.transform(F.array(found), wanted)[0]
 
 
 def inferred_schema(
@@ -192,9 +320,16 @@ def read_delimited(
 ) -> DataFrame:
     """Rows of semicolon-separated files with a header line.
 
-    Columns are bound by each file's own header; a file that lacks one is an error, further
-    columns are left out.  Without an encoding each file is UTF-8 if it can be, else
-    Latin-1.  Quoted empty values are NULL; quoted line breaks are part of the value.
+    Columns are bound by each file's own header, one line; a file that lacks one is an error,
+    further columns are left out.  Without an encoding each file is UTF-8 if it can be, else
+    Latin-1; an encoding given has to agree with ASCII in its lower half.  Lines end with a line
+    feed, which a carriage return may precede.  A quote inside a quoted value is doubled.  Quoted
+    empty values are NULL; quoted line breaks are part of the value, and files with them are split
+    like any other.
+
+    A first pass counts by split; the result is one scan of the text, whatever the number of
+    layouts.  It reads the table of splits staged by the first pass: keep it and the last write
+    inside :func:`sensoria.session.staging`.
 
     A line with too few or too many cells, or a cell that does not fit its type, ends the
     job (``bad="fail"``) or is left out (``bad="reject"``): :func:`rejected_lines` lists
@@ -209,8 +344,7 @@ def read_delimited(
     rows = layouts.rows(wanted, partitions)
     if bad == FAIL:
         message = F.concat(F.lit("a line does not fit: "), F.col(BAD_LINE), F.lit(" in "), F.col("_archivo"))
-        own_bad = F.col(BAD_LINE).isNotNull() & F.col("_own").isNotNull()
-        good = F.when(own_bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+        good = F.when(F.col(BAD_LINE).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     else:
         good = F.col(BAD_LINE).isNull()
     # true for any row, and makes the parser look at every cell whatever is selected later

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensoria.session import cut_lineage
+from sensoria.session import cut_lineage, literal_table, staging
 from sensoria.sources.delimited import read_delimited
 from sensoria.sources.tables import clear_period, write_periods
 
@@ -21,6 +21,24 @@ def period_columns(period: Column) -> tuple[Column, Column]:
     )
 
 
+def replace_periods(rows: DataFrame, periods: list[str], table: str) -> DataFrame:
+    """Put rows with a ``periodo`` in the place of these periods; (periodo, rows) of each.
+
+    A period without rows is emptied.  The rows are computed once.
+    """
+    spark = rows.sparkSession
+    rows = cut_lineage(rows)
+    given = literal_table(spark, [(period,) for period in periods], "periodo string")
+    counts = given.join(rows.groupBy("periodo").agg(F.count(F.lit(1)).alias("rows")), "periodo", "left")
+    loaded = cut_lineage(counts.fillna(0, ["rows"]))
+    empty = loaded.where("rows = 0").select(*period_columns(F.col("periodo"))).collect()
+    if len(empty) < len(periods):
+        write_periods(rows.select("*", *period_columns(F.col("periodo"))).drop("periodo"), table)
+    for row in empty:
+        clear_period(spark, table, row.asDict())
+    return loaded
+
+
 def land_new_files(
     spark: SparkSession,
     source: str,
@@ -40,8 +58,9 @@ def land_new_files(
     files have been seen.
 
     Files are read as by :func:`sensoria.sources.delimited.read_delimited`: columns by header,
-    encoding per file, a bad line ends the batch before its period is replaced.  A period
-    whose files hold no rows is emptied.  ``on_loaded`` gets (periodo, rows) of each batch.
+    encoding per file, a bad line ends the batch before its period is replaced.  The rows of a
+    batch are parsed once, staged, counted and written from there.  A period whose files hold no
+    rows is emptied.  ``on_loaded`` gets (periodo, rows) of each batch.
     """
     def refresh_periods(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
@@ -50,18 +69,11 @@ def land_new_files(
         if not arrived:
             return
         folders = [f"{source}/periodo={period}" for period in arrived]
-        files = read_delimited(session, folders, schema, encoding=encoding, file_column="_file")
-        dated = files.withColumn("periodo", name).drop("_file")
-        given = session.createDataFrame([(period,) for period in arrived], "periodo string")
-        loaded = given.join(dated.groupBy("periodo").agg(F.count(F.lit(1)).alias("rows")), "periodo", "left")
-        loaded = cut_lineage(loaded.fillna(0, ["rows"]))
-        empty = loaded.where("rows = 0").select(*period_columns(F.col("periodo"))).collect()
-        if len(empty) < len(arrived):
-            write_periods(dated.select("*", *period_columns(F.col("periodo"))).drop("periodo"), table)
-        for row in empty:
-            clear_period(session, table, row.asDict())
-        if on_loaded:
-            on_loaded(loaded)
+        with staging(session):
+            files = read_delimited(session, folders, schema, encoding=encoding, file_column="_file")
+            loaded = replace_periods(files.withColumn("periodo", name).drop("_file"), arrived, table)
+            if on_loaded:
+                on_loaded(loaded)
 
     query = (
         spark.readStream.schema("value string, periodo string")

@@ -49,14 +49,66 @@ def _zip(path, text, encoding="utf-8", name="datos.csv"):
 def test_zipped_csv(spark, tmp_path):
     body = '"b";"a";"n"\n{}\n'
     _zip(tmp_path / "1.zip", body.format('2.5;1;"ñ"\n;2;""'))
-    _zip(tmp_path / "2.zip", body.format("7;3;ñ"), "latin-1")
-    files = archives.archive_files(spark, str(tmp_path / "*.zip"))
-    df = archives.read_zipped(files, "a int, b double, n string", partitions=3)
-    assert sorted(df.collect(), key=lambda r: r.a) == [(1, 2.5, "ñ"), (2, None, None), (3, 7.0, "ñ")]
+    _zip(tmp_path / "2.zip", body.format('7;3;"ñ\nñ"'), "latin-1")
+    paths = str(tmp_path / "*.zip")
+    df = archives.read_zipped(spark, paths, "a int, b double, n string", partitions=3)
+    assert sorted(df.collect(), key=lambda r: r.a) == [(1, 2.5, "ñ"), (2, None, None), (3, 7.0, "ñ\nñ")]
     with pytest.raises(Exception, match="z"):
-        archives.read_zipped(files, "a int, z int").collect()
+        archives.read_zipped(spark, paths, "a int, z int").collect()
     with pytest.raises(Exception, match="does not take"):
-        archives.read_zipped(files, "n int").collect()
+        archives.read_zipped(spark, paths, "n int").collect()
+    with pytest.raises(Exception, match="no archives"):
+        archives.read_zipped(spark, str(tmp_path / "*.tar"), "a int").collect()
+
+
+def test_members_are_partitions(spark, tmp_path):
+    for number in range(2):
+        with zipfile.ZipFile(tmp_path / f"{number}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            for member in range(3):
+                lines = "".join(f"{number * 100 + member * 10 + i};x\n" for i in range(4))
+                archive.writestr(f"in/part {member}.csv", "id;v\n" + lines)
+            archive.writestr("in/empty.csv", "")
+            archive.writestr("in/notes.txt", "id;v\nnone;0\n")
+            archive.mkdir("in/dir.csv")
+    df = archives.read_zipped(spark, [f"file://{tmp_path}"], "id int", file_columns=True)
+    assert df.rdd.getNumPartitions() == 8  # empty members count
+    found = {(r._archivo.rsplit("/", 1)[1], r._miembro, r.id) for r in df.collect()}
+    assert found == {
+        (f"{a}.zip", f"in/part {m}.csv", a * 100 + m * 10 + i) for a in range(2) for m in range(3) for i in range(4)
+    }
+    one = archives.read_zipped(spark, str(tmp_path / "1.zip"), "id int", members="*2.csv")
+    assert rows(one) == [(120,), (121,), (122,), (123,)]
+
+
+def test_a_member_is_streamed(spark, tmp_path):
+    """The reader's memory does not follow the member's size."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    line = "1;" + "x" * 200 + "\n"
+    peaks = []
+    for size in (20_000, 200_000):
+        with zipfile.ZipFile(tmp_path / f"{size}.zip", "w", zipfile.ZIP_DEFLATED) as archive, archive.open(
+            "a.csv", "w"
+        ) as member:
+            member.write(b"id;v\n")
+            for _ in range(size // 1000):
+                member.write(line.encode() * 1000)
+        options = {"paths": json.dumps([str(tmp_path / f"{size}.zip")])}
+        from pyspark.sql.types import StructType
+
+        reader = archives._Reader(StructType.fromDDL("id string, v string"), options)
+        (partition,) = reader.partitions()
+        held, count, most = pa.total_allocated_bytes(), 0, 0
+        tracemalloc.start()
+        for batch in reader.read(partition):
+            count += batch.num_rows
+            most = max(most, pa.total_allocated_bytes() - held)
+        peaks.append(most + tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert count == size
+    assert peaks[1] < 1.5 * peaks[0] + 4_000_000 and peaks[1] < 30_000_000
 
 
 def _payload():
@@ -271,3 +323,106 @@ def test_the_last_entry_of_a_batch_stays(spark):
     old = spark.createDataFrame([("2023", "a", 1)], LEDGER)
     new = spark.createDataFrame([("2023", "z", 2, 1), ("2023", "b", 3, 2)], LEDGER + ", n int")
     assert rows(ledger.upsert_entries(old, new, "periodo", "n")) == [("2023", "b", 3)]
+
+
+def _split_at(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def small_splits(spark):
+    _split_at(spark, 64)
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_records_over_many_splits(spark, tmp_path, small_splits):
+    import csv
+    import random
+
+    random.seed(3)
+    pieces = ["plain", "two\nlines", 'a "quoted" word', "semi;colon", "", "ñandú", "\n\n", "x" * 150, "\n" + "y" * 90 + "\n;"]
+    wanted = []
+    for name, encoding, count in (("a.csv", "utf-8", 80), ("b.csv", "latin-1", 60), ("c.csv", "utf-8", 0), ("d.csv", "utf-8", 9)):
+        with (tmp_path / name).open("w", encoding=encoding, newline="") as file:
+            writer = csv.writer(file, delimiter=";", lineterminator="\n" if name != "d.csv" else "\r\n")
+            writer.writerow(["id", "t"])
+            for i in range(count):
+                cell = random.choice(pieces) + random.choice(["", *pieces])
+                writer.writerow([i, cell])
+                wanted.append((i, cell or None))
+    found = delimited.read_delimited(spark, str(tmp_path), "id int, t string")
+    key = lambda r: (r[0], r[1] or "")
+    assert sorted((tuple(r) for r in found.collect()), key=key) == sorted(wanted, key=key)
+    # the file with breaks is read in several tasks
+    assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 10
+    assert delimited.rejected_lines(spark, str(tmp_path), "id int, t string").count() == 0
+
+
+def test_one_scan_for_three_layouts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id;v\n1;1\n")
+    (tmp_path / "b.csv").write_text("v;id\n2;2\n")
+    (tmp_path / "c.csv").write_bytes('id;ñ;v\n3;x;"3"\n'.encode("latin-1"))
+    found = delimited.read_delimited(spark, str(tmp_path), "id int, v int")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "FileScan csv" not in plan
+    assert rows(found) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_odd_quotes(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('\ufeff"id";"v"\n1;5" pipe\n2;"a ""b"" c"\n3;""\n4;"""x"""\n"5";"y"\n\n6;"open\n')
+    (tmp_path / "u.csv").write_text("id;v\n7;z\nx;w\n")
+    schema = "id int, v string"
+    good = delimited.read_delimited(spark, str(tmp_path), schema, bad="reject")
+    assert rows(good.where("id < 6 OR id = 7").fillna("-")) == [
+        (1, '5" pipe'), (2, 'a "b" c'), (3, "-"), (4, '"x"'), (5, "y"), (7, "z")
+    ]
+    bad = delimited.rejected_lines(spark, str(tmp_path), schema).collect()
+    assert "x;w" in [r.linea for r in bad]
+    # no record is lost, whatever its quotes
+    assert good.count() + len(bad) == 8
+
+
+def test_a_landed_file_without_rows_empties_its_period(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "2024-01.csv").write_text("id;n\n1;a\n")
+    (landed / "2024-02.csv").write_text("id;n\n2;b\n")
+    (landed / "2024-03.csv").write_text("id;n\n3;c\n")
+    ingest.ingest_landed(lake, "aire", str(landed), "id int, n string")
+    (landed / "2024-01.csv").write_text("id;n\n")
+    (landed / "2024-03.csv").write_text("")
+    entries = ingest.ingest_landed(lake, "aire", str(landed), "id int, n string")
+    assert rows(entries.select("periodo", "rows")) == [("2024-01", 0), ("2024-02", 1), ("2024-03", 0)]
+    assert rows(lake.bronze("aire").select("month", "id")) == [(2, 2)]
+    (landed / "2024-02.csv").write_text("")
+    entries = ingest.ingest_landed(lake, "aire", str(landed), "id int, n string")
+    assert {r.rows for r in entries.collect()} == {0}
+
+
+def test_ingest_of_all_datasets_goes_on(spark, tmp_path):
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    for name, files in {"aire": {"2023.csv": "id;n\n1;a\n"}, "trafico": {"2023-05.csv": "id;n\nx;a\n"}}.items():
+        (tmp_path / "in" / name).mkdir(parents=True)
+        for file, text in files.items():
+            (tmp_path / "in" / name / file).write_text(text)
+    kinds = {"trafico": "id int, n string", "aire": "id int, n string", "trafico_puntos_medida": "id int"}
+    rejects, missing = ingest.ingest_all(lake, str(tmp_path / "in"), kinds, 2023, 2023)
+    assert [name for name, _ in rejects] == ["trafico", "trafico_puntos_medida"]
+    assert rows(missing.groupBy("dataset").count()) == [("trafico", 12), ("trafico_puntos_medida", 12)]
+
+
+def test_staged_folders_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from sensoria.session import shared_folder
+
+    shared = Path(shared_folder(spark)) / "sensoria"
+    before = set(shared.glob("*"))
+    lake = tables.Lakehouse(spark, str(tmp_path / "lake"))
+    (tmp_path / "2024-01.csv").write_text('id;n\n1;"a\nb"\n')
+    ingest.ingest_landed(lake, "aire", str(tmp_path), "id int, n string")
+    assert set(shared.glob("*")) == before
