@@ -30,6 +30,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,10 +42,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import Numbers, WordTable, raw, small_batches
+from sensoria.llm.words import WordTable, raw, small_batches
 from sensoria.session import cut_lineage
 
 
+#: Marks behind a letter and before a blank or the end.
+_MARKS = re.compile(rb"([a-z])([.,;:!?]+)(?!\S)")
+
+
 @dataclass
 class Settings:
     """``shares`` maps sources to target weights.
@@ -61,12 +66,13 @@ class Settings:
 
 
 class WordTokens:
-    """Token ids of words, computed once per word and task.
+    """Token ids of words, computed once per word and task while the word keeps coming.
 
-    A word that is letters with punctuation behind is two units, any other word is one.  New
-    letter units are encoded many at a time, parted by blanks: each is one run of letters, so
-    it ends with the only id that carries the tokenizer's end-of-word mark.  Where the counts
-    do not agree (another kind of tokenizer), units are encoded one by one.
+    Tokenizers that lower-case and part letters from marks (the public one does; both are tried
+    out) get words in lower case with the marks behind them as words of their own, so that fewer
+    words differ.  New words of letters are encoded many at a time, parted by blanks: each is one
+    run of letters, so it ends with the only id that carries the tokenizer's end-of-word mark.
+    Where the counts do not agree (another kind of tokenizer), words are encoded one by one.
     """
 
     def __init__(self, path: str | None, limit: int = 300_000):
@@ -81,23 +87,37 @@ class WordTokens:
         names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
         self.ends = np.array([name.endswith("</w>") for name in names])
         self.table = WordTable(limit=limit)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known = Numbers()
-        self.known[""]
         self.ids = np.zeros(0, np.uint32)
-        self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.units = np.zeros((0, 2), np.int32)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        trials = [" Abc, dE?! ", "É a. B;", string.ascii_letters, "x:! y'S, I'm."]
+        self.parts = [self._encode([t])[0] == self._encode([self._parted(t.encode()).decode()])[0] for t in trials]
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _sized(self, units: list[str], joined: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of units, one after the other, and their number for each unit, in chunks."""
+    @staticmethod
+    def _parted(text: bytes) -> bytes:
+        return _MARKS.sub(rb"\1 \2", text.lower())
+
+    def words(self, text: bytes | None) -> list[bytes]:
+        """Pieces of a text between blanks, whose ids one after the other are the text's."""
+        if not text:
+            return []
+        return self._parted(text).split() if all(self.parts) else text.split()
+
+    def _shrink(self) -> None:
+        """Keep the ids of the words that stay."""
+        kept = self.table.shrink()
+        size = self.size[kept]
+        begin = np.cumsum(size) - size
+        self.ids = self.ids[np.repeat(self.start[kept] - begin, size) + np.arange(int(size.sum()))]
+        self.start, self.size = begin, size
+
+    def _sized(self, words: list[str], joined: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of words, one after the other, and their number for each word, in chunks."""
         parts, sizes = [], []
-        for start in range(0, len(units), 500):
-            some = units[start : start + 500]
+        for start in range(0, len(words), 500):
+            some = words[start : start + 500]
             if joined:
                 ids = np.array(self._encode([" ".join(some)])[0], np.uint32)
                 size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
@@ -110,19 +130,8 @@ class WordTokens:
         return parts, sizes
 
     def _learn(self, words: list[bytes]) -> None:
-        before, number = len(self.known), self.known.__getitem__
-        first, second = [], []
-        for text in b"\n".join(words).decode().split("\n"):
-            core = text.rstrip(string.punctuation)
-            if core.isascii():
-                letters, unit = core.isalpha(), core.lower()
-            else:
-                letters, unit = core.isalpha() and core.lower().isalpha(), core
-            first.append(number(unit if letters else text))
-            second.append(number(text[len(core) :]) if letters else 0)
-        self.units = np.concatenate([self.units, np.array([first, second], np.int32).T])
-        fresh = list(self.known)[before:]
-        runs = np.array([unit.isalpha() and unit.lower().isalpha() for unit in fresh], bool)
+        fresh = b"\n".join(words).decode().split("\n")
+        runs = np.array([word.isalpha() and (word.isascii() or word.lower().isalpha()) for word in fresh], bool)
         start, size, end = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64), len(self.ids)
         held = [self.ids]
         for joined in (True, False):
@@ -139,17 +148,16 @@ class WordTokens:
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number for each text."""
         if len(self.table.index) > self.table.limit:
-            self._reset()
-        words, lengths = self.table.batch(texts, lambda text: text.split() if text else [])
+            self._shrink()
+        words, lengths = self.table.batch(texts, self.words)
         added = self.table.fresh()
         if added:
             self._learn(added)
-        units = self.units[words].reshape(-1)
-        size = self.size[units]
+        size = self.size[words]
         edges = np.concatenate([[0], np.cumsum(size)])
-        shift = np.repeat(self.start[units] - edges[:-1], size)
+        shift = np.repeat(self.start[words] - edges[:-1], size)
         flat = self.ids[np.arange(len(shift)) + shift] if len(shift) else np.zeros(0, np.uint32)
-        return flat, np.diff(edges[2 * np.concatenate([[0], np.cumsum(lengths)])])
+        return flat, np.diff(edges[np.concatenate([[0], np.cumsum(lengths)])])
 
 
 def tokenised(docs: DataFrame, s: Settings, text: str, key: str, source: str) -> DataFrame:
