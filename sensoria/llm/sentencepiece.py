@@ -26,6 +26,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,25 +52,34 @@ class Transducer:
     unknown: int
     merges: bool
     pieces: list[str] = field(repr=False)
-    limit: int = 300_000
-    prefixes: dict[str, float | None] = field(init=False, repr=False)
+    limit: int = 400_000
     _adjacent: dict = field(default_factory=dict, repr=False)
     _history: dict = field(default_factory=dict, repr=False)
     _solved: dict = field(default_factory=dict, repr=False)
+    _earlier: dict = field(default_factory=dict, repr=False)
+    _lexicon: tuple = field(init=False, repr=False)
+    _apart: re.Pattern = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
-        # the lexicon as a trie: prefixes of pieces, with the cost where a piece ends
-        self.prefixes = dict.fromkeys(piece[:n] for piece in self.costs for n in range(1, len(piece)))
-        self.prefixes.update(self.costs)
+        inside = {(a, b) for piece in self.costs for a, b in zip(piece, piece[1:], strict=False)}
+        behind_letters = {b for a, b in inside if a.isalpha()}
+        # no piece holds a letter with one of these marks behind it, so every path has a border there
+        marks = re.escape("".join(mark for mark in string.punctuation if mark not in behind_letters))
+        self._apart = re.compile(f"(?<=[^\\W\\d_])(?=[{marks}])" if marks else r"(?!)")
+        # the lexicon as a trie: a state is its arcs by character, and the piece that ends there
+        self._lexicon = ({}, None)
+        for piece in self.costs:
+            arcs = self._lexicon[0]
+            for char in piece[:-1]:
+                arcs = arcs.setdefault(char, ({}, None))[0]
+            below = arcs.get(piece[-1], ({}, None))[0]
+            arcs[piece[-1]] = (below, piece)
 
     def adjacent(self, left: str, right: str) -> bool:
         """Whether merging ``left + right`` by rank leaves a border between the two."""
-        key = (left, right)
-        found = self._adjacent.get(key)
-        if found is None:
-            if len(self._adjacent) > self.limit:
-                self._adjacent.clear()
-            found = self._adjacent[key] = not self.merges or self._border(left, right)
+        if len(self._adjacent) > self.limit:
+            self._adjacent.clear()
+        found = self._adjacent[left, right] = not self.merges or self._border(left, right)
         return found
 
     def _merging(self, piece: str) -> list[tuple[float, str, str]]:
@@ -115,42 +125,45 @@ class Transducer:
         States are (position, last piece); for merge-ranked models one piece at most can end
         at each position, otherwise the cheapest is kept.
         """
-        size, prefixes, merges, adjacent = len(part), self.prefixes, self.merges, self._adjacent
-        reach: list[tuple[float, str | None, int] | None] = [None] * (size + 1)
-        reach[0] = (0.0, None, -1)
+        size, merges, adjacent, costs = len(part), self.merges, self._adjacent, self.costs
+        so_far: list[float | None] = [None] * (size + 1)
+        last: list[str | None] = [None] * (size + 1)
+        begin = [0] * (size + 1)
+        so_far[0] = 0.0
         for start in range(size):
-            before = reach[start]
-            if before is None:
+            spent = so_far[start]
+            if spent is None:
                 continue
-            so_far, last, _ = before
-            for end in range(start + 1, size + 1):
-                piece = part[start:end]
-                if piece not in prefixes:
+            before = last[start]
+            arcs, end = self._lexicon[0], start
+            while end < size:
+                state = arcs.get(part[end])
+                if state is None:
                     break
-                cost = prefixes[piece]
-                if cost is None:
+                end += 1
+                arcs, piece = state
+                if piece is None:
                     continue
-                held = reach[end]
-                if held is not None and (merges or held[0] <= so_far + cost):
+                held, cost = so_far[end], spent + costs[piece]
+                if held is not None and (merges or held <= cost):
                     continue
-                if last is not None:
-                    fits = adjacent.get((last, piece))
-                    if not (self.adjacent(last, piece) if fits is None else fits):
+                if before is not None:
+                    fits = adjacent.get((before, piece))
+                    if not (self.adjacent(before, piece) if fits is None else fits):
                         continue
-                reach[end] = (so_far + cost, piece, start)
-            if reach[start + 1] is None and prefixes.get(part[start]) is None:
-                reach[start + 1] = (so_far, None, start)
+                so_far[end], last[end], begin[end] = cost, piece, start
+            if so_far[start + 1] is None and part[start] not in costs:
+                so_far[start + 1], begin[start + 1] = spent, start
         out: list[int] = []
         at = size
         while at > 0:
-            state = reach[at]
-            if state is None:
+            if so_far[at] is None:
                 raise ValueError("the lexicon has no path for this text")
-            if state[1] is None:
-                out.extend(reversed(self._fallback(part[state[2] : at])))
+            if last[at] is None:
+                out.extend(reversed(self._fallback(part[begin[at] : at])))
             else:
-                out.append(self.ids[state[1]])
-            at = state[2]
+                out.append(self.ids[last[at]])
+            at = begin[at]
         return tuple(reversed(out))
 
     def _fallback(self, text: str) -> list[int]:
@@ -162,18 +175,34 @@ class Transducer:
         """Ids of a text."""
         if not text:
             return []
-        solved, out = self._solved, []
-        if len(solved) > self.limit:
-            solved.clear()
+        if 2 * len(self._solved) > self.limit:
+            # parts that come again are taken over, the others go with the next change
+            self._solved, self._earlier = {}, self._solved
+        solved, earlier, out = self._solved, self._earlier, []
         for part in _PARTS.findall(BLANK + text.replace(" ", BLANK)):
             found = solved.get(part)
             if found is None:
-                found = self.shortest(part)
+                found = earlier.get(part) or self._pieces(part)
                 if len(part) <= 64:
                     solved[part] = found
             out.extend(found)
         return out
 
+    def _pieces(self, part: str) -> tuple[int, ...]:
+        """Ids of a part, cut before marks that no piece joins with a letter."""
+        cut = self._apart.split(part)
+        if len(cut) == 1:
+            return self.shortest(part)
+        out: list[int] = []
+        for one in cut:
+            found = self._solved.get(one) or self._earlier.get(one)
+            if found is None:
+                found = self.shortest(one)
+                if len(one) <= 64:
+                    self._solved[one] = found
+            out.extend(found)
+        return tuple(out)
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids: bytes are put together, the blank in front is taken off."""
         out = bytearray()
