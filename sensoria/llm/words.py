@@ -45,9 +45,10 @@ class Numbers(dict):
 class WordTable:
     """Numbers for words and one feature row per word, computed once per word.
 
-    ``features`` maps a list of new words to a matrix with one row per word.  The table
-    starts over when it holds more than ``limit`` words at the start of a batch, so its
-    memory depends on the limit and the batch, not on the input.
+    ``features`` maps a list of new words to a matrix with one row per word.  When the table
+    holds more than ``limit`` words at the start of a batch, only those that have come again
+    stay, half the limit at most, so its memory depends on the limit and the batch, not on the
+    input.
     """
 
     def __init__(
@@ -58,18 +59,36 @@ class WordTable:
 
     def reset(self) -> None:
         self.index, self.rows, self.filled = Numbers(), None, 0
+        self.hits = np.zeros(0, np.int64)
+
+    def shrink(self) -> np.ndarray:
+        """Leave words out that have not come again; the old numbers of those that stay."""
+        most = self.limit // 2
+        known = self.hits >= 2
+        if known.sum() > most:
+            known = self.hits > np.partition(self.hits, -most)[-most]
+        kept = np.flatnonzero(known)
+        words = list(self.index)
+        self.index = Numbers(zip([words[i] for i in kept.tolist()], range(len(kept)), strict=True))
+        if self.rows is not None:
+            self.rows = self.rows[kept]
+        self.filled, self.hits = len(kept), self.hits[kept] // 2
+        return kept
 
     def batch(
         self, texts: Iterable[bytes | None], cut: Callable[[bytes | None], list[bytes]] = split
     ) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers of all words of all texts, one after the other, and words per text."""
         if len(self.index) > self.limit:
-            self.reset()
+            self.shrink()
         number = self.index.__getitem__
         parts = [np.array(list(map(number, cut(text))), np.int32) for text in texts]
         lengths = np.array([len(part) for part in parts], np.int64)
         self._fill()
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        came = np.bincount(flat, minlength=len(self.index))
+        came[: len(self.hits)] += self.hits
+        self.hits = came
         return flat.astype(np.int32, copy=False), lengths
 
     def fresh(self) -> list[bytes]:
