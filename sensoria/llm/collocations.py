@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensoria.llm.words import Numbers, hash_words, mix, raw, small_batches
+from sensoria.llm.words import Numbers, hash_words, mix, raw, small_batches, tidied
 from sensoria.session import cut_lineage
 
 BREAK = b"."
@@ -96,6 +96,7 @@ def shards(docs: DataFrame, s: Settings, text: str = "text", lang: str = "lang")
     """``lang, words, ids``: words joined by blanks, in order of their ids from 1; ids as bytes."""
     small_batches(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, _Shard] = {}
         total = 0
@@ -272,6 +273,7 @@ def _each(batches: Iterator[pa.RecordBatch]):
 def word_counts(cut: DataFrame) -> DataFrame:
     """Counts of single words, summed over shards."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, listed, hashes, ids in _each(batches):
             there = np.arange(1, len(listed))
@@ -284,6 +286,7 @@ def word_counts(cut: DataFrame) -> DataFrame:
 def phrase_counts(cut: DataFrame, longest: int, words: Bitmap, pairs: Bitmap | None = None) -> DataFrame:
     """Counts of pairs of frequent words or, with ``pairs``, of phrases of 3 to ``longest`` words."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, listed, hashes, ids in _each(batches):
             frequent = words.holds(hashes)

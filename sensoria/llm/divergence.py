@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensoria.llm.words import raw, small_batches
+from sensoria.llm.words import raw, small_batches, tidied
 from sensoria.session import cut_lineage
 
 SCALE = 10**9
@@ -84,6 +84,7 @@ def term_counts(
     limit = (settings or Settings()).held_terms
     small_batches(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = defaultdict(lambda: (Counter(), Counter()))
         for batch in batches:

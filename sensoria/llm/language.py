@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import WordTable, byte_grams, raw, small_batches, sum_by_text
+from sensoria.llm.words import WordTable, byte_grams, raw, small_batches, sum_by_text, tidied
 from sensoria.session import literal_table
 
 UNKNOWN = "und"
@@ -247,6 +247,7 @@ def verdict(spark: SparkSession, model: Model):
     shared = small_batches(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)
+    @tidied
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         table = WordTable(_word_features(model.weights, model.typical, model.settings))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import remainder
-from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches
+from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches, tidied
 from sensoria.session import cut_lineage
 
 FORM_BITS = 12
@@ -116,6 +116,7 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """``hash, form, count`` of every word, pre-aggregated in each task."""
     small_batches(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = WordTable(_plain), np.zeros(0, np.int64)
 
@@ -347,6 +348,7 @@ def scored_parts(docs: DataFrame, model: Model, text: str, key: str) -> DataFram
     spark = small_batches(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         v, table = model.vocabulary, WordTable(_features(model.vocabulary), limit=200_000)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import raw, small_batches
+from sensoria.llm.words import raw, small_batches, tidied
 
 
 @dataclass
@@ -132,6 +132,7 @@ def fingerprints(docs: DataFrame, settings: Settings | None = None, text: str =
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("string")
+    @tidied
     def mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([fingerprint(t, s) for t in raw(batch)], pa.string())
@@ -189,6 +190,7 @@ def edited_fingerprints(docs: DataFrame, settings: Settings | None = None, text:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = dict(docs.dtypes)[key]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # row waiting for its successor: doc_id, text, slot, fingerprint
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.graph import components
-from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches, split
+from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches, split, tidied
 from sensoria.session import cut_lineage
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -127,6 +127,7 @@ def signatures(docs: DataFrame, s: Settings, text: str = "text", key: str = "doc
     """
     small_batches(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(hash_words)
         for batch in batches:
@@ -161,6 +162,7 @@ def _identity(text: str, key: str) -> list[Column]:
 def _sets(docs: DataFrame, s: Settings) -> DataFrame:
     """Input ``node, family, parts, text``; the text replaced by its full set, once a node and task."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = WordTable(hash_words), set()
         for batch in batches:
@@ -238,6 +240,7 @@ def _family_links(blocks: DataFrame, s: Settings) -> DataFrame:
         if held:
             yield held
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in groups(batches):
             if len(held) < 2:

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import WordTable, raw, small_batches
+from sensoria.llm.words import WordTable, raw, small_batches, tidied
 from sensoria.session import cut_lineage
 
 
@@ -168,6 +168,7 @@ def tokenised(docs: DataFrame, s: Settings, text: str, key: str, source: str) ->
     small_batches(docs.sparkSession)
     queue = F.coalesce(F.col(source).cast("string"), F.lit(""))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(s.tokenizer)
         part = TaskContext.get().partitionId()
@@ -321,6 +322,7 @@ def pack(
     )
     shared = docs.sparkSession.sparkContext.broadcast(plan)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import with_struct
-from sensoria.llm.words import WordTable, hash_words, raw, small_batches, sum_by_text
+from sensoria.llm.words import WordTable, hash_words, raw, small_batches, sum_by_text, tidied
 
 SIGNALS = ("words", "word_length", "symbols", "upper", "digits", "variety", "repeats", "short_lines", "ends")
 LABELLERS = (
@@ -186,6 +186,7 @@ def vote_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``pattern, n``: texts with each combination of votes, pre-aggregated in every task."""
     small_batches(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = WordTable(_word_signals, limit=150_000), np.zeros(3 ** len(LABELLERS), np.int64)
         for batch in batches:
@@ -248,6 +249,7 @@ def judge(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("quality double, posterior double, kept boolean")
+    @tidied
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         s, table = model.settings, WordTable(_word_signals, limit=150_000)

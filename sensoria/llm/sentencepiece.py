@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import with_struct
-from sensoria.llm.words import small_batches
+from sensoria.llm.words import small_batches, tidied
 
 BLANK = "▁"
 _PARTS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
@@ -247,6 +247,7 @@ def encoded(docs: DataFrame, model_file: str | None = None, text: str = "text")
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
+    @tidied
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = compiled(model_file)
         for batch in batches:
@@ -260,6 +261,7 @@ def decoded(docs: DataFrame, model_file: str | None = None, ids: str = "ids") ->
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("string")
+    @tidied
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = compiled(model_file)
         for batch in batches:
@@ -276,6 +278,7 @@ def round_trips(docs: DataFrame, model_file: str | None = None, text: str = "tex
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("n_ids long, ids_crc32 long, restored boolean")
+    @tidied
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import zlib
 

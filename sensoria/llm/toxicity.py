@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import kept_by, remainder, with_struct
-from sensoria.llm.words import WordTable, byte_grams, hash_words, raw, small_batches
+from sensoria.llm.words import WordTable, byte_grams, hash_words, raw, small_batches, tidied
 
 ORDERS = (3, 5)
 _CHUNK = 20_000
@@ -432,6 +432,7 @@ def verdict(spark: SparkSession, model: Model):
     shared = small_batches(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf("score double, predicted int")
+    @tidied
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         table = WordTable(_projector(model), limit=150_000) if model.evidence else None
