@@ -36,6 +36,7 @@ from sensoria.llm.words import Numbers, hash_words, mix, raw, small_batches, tid
 from sensoria.session import cut_lineage
 
 BREAK = b"."
+SHARD_BYTES = 4 * 1024 * 1024
 
 
 @dataclass
@@ -44,7 +45,7 @@ class Settings:
     min_count: int = 100
     top: int = 2000
     covered_percent: int = 100
-    shard_words: int = 1 << 19
+    shard_words: int = 1 << 18
     max_bits: int = 26
 
 
@@ -311,6 +312,8 @@ def _summed(rows: DataFrame) -> DataFrame:
 def counted_phrases(docs: DataFrame, s: Settings, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """Frequent words and phrases ``lang, phrase, n_words, a``, and ``lang, n``."""
     cut = cut_lineage(shards(docs, s, text, lang))
+    # a shard is one value of about a megabyte; few at once keep Arrow's buffers small
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SHARD_BYTES))
     words = cut_lineage(word_counts(cut))
     sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = words.where(F.col("a") >= s.min_count)
