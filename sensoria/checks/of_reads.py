@@ -6,8 +6,9 @@ from sensoria.checks.fixtures import Inputs
 from sensoria.checks.of_star import dim_district, fact_air, silver_traffic
 from sensoria.checks.registry import check
 from sensoria.functions.codes import run_name
-from sensoria.plans import dashboard, reads
-from sensoria.sources.tables import sample_rows
+from sensoria.plans import coverage, dashboard, reads
+from sensoria.session import new_folder
+from sensoria.sources.tables import Lakehouse, sample_rows
 
 GAS, DISTRICT, STATION, POINT = "NO2", "19", 8, 7
 
@@ -218,9 +219,7 @@ def _(inputs: Inputs):
 # Selectors: one with data, one that falls back.
 
 
-@check(
-    "filter_cascade",
-    f"""WITH {_SPAN}
+_CASCADE = f"""WITH {_SPAN}
         SELECT DISTINCT 'distrito' AS selector, s.COD_DIS AS opcion
         FROM v_air a JOIN v_station s ON a.ID_AIRE = s.ID_AIRE
         WHERE a.MAGNITUD = '{GAS}' AND a.VALIDEZ = 'V'
@@ -233,12 +232,15 @@ def _(inputs: Inputs):
         UNION ALL SELECT 'anio sin datos', UNNEST(['2020', '2021', '2022', '2023', '2024'])
         UNION ALL SELECT DISTINCT 'mes', CAST(month(m) AS VARCHAR) FROM months
         WHERE year(m) = 1996
-        UNION ALL SELECT 'mes sin datos', CAST(UNNEST(range(1, 13)) AS VARCHAR)""",
-)
+        UNION ALL SELECT 'mes sin datos', CAST(UNNEST(range(1, 13)) AS VARCHAR)"""
+
+
+@check("filter_cascade", _CASCADE)
 def _(inputs: Inputs):
-    shown = dashboard.SensorTables(
-        *_air(inputs), *_traffic(inputs), inputs.view("v_district")
-    )
+    return _cascade(dashboard.SensorTables(*_air(inputs), *_traffic(inputs), inputs.view("v_district")))
+
+
+def _cascade(shown):
     options = {
         "distrito": dashboard.district_options(shown, "Aire", GAS),
         "distrito sin datos": dashboard.district_options(shown, "Aire", "EBE"),
@@ -259,6 +261,41 @@ def _(inputs: Inputs):
     return result
 
 
+@check("filter_cascade_by_load", _CASCADE)
+def _(inputs: Inputs):
+    """The same lists from a table that two loads have kept; no reading is read for them."""
+    air, stations = _air(inputs)
+    traffic, points = _traffic(inputs)
+    early, late = F.year("FECHA") < 1997, F.year("FECHA") >= 1997
+    lake = Lakehouse(inputs.spark, new_folder(inputs.spark, "lake"))
+    lake.write("silver", "aire", air.where("ID_AIRE % 2 = 0"))
+    lake.write("silver", "trafico", traffic.where(early))
+    coverage.rebuild(lake)
+    coverage.add_load(lake, "aire", air.where("ID_AIRE % 2 = 1"))
+    coverage.add_load(lake, "trafico", traffic.where(late))
+    return _cascade(coverage.selector_tables(coverage.read(lake), stations, points, inputs.view("v_district")))
+
+
+@check(
+    "coverage_by_month",
+    """SELECT ID_AIRE AS sensor, MAGNITUD AS variable, 'aire' AS dataset, CAST(year(FECHA) AS INTEGER) AS anio,
+              CAST(month(FECHA) AS INTEGER) AS mes, COUNT(*) AS filas, MIN(FECHA) AS primer_dia,
+              MAX(FECHA) AS ultimo_dia
+       FROM v_air WHERE VALIDEZ = 'V' GROUP BY ALL
+       UNION ALL
+       SELECT ID_TRAFICO, variable, 'trafico', CAST(year(FECHA) AS INTEGER), CAST(month(FECHA) AS INTEGER), COUNT(*),
+              CAST(MIN(FECHA) AS DATE), CAST(MAX(FECHA) AS DATE)
+       FROM (SELECT ID_TRAFICO, FECHA, '*' AS variable FROM v_traffic
+             UNION ALL SELECT ID_TRAFICO, FECHA, 'INTENSIDAD' FROM v_traffic WHERE INTENSIDAD IS NOT NULL
+             UNION ALL SELECT ID_TRAFICO, FECHA, 'OCUPACION' FROM v_traffic WHERE OCUPACION IS NOT NULL
+             UNION ALL SELECT ID_TRAFICO, FECHA, 'CARGA' FROM v_traffic WHERE CARGA IS NOT NULL
+             UNION ALL SELECT ID_TRAFICO, FECHA, 'VMED' FROM v_traffic WHERE VMED IS NOT NULL)
+       GROUP BY ALL""",
+)
+def _(inputs: Inputs):
+    return coverage.merged([coverage.air_coverage(_air(inputs)[0]), coverage.traffic_coverage(_traffic(inputs)[0])])
+
+
 # KPIs, tables, maps.
 
 

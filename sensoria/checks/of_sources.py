@@ -9,6 +9,7 @@ from sensoria.checks.registry import check
 from sensoria.functions.dates import period_label
 from sensoria.session import new_folder
 from sensoria.sources import archives, delimited, ledger, metrics, resources, tables
+from sensoria.streaming.arrivals import land_once
 from sensoria.streaming.landing import land_new_files
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -333,6 +334,22 @@ def _(inputs: Inputs):
     return tables.read_table(spark, table)
 
 
+@check(
+    "arrivals_once",
+    "SELECT event_id, value, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month FROM events",
+)
+def _(inputs: Inputs):
+    spark = inputs.spark
+    source, table, state = (new_folder(spark, name) for name in ("arrive", "once", "state"))
+    events = inputs.table("events").select("event_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    third = F.col("event_id") % 3
+    # every reading arrives twice, two thirds of them in different rounds
+    for arrived in (third < 2, third > 0, third != 1):
+        events.where(arrived).write.mode("append").parquet(source)
+        land_once(spark, source, "event_id bigint, value double, ts timestamp", table, state, ["event_id"], "ts", "400 days")
+    return tables.read_table(spark, table).drop("ts")
+
+
 @check("glob_scan", "SELECT 'orders.parquet' AS archivo, COUNT(*) AS filas FROM orders")
 def _(inputs: Inputs):
     files = tables.read_table(inputs.spark, f"{inputs.folder}/order*.parquet")

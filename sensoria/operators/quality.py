@@ -23,7 +23,23 @@ NATURAL_KEYS = {
     "fact_trafico_diario": ["ID_TRAFICO", "FECHA", "ID_MEDIDA_TRAFICO"],
 }
 
-# Column types of the gold tables.
+# Foreign keys of the gold tables: column and the dimension whose natural key it is.
+FOREIGN_KEYS = {
+    "dim_geometria": {"COD_DIS": "dim_distrito"},
+    "dim_estacion_aire": {"COD_DIS": "dim_distrito"},
+    "dim_punto_trafico": {"COD_DIS": "dim_distrito"},
+    "dim_distrito_magnitud": {"COD_DIS": "dim_distrito", "ID_MAGNITUD": "dim_magnitud"},
+    "fact_calidad_aire": {
+        "FECHA": "dim_fecha", "ID_AIRE": "dim_estacion_aire", "COD_DIS": "dim_distrito",
+        "ID_MAGNITUD": "dim_magnitud",
+    },
+    "fact_trafico_diario": {
+        "FECHA": "dim_fecha", "ID_TRAFICO": "dim_punto_trafico", "COD_DIS": "dim_distrito",
+        "ID_MEDIDA_TRAFICO": "dim_medida_trafico",
+    },
+}
+
+# The agreed column types of the gold tables.
 CONTRACT = {
     "dim_distrito": {
         "COD_DIS": "string", "NOMBRE": "string", "GEOMETRY": "binary",
@@ -81,6 +97,25 @@ def orphan_keys(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return used.join(dimension.select(key), key, "left_anti")
 
 
+def unknown_references(df: DataFrame, references: Mapping[str, DataFrame]) -> DataFrame:
+    """(columna, valor, n): values of several foreign keys that their dimensions lack.
+
+    All keys are counted in one pass, one row per value and task before the shuffle.  The
+    dimension's key has the column's name; NULLs refer to nothing and pass.
+    """
+    cells = [
+        F.struct(F.lit(name).alias("columna"), F.col(name).cast("string").alias("valor")) for name in references
+    ]
+    used = df.select(F.inline(F.array(*cells))).where("valor IS NOT NULL")
+    kinds = dict(df.dtypes)
+    known = None
+    for name, dimension in references.items():
+        part = dimension.select(F.lit(name).alias("columna"), F.col(name).cast(kinds[name]).cast("string").alias("valor"))
+        known = part if known is None else known.unionByName(part)
+    counted = used.groupBy("columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(known, ["columna", "valor"], "left_anti")
+
+
 def schema_drift(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Columns that are missing, unexpected or of another type than agreed."""
     spark = df.sparkSession

@@ -213,3 +213,56 @@ def test_staged_tables_go_after_the_last_write(spark, tmp_path):
         assert os.path.exists(path)
     assert not os.path.exists(path)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_targets_and_references(lake, spark):
+    with pytest.raises(ValueError, match="gold"):
+        medallion.run(lake, targets=["gold"])
+    medallion.run(lake, targets=["facts"])
+    facts = lake.gold("fact_calidad_aire")
+    dims = {column: lake.gold(name) for column, name in quality.FOREIGN_KEYS["fact_calidad_aire"].items()}
+    assert quality.unknown_references(facts, dims).count() == 0
+    strange = facts.withColumns({"ID_AIRE": F.lit(99).cast("bigint"), "COD_DIS": F.lit(None).cast("string")})
+    found = quality.unknown_references(strange, dims).collect()
+    assert [(r.columna, r.valor, r.n) for r in found] == [("ID_AIRE", "99", facts.count())]
+
+
+def test_coverage_replaces_the_readings(lake, spark):
+    from sensoria.plans import coverage
+
+    stations, points = lake.silver("estaciones_aire"), lake.gold("dim_punto_trafico")
+    districts = lake.gold("dim_distrito")
+    shown = coverage.selector_tables(coverage.read(lake), stations, points, districts)
+    exact = dashboard.SensorTables.of(lake)
+    for domain, variable, district in (("Aire", "NO2", "01"), ("Trafico", "CARGA", "01"), ("Aire", "EBE", "02")):
+        for options in (
+            lambda t: dashboard.year_options(t, domain, variable, district),
+            lambda t: dashboard.month_options(t, domain, variable, district, 2024),
+            lambda t: dashboard.district_options(t, domain, variable),
+            lambda t: dashboard.variable_options(t, domain, district),
+        ):
+            assert options(shown).collect() == options(exact).collect()
+    plan = dashboard.year_options(shown, "Aire", "NO2", "01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "VALIDEZ" not in plan and "DATO" not in plan
+
+
+def test_coverage_of_one_month(spark, tmp_path):
+    from sensoria.plans import coverage
+
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    kind = "ID_AIRE bigint, MAGNITUD string, FECHA date, DATO double, VALIDEZ string"
+    rows = [(1, "NO2", date(2024, m, d), 1.0, "V") for m in (1, 2) for d in (3, 9)] + [(1, "O3", date(2024, 1, 5), 1.0, "N")]
+    air = spark.createDataFrame(rows, kind)
+    months = [(2024, 1), (2024, 2)]
+    coverage.replace_months(lake, "aire", air, months)
+    before = sorted(coverage.read(lake).collect())
+    assert [(r.mes, r.filas, r.primer_dia.day, r.ultimo_dia.day) for r in sorted(before, key=lambda r: r.mes)] == [(1, 2, 3, 9), (2, 2, 3, 9)]
+    coverage.replace_months(lake, "aire", air, months)
+    assert sorted(coverage.read(lake).collect()) == before
+    coverage.add_load(lake, "aire", spark.createDataFrame([(1, "NO2", date(2024, 2, 28), 2.0, "V")], kind))
+    february = coverage.read(lake).where("mes = 2").first()
+    assert (february.filas, february.ultimo_dia) == (3, date(2024, 2, 28))
+    coverage.replace_months(lake, "aire", air.where("MONTH(FECHA) = 2"), months)
+    assert [r.mes for r in coverage.read(lake).collect()] == [2]
+    with pytest.raises(ValueError):
+        coverage.coverage_of("otro", air)

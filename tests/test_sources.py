@@ -426,3 +426,22 @@ def test_staged_folders_are_removed(spark, tmp_path):
     (tmp_path / "2024-01.csv").write_text('id;n\n1;"a\nb"\n')
     ingest.ingest_landed(lake, "aire", str(tmp_path), "id int, n string")
     assert set(shared.glob("*")) == before
+
+
+def test_arrivals_land_once_and_state_stays_bounded(spark, tmp_path):
+    from datetime import timedelta
+
+    from sensoria.streaming.arrivals import land_once
+
+    source, table, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "id bigint, v double, fecha timestamp"
+    start = datetime(2024, 1, 1)
+    for day in range(0, 40, 4):
+        arrived = [(d, float(day), start + timedelta(days=d)) for d in range(max(0, day - 3), day + 4)]
+        spark.createDataFrame(arrived + arrived[:2], schema).write.mode("append").parquet(source)
+        land_once(spark, source, schema, table, state, ["id"], "fecha", "10 days")
+    found = tables.read_table(spark, table)
+    assert sorted(r.id for r in found.collect()) == list(range(40))
+    assert found.where("id = 4").first().v == 4.0  # the first arrival stays
+    held = spark.read.format("statestore").load(state).count()
+    assert held < 25
