@@ -9,9 +9,10 @@ each symbol give the new interval there, and the symbols before it the shift in
 Extending right, left, right, left enumerates all phrases of growing length with their counts.
 
 Counts are summed over shards.  A phrase is at most as frequent as its parts, so rounds prune each
-other: words below ``min_count`` become breaks, and longer phrases grow from frequent pairs only.
-Which words and pairs are frequent reaches the tasks as a bitmap of at most ``2^max_bits`` bits
-whatever their number; a false hit costs a row, no result.  Sums, scores and the choice are Spark
+other: words below ``min_count`` become breaks, and phrases grow from frequent pairs only.  Which
+words and pairs are frequent reaches the tasks as a bitmap of at most ``2^max_bits`` bits whatever
+their number; pairs are counted by as many buckets of their hashes, so that rare ones cost a bucket
+number in the shuffle and no text.  A false hit costs a row, no result.  Sums, scores and the choice are Spark
 aggregations and joins on the phrase; products are 38-digit decimals.
 
 Defined results: NULL texts are empty, a NULL language is ``und``; a word or a phrase never crosses
@@ -284,23 +285,46 @@ def word_counts(cut: DataFrame) -> DataFrame:
     return _summed(cut.mapInArrow(run, KINDS))
 
 
-def phrase_counts(cut: DataFrame, longest: int, words: Bitmap, pairs: Bitmap | None = None) -> DataFrame:
-    """Counts of pairs of frequent words or, with ``pairs``, of phrases of 3 to ``longest`` words."""
+def _cut_at_rare(listed: list[bytes], hashes: np.ndarray, ids: np.ndarray, words: Bitmap):
+    """Words that may be frequent, their hashes, and the ids with breaks for all others."""
+    frequent = words.holds(hashes)
+    frequent[0] = False
+    old = np.flatnonzero(frequent)
+    fresh = np.zeros(len(listed), np.int32)
+    fresh[old] = np.arange(1, len(old) + 1)
+    return [BREAK, *(listed[i] for i in old)], np.concatenate([hashes[:1], hashes[old]]), _joined_breaks(fresh[ids])
+
+
+def frequent_pairs(cut: DataFrame, words: Bitmap, s: Settings) -> Bitmap:
+    """Pairs of words that may be frequent, from counts by ``2^max_bits`` buckets of their hashes.
+
+    A bucket counts at least what any pair in it does; only bucket numbers and counts are shuffled.
+    """
+    mask = np.uint64((1 << s.max_bits) - 1)
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, listed, hashes, ids in _each(batches):
+            held, marks, kept = _cut_at_rare(listed, hashes, ids, words)
+            for found, counts in enumerate_phrases(kept, len(held), 2):
+                bucket = (pair_hash(marks[found[:, 0]], marks[found[:, 1]]) & mask).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(counts.astype(np.int32))], ["bucket", "n"])
+
+    sums = cut.mapInArrow(run, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n"))
+    full = cut_lineage(sums.where(F.col("n") >= s.min_count).select(F.col("bucket").cast("long").alias("hash")))
+    return bitmap(full, s.max_bits)
+
+
+def phrase_counts(cut: DataFrame, longest: int, words: Bitmap, pairs: Bitmap) -> DataFrame:
+    """Counts of phrases of 2 to ``longest`` words, all of whose pairs may be frequent."""
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, listed, hashes, ids in _each(batches):
-            frequent = words.holds(hashes)
-            frequent[0] = False
-            old = np.flatnonzero(frequent)
-            fresh = np.zeros(len(listed), np.int32)
-            fresh[old] = np.arange(1, len(old) + 1)
-            held = pa.array([BREAK, *(listed[i] for i in old)], pa.binary()).cast(pa.string())
-            marks = np.concatenate([hashes[:1], hashes[old]])
-            grown = enumerate_phrases(_joined_breaks(fresh[ids]), len(held), longest, marks, pairs)
-            for found, counts in grown:
-                if pairs is None or found.shape[1] > 2:
-                    yield from _rows(lang, held, found, counts, pair_hash(marks[found[:, 0]], marks[found[:, -1]]))
+            held, marks, kept = _cut_at_rare(listed, hashes, ids, words)
+            text = pa.array(held, pa.binary()).cast(pa.string())
+            for found, counts in enumerate_phrases(kept, len(held), longest, marks, pairs):
+                yield from _rows(lang, text, found, counts, marks[found[:, 0]])
 
     return _summed(cut.mapInArrow(run, KINDS))
 
@@ -318,11 +342,8 @@ def counted_phrases(docs: DataFrame, s: Settings, text: str = "text", lang: str
     sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = words.where(F.col("a") >= s.min_count)
     known = bitmap(frequent, s.max_bits)
-    pairs = cut_lineage(phrase_counts(cut, 2, known).where(F.col("a") >= s.min_count))
-    found = frequent.unionByName(pairs)
-    if s.depth > 2:
-        longer = phrase_counts(cut, s.depth, known, bitmap(pairs, s.max_bits)).where(F.col("a") >= s.min_count)
-        found = found.unionByName(cut_lineage(longer))
+    longer = phrase_counts(cut, s.depth, known, frequent_pairs(cut, known, s))
+    found = frequent.unionByName(cut_lineage(longer.where(F.col("a") >= s.min_count)))
     return found.drop("hash"), sizes
 
 
