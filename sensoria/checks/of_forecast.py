@@ -43,8 +43,8 @@ def naive_sql(train: str, future: str, domain: str) -> str:
                ON {over}"""
 
 
-def ar_ctes(train: str, future: str, domain: str) -> str:
-    """Common table expressions ending in ``ar_out``: the seasonal autoregression."""
+def ar_ctes(train: str, future: str, domain: str, name: str = "ar") -> str:
+    """Common table expressions ending in ``<name>_out``: the seasonal autoregression."""
     keys = [name.strip() for name in domain.split(",")] + ["estacion"]
     k = ", ".join(keys)
 
@@ -57,7 +57,7 @@ def ar_ctes(train: str, future: str, domain: str) -> str:
     levels = ", ".join(f"LAG(v, {d}) OVER w AS v{d}" for d in range(1, 8))
     carried = ", ".join(f"s.v{d} AS l{d}" for d in range(0, 8))
     shifted = ", ".join(f"a.l{d - 1} AS l{d}" for d in range(1, 8))
-    return f"""
+    text = f"""
         ar_span AS (SELECT {k}, MIN(fecha) AS a, MAX(fecha) AS b FROM {train} GROUP BY {k}),
         ar_cal AS (SELECT {k}, CAST(UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS DATE)
                    AS fecha FROM ar_span),
@@ -99,6 +99,7 @@ def ar_ctes(train: str, future: str, domain: str) -> str:
                    LEFT JOIN ar_fc c ON {eq('c', 'f')} AND c.fecha = f.fecha
                    LEFT JOIN ar_last s ON {eq('s', 'f')}
                    LEFT JOIN ar_all o ON {eq('o', 'f', keys[:-1])})"""
+    return text.replace("ar_", f"{name}_")
 
 
 def _feature_columns(prefix: str = "") -> str:
@@ -226,6 +227,23 @@ def _(inputs: Inputs):
     return md.seasonal_ar(train, future, GAS)
 
 
+@check(
+    "seasonal_arma",
+    f"""SELECT gas, estacion, COUNT(*) AS filas, COUNT(*) AS en_rango, MIN(fecha) AS desde,
+               MAX(fecha) AS hasta FROM {_FUTURE} GROUP BY gas, estacion""",
+)
+def _(inputs: Inputs):
+    train, future = _split(inputs)
+    most = train.groupBy("gas").agg(F.max("dato").alias("maximo"))
+    predicted = md.seasonal_arma(train, future, GAS).join(most, "gas")
+    return predicted.groupBy("gas", "estacion").agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(F.col("yhat").between(0, md.CEILING_FACTOR * F.col("maximo"))).alias("en_rango"),
+        F.min("fecha").alias("desde"),
+        F.max("fecha").alias("hasta"),
+    )
+
+
 @check(
     "gbt_global",
     f"""SELECT gas, COUNT(*) AS filas, COUNT(*) AS finitas,
@@ -245,21 +263,23 @@ def _(inputs: Inputs):
     )
 
 
-_FOLDS = """
-    tr AS (SELECT * FROM v_feat_dense WHERE NOT futuro),
-    ends AS (SELECT gas, MAX(fecha) AS fin FROM tr GROUP BY gas),
-    win AS (SELECT gas, CAST(k AS INTEGER) AS fold,
-                   CAST(fin - CAST((k + 1) * 30 - 1 AS INTEGER) AS DATE) AS ini_test,
-                   CAST(fin - CAST(k * 30 AS INTEGER) AS DATE) AS fin_test
+def folds_ctes(features: str) -> str:
+    """Common table expressions ending in ``ftrain`` and ``ftest``: three test windows per gas."""
+    return f"""
+    tr AS (SELECT * FROM {features} WHERE NOT futuro),
+    ends AS (SELECT gas, MAX(h) AS h, MAX(fecha) AS fin FROM tr GROUP BY gas),
+    win AS (SELECT gas, h, CAST(k AS INTEGER) AS fold,
+                   CAST(fin - CAST((k + 1) * h - 1 AS INTEGER) AS DATE) AS ini_test,
+                   CAST(fin - CAST(k * h AS INTEGER) AS DATE) AS fin_test
             FROM ends, range(0, 3) r(k)),
-    cnt AS (SELECT w.gas, w.fold, w.ini_test, w.fin_test,
+    cnt AS (SELECT w.gas, w.h, w.fold, w.ini_test, w.fin_test,
                    COUNT(DISTINCT CASE WHEN t.fecha < w.ini_test THEN t.fecha END) AS n_train,
                    COUNT(DISTINCT CASE WHEN t.fecha BETWEEN w.ini_test AND w.fin_test
                                        THEN t.fecha END) AS n_test
-            FROM win w JOIN tr t ON t.gas = w.gas GROUP BY 1, 2, 3, 4),
+            FROM win w JOIN tr t ON t.gas = w.gas GROUP BY 1, 2, 3, 4, 5),
     folds AS (SELECT c.* FROM cnt c WHERE NOT EXISTS (
                 SELECT 1 FROM cnt d WHERE d.gas = c.gas AND d.fold <= c.fold
-                AND (d.n_test = 0 OR d.n_train < 30))),
+                AND (d.n_test = 0 OR d.n_train < d.h))),
     ftrain AS (SELECT t.*, f.fold FROM tr t JOIN folds f ON f.gas = t.gas
                WHERE t.fecha < f.ini_test),
     ftest AS (SELECT t.*, f.fold FROM tr t JOIN folds f ON f.gas = t.gas
@@ -268,7 +288,7 @@ _FOLDS = """
 
 @check(
     "rolling_origin_folds",
-    f"""WITH {_FOLDS} SELECT gas, fold, 'train' AS rol, COUNT(*) AS n, MIN(fecha) AS desde,
+    f"""WITH {folds_ctes('v_feat_dense')} SELECT gas, fold, 'train' AS rol, COUNT(*) AS n, MIN(fecha) AS desde,
                MAX(fecha) AS hasta FROM ftrain GROUP BY 1, 2
         UNION ALL SELECT gas, fold, 'test', COUNT(*), MIN(fecha), MAX(fecha) FROM ftest
         GROUP BY 1, 2""",
@@ -281,8 +301,10 @@ def _(inputs: Inputs):
     )
 
 
-_PREDICTED = f"""
-    WITH RECURSIVE {_FOLDS}, {ar_ctes('ftrain', 'ftest', 'gas, fold')},
+def predicted_ctes(features: str) -> str:
+    """Common table expressions ending in ``ranked``: errors of the models SQL can follow."""
+    return f"""
+    WITH RECURSIVE {folds_ctes(features)}, {ar_ctes('ftrain', 'ftest', 'gas, fold')},
     nv AS ({naive_sql('ftrain', 'ftest', 'gas, fold')}),
     pred AS (SELECT 'seasonal_naive' AS modelo, gas, fold, estacion, fecha, yhat FROM nv
              UNION ALL SELECT 'seasonal_ar', gas, fold, estacion, fecha, yhat FROM ar_out),
@@ -294,6 +316,8 @@ _PREDICTED = f"""
     ranked AS (SELECT gas, modelo, AVG(mae) AS mae, AVG(rmse) AS rmse, COUNT(*) AS origenes
                FROM per_fold GROUP BY 1, 2)"""
 
+
+_PREDICTED = predicted_ctes("v_feat_dense")
 _SQL_MODELS = {"seasonal_naive": md.seasonal_naive, "seasonal_ar": md.seasonal_ar}
 
 
@@ -324,13 +348,14 @@ def _(inputs: Inputs):
     "model_registry",
     f"""SELECT gas, 'seasonal_naive' AS modelo, COUNT(*) AS filas, COUNT(yhat) AS predichas
         FROM ({naive_sql(_TRAIN, _FUTURE, 'gas')}) GROUP BY 1
-        UNION ALL SELECT gas, 'seasonal_ar', COUNT(*), COUNT(*) FROM v_feat_dense WHERE futuro
-        GROUP BY 1""",
+        UNION ALL SELECT gas, name, COUNT(*), COUNT(*)
+        FROM v_feat_dense, (VALUES ('seasonal_ar'), ('seasonal_arma')) m(name)
+        WHERE futuro GROUP BY 1, 2""",
 )
 def _(inputs: Inputs):
     train, future = _split(inputs)
     result = None
-    for name in _SQL_MODELS:
+    for name in (*_SQL_MODELS, "seasonal_arma"):
         part = md.MODELS[name](train, future, GAS).withColumn("modelo", F.lit(name))
         result = part if result is None else result.unionByName(part)
     return result.groupBy("gas", "modelo").agg(
@@ -355,6 +380,119 @@ def _(inputs: Inputs):
     return rn.forecast_table(predictions, rn.winners(ranking), gas_table(inputs.spark))
 
 
+def _daily_fact(inputs: Inputs):
+    """The dense history in the columns of the air fact."""
+    return inputs.view("v_hist_dense").select(
+        F.when(F.col("gas") == "NO2", 8).otherwise(14).alias("ID_MAGNITUD"),
+        F.col("estacion").alias("ID_AIRE"),
+        F.col("cod_dis").alias("COD_DIS"),
+        F.col("fecha").alias("FECHA"),
+        F.col("dato").alias("DATO"),
+    )
+
+
+@check(
+    "forecast_run",
+    f"""{predicted_ctes('v_feat_month')},
+        won AS (SELECT gas, modelo FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gas
+                ORDER BY rmse, modelo) AS p FROM ranked) WHERE p = 1),
+        ahead AS (SELECT * FROM v_feat_month WHERE futuro),
+        {ar_ctes('tr', 'ahead', 'gas', 'fc')},
+        fnv AS ({naive_sql('tr', 'ahead', 'gas')}),
+        allp AS (SELECT 'seasonal_naive' AS modelo, * FROM fnv
+                 UNION ALL SELECT 'seasonal_ar', * FROM fc_out)
+        SELECT a.gas, a.fecha AS FECHA, a.estacion AS ID_AIRE, a.cod_dis AS COD_DIS,
+               CASE a.gas WHEN 'NO2' THEN 8 ELSE 14 END AS ID_MAGNITUD,
+               ROUND(a.yhat, 6) AS VALOR_PREDICHO, a.modelo AS MODELO
+        FROM allp a JOIN won w ON w.gas = a.gas AND w.modelo = a.modelo""",
+)
+def _(inputs: Inputs):
+    fact = _daily_fact(inputs)
+    published, _metrics = rn.run_forecast(
+        fact, gas_table(inputs.spark), ["NO2", "O3"], 1, _SQL_MODELS
+    )
+    return published
+
+
+_RUNS = """
+    runs AS (SELECT gas, estacion, fecha + CAST(31 * m AS INTEGER) AS fecha, dato * m AS valor, m
+             FROM v_hist_dense, range(1, 3) r(m))"""
+
+
+@check(
+    "prediction_view",
+    f"""WITH {_RUNS},
+        own AS (SELECT * FROM v_hist_dense WHERE gas = 'O3' AND estacion = 1),
+        marks AS (SELECT gas, MAX(fecha) AS ultima, AVG(dato) AS media, MAX(dato) AS maximo
+                  FROM v_hist_dense GROUP BY gas)
+        SELECT 'gases' AS parte, gas AS etiqueta, NULL::DATE AS fecha,
+               CAST(MAX(m) AS DOUBLE) AS valor, NULL::DOUBLE AS rmse
+        FROM runs GROUP BY gas
+        UNION ALL SELECT DISTINCT 'estaciones', CAST(estacion AS VARCHAR), NULL, NULL, NULL
+        FROM runs WHERE gas = 'O3'
+        UNION ALL SELECT 'serie', 'real', fecha, ROUND(dato, 6), NULL FROM own
+        UNION ALL SELECT 'serie', 'puente', fecha, ROUND(dato, 6), NULL FROM own
+        WHERE fecha = (SELECT MAX(fecha) FROM own)
+        UNION ALL SELECT 'serie', 'predicho', fecha, ROUND(valor, 6), NULL FROM runs
+        WHERE gas = 'O3' AND estacion = 1 AND m = 2
+        UNION ALL SELECT 'metricas', 'primero', ultima, ROUND(media, 2), ROUND(maximo * 2, 2)
+        FROM marks WHERE gas = 'O3'
+        UNION ALL SELECT 'metricas', 'segundo', ultima, ROUND(media + 1, 2), ROUND(maximo * 2, 2)
+        FROM marks WHERE gas = 'O3'""",
+)
+def _(inputs: Inputs):
+    from sensoria.functions.codes import run_name
+    from sensoria.plans.dashboard import prediction_view
+
+    months = F.explode(F.array(F.lit(1), F.lit(2)))
+    hist = inputs.view("v_hist_dense")
+    predictions = hist.withColumn("m", months).select(
+        F.date_add("fecha", F.col("m") * 31).alias("FECHA"),
+        F.col("estacion").alias("ID_AIRE"),
+        (F.col("dato") * F.col("m")).alias("VALOR_PREDICHO"),
+        run_name(F.col("gas"), F.col("m")).alias("run"),
+    )
+    marks = hist.groupBy("gas").agg(
+        F.max("fecha").cast("string").alias("ultima_fecha_real"),
+        F.avg("dato").alias("media"),
+        F.max("dato").alias("maximo"),
+    )
+
+    def model(name: str, mae):
+        return F.struct(
+            F.lit(name).alias("modelo"), mae.alias("mae"),
+            (F.col("maximo") * F.col("horizonte_meses")).alias("rmse"),
+        )
+
+    metrics = marks.withColumn("horizonte_meses", months).select(
+        "gas", "horizonte_meses", "ultima_fecha_real", F.lit("primero").alias("ganador"),
+        F.array(model("primero", F.col("media")), model("segundo", F.col("media") + 1))
+        .alias("comparativa"),
+    )
+    parts = prediction_view(
+        _daily_fact(inputs), gas_table(inputs.spark), predictions, metrics, "O3", 1
+    )
+    no_day, no_number = F.lit(None).cast("date"), F.lit(None).cast("double")
+
+    def rows(part, label, day, value, rmse):
+        return parts[part].select(
+            F.lit(part).alias("parte"), label.alias("etiqueta"), day.alias("fecha"),
+            value.cast("double").alias("valor"), rmse.alias("rmse"),
+        )
+
+    shown = [
+        rows("gases", F.col("gas"), no_day, F.col("meses"), no_number),
+        rows("estaciones", F.col("ID_AIRE").cast("string"), no_day, no_number, no_number),
+        rows("serie", F.col("kind"), F.col("fecha"), F.col("valor"), no_number),
+        rows("metricas", F.col("modelo"), F.to_date("ultima_fecha_real"), F.col("mae"),
+             F.col("rmse")),
+    ]
+    result = shown[0]
+    for part in shown[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 @check(
     "metrics_table",
     f"""{_PREDICTED}, w AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY gas

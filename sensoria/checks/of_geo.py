@@ -87,6 +87,65 @@ def _(inputs: Inputs):
     return geo.locate_points(points, inputs.box_edges(), "COD_DIS")
 
 
+_SHAPES = """
+    SELECT *, CAST(COD_DIS AS INTEGER) % 4 AS shape, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy,
+           x0 + (x1 - x0) / 4 AS qx0, x1 - (x1 - x0) / 4 AS qx1,
+           y0 + (y1 - y0) / 4 AS qy0, y1 - (y1 - y0) / 4 AS qy1,
+           x0 + (x1 - x0) / 3 AS tx0, x1 - (x1 - x0) / 3 AS tx1 FROM {}"""
+
+# Rings of the four shapes as (part, ring, corners): a diamond, an L, a box with a hole,
+# two boxes.
+_BOX = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")]
+_RINGS = [
+    [(0, 0, [("cx", "y0"), ("x1", "cy"), ("cx", "y1"), ("x0", "cy")])],
+    [(0, 0, [("x0", "y0"), ("x1", "y0"), ("x1", "cy"), ("cx", "cy"), ("cx", "y1"), ("x0", "y1")])],
+    [(0, 0, _BOX), (0, 1, [("qx0", "qy0"), ("qx0", "qy1"), ("qx1", "qy1"), ("qx1", "qy0")])],
+    [(0, 0, [("x0", "y0"), ("tx0", "y0"), ("tx0", "y1"), ("x0", "y1")]),
+     (1, 0, [("tx1", "y0"), ("x1", "y0"), ("x1", "y1"), ("tx1", "y1")])],
+]
+
+
+def shape_edges(inputs: Inputs):
+    """Edges of a diamond, an L, a box with a hole or two boxes in each district's box."""
+    boxes = inputs.spark.sql(_SHAPES.format("{boxes}"), boxes=inputs.view("v_box"))
+
+    def sides(rings):
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(part).alias("part"), F.lit(ring).alias("ring"), F.lit(n).alias("seq"),
+                    F.col(a[0]).alias("x1"), F.col(a[1]).alias("y1"),
+                    F.col(b[0]).alias("x2"), F.col(b[1]).alias("y2"),
+                )
+                for part, ring, corners in rings
+                for n, (a, b) in enumerate(zip(corners, corners[1:] + corners[:1]))
+            ]
+        )
+
+    chosen = F.when(F.col("shape") == 0, sides(_RINGS[0]))
+    for number in (1, 2, 3):
+        chosen = chosen.when(F.col("shape") == number, sides(_RINGS[number]))
+    return boxes.select("COD_DIS", F.inline(chosen))
+
+
+@check(
+    "point_in_polygon_shapes",
+    f"""SELECT s.ID_AIRE, s.LONGITUD, s.LATITUD, b.COD_DIS FROM v_station s
+        LEFT JOIN ({_SHAPES.format('v_box')}) b
+               ON s.LONGITUD > b.x0 AND s.LONGITUD < b.x1 AND s.LATITUD > b.y0 AND s.LATITUD < b.y1
+              AND CASE shape
+                    WHEN 0 THEN ABS(LONGITUD - cx) / ((x1 - x0) / 2)
+                                + ABS(LATITUD - cy) / ((y1 - y0) / 2) < 1
+                    WHEN 1 THEN LONGITUD < cx OR LATITUD < cy
+                    WHEN 2 THEN NOT (LONGITUD BETWEEN qx0 AND qx1 AND LATITUD BETWEEN qy0 AND qy1)
+                    ELSE LONGITUD < tx0 OR LONGITUD > tx1 END""",
+    decimals=None,
+)
+def _(inputs: Inputs):
+    points = inputs.view("v_station").select("ID_AIRE", "LONGITUD", "LATITUD")
+    return geo.locate_points(points, shape_edges(inputs), "COD_DIS")
+
+
 @check(
     "spatial_within_left",
     """SELECT s.ID_AIRE, s.ESTACION, s.LONGITUD, s.LATITUD, b.COD_DIS, b.NOMBRE FROM v_station s
@@ -131,6 +190,12 @@ def _(inputs: Inputs):
 
 _NUMBER = "regexp_replace(printf('%.6f', {}), '\\.?0+$', '')"
 _VERTICES = f"({_edges_sql('v_box_utm')})"
+CENTROIDS = _degrees_sql(
+    "cx",
+    "cy",
+    "(SELECT COD_DIS, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM v_box_utm)",
+    "COD_DIS",
+)
 
 
 @check(
@@ -144,13 +209,12 @@ _VERTICES = f"({_edges_sql('v_box_utm')})"
     + " AS xy FROM v), o AS (SELECT COD_DIS, 'POLYGON ((' || string_agg(xy, ', ' ORDER BY seq)"
     + " || ', ' || MIN(CASE WHEN seq = 0 THEN xy END) || '))' AS GEOMETRY_WKT"
     + " FROM t GROUP BY COD_DIS), c AS ("
-    + _degrees_sql("cx", "cy", "(SELECT COD_DIS, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy"
-                   " FROM v_box_utm)", "COD_DIS")
+    + CENTROIDS
     + ") SELECT o.COD_DIS, o.GEOMETRY_WKT, ROUND(c.lat, 7) AS CENTROID_LAT,"
     + " ROUND(c.lon, 7) AS CENTROID_LON FROM o JOIN c ON c.COD_DIS = o.COD_DIS",
     decimals=7,
 )
-def _(inputs: Inputs):
+def outlines(inputs: Inputs):
     shapes = edges_to_wkb(inputs.box_edges("v_box_utm"), "COD_DIS")
     return geo.dim_geometria(geo.polygon_edges(shapes, "COD_DIS"))
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sensoria.checks.fixtures import Inputs
+from sensoria.checks.of_geo import CENTROIDS, outlines
 from sensoria.checks.of_star import dim_district, fact_air, silver_traffic
 from sensoria.checks.registry import check
 from sensoria.functions.codes import run_name
@@ -349,8 +350,8 @@ def _(inputs: Inputs):
 @check(
     "position_layer",
     f"""SELECT 'estacion' AS kind, ID_AIRE AS id, ESTACION AS nombre, LONGITUD AS longitud,
-               LATITUD AS latitud FROM v_station
-        UNION ALL SELECT 'punto', ID_TRAFICO, NOMBRE, LONGITUD, LATITUD FROM v_point
+               LATITUD AS latitud, COD_DIS AS distrito FROM v_station
+        UNION ALL SELECT 'punto', ID_TRAFICO, NOMBRE, LONGITUD, LATITUD, COD_DIS FROM v_point
         WHERE COD_DIS = '{DISTRICT}'""",
     decimals=None,
 )
@@ -366,12 +367,14 @@ def _(inputs: Inputs):
                COALESCE(CAST(ROUND(m.valor_medio, 2) AS VARCHAR), 'N/A') AS valor_texto,
                CASE WHEN m.valor_medio IS NULL THEN 'lightgray' WHEN m.valor_medio < 0 THEN 'gray'
                     WHEN m.valor_medio < 20 THEN 'green' WHEN m.valor_medio < 40 THEN 'yellow'
-                    WHEN m.valor_medio < 60 THEN 'orange' ELSE 'red' END AS color
-        FROM v_district d LEFT JOIN ({_MONTHLY_TRAFFIC}) m ON m.COD_DIS = d.COD_DIS""",
+                    WHEN m.valor_medio < 60 THEN 'orange' ELSE 'red' END AS color,
+               ROUND(c.lat, 6) AS CENTROID_LAT, ROUND(c.lon, 6) AS CENTROID_LON
+        FROM v_district d LEFT JOIN ({_MONTHLY_TRAFFIC}) m ON m.COD_DIS = d.COD_DIS
+        LEFT JOIN ({CENTROIDS}) c ON c.COD_DIS = d.COD_DIS""",
 )
 def _(inputs: Inputs):
     return dashboard.choropleth_table(
-        inputs.view("v_district"), monthly_traffic(inputs), "OCUPACION"
+        inputs.view("v_district"), monthly_traffic(inputs), "OCUPACION", outlines(inputs)
     )
 
 

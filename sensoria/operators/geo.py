@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from sensoria.functions.projection import utm_to_degrees
 from sensoria.operators.cleaning import inside_region
 
-# Height of a horizontal strip in degrees: a few thousand strips per country, a
-# few edges per district and strip.
-STRIP_HEIGHT = 0.005
+# Side of a grid cell in degrees, about a kilometre: a district has some hundred
+# cells, and a border cell a few edges.
+CELL = 0.01
 
 
 def polygon_edges(shapes: DataFrame, key: str, geometry: str = "geometry") -> DataFrame:
@@ -75,23 +75,6 @@ def edges_to_degrees(edges: DataFrame) -> DataFrame:
     return edges.withColumns({"x1": lon1, "y1": lat1, "x2": lon2, "y2": lat2})
 
 
-def edge_strips(edges: DataFrame, key: str, height: float = STRIP_HEIGHT) -> DataFrame:
-    """Edges grouped by district and horizontal strip, as a lookup for points.
-
-    An edge is listed in every strip it touches, so one strip holds all that a
-    horizontal ray through it can meet.  The arrays are bounded by the outline of
-    one district inside one strip.
-    """
-    low = F.floor(F.least("y1", "y2") / F.lit(height))
-    high = F.floor(F.greatest("y1", "y2") / F.lit(height))
-    touched = edges.withColumn("franja", F.explode(F.sequence(low, high)))
-    return touched.groupBy(F.col(key).alias("_zona"), "franja").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_lados"),
-        F.min(F.least("x1", "x2")).alias("_xmin"),
-        F.max(F.greatest("x1", "x2")).alias("_xmax"),
-    )
-
-
 def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
     """Even-odd rule over an array of edges; points on an edge are outside."""
 
@@ -114,28 +97,100 @@ def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
     return ~F.exists(sides, touches) & odd
 
 
+def cell_cover(edges: DataFrame, key: str, cell: float = CELL) -> DataFrame:
+    """Grid cells of each polygon: (_zona, fila, columna, _lados).
+
+    Cells no edge passes through lie inside as a whole and carry no edges.  Border cells carry
+    the edges of their row that a ray from the cell to the right can meet, all the exact test
+    needs.  Where an edge meets a row is widened a little, so rounding can only turn an inner
+    cell into a border cell.  Lists are bounded by the outline of one polygon in one row.
+    """
+    margin = cell * 1e-6
+    low = F.floor(F.least("y1", "y2") / F.lit(cell))
+    high = F.floor(F.greatest("y1", "y2") / F.lit(cell))
+    rows = edges.withColumn("fila", F.explode(F.sequence(low, high)))
+
+    def x_at(y: Column, level: float) -> Column:
+        way = F.try_divide(y - F.col("y1"), F.col("y2") - F.col("y1"))
+        way = F.greatest(F.lit(0.0), F.least(F.lit(1.0), way))
+        way = F.when(F.col("y1") == F.col("y2"), F.lit(level)).otherwise(way)
+        return F.col("x1") + way * (F.col("x2") - F.col("x1"))
+
+    bottom = x_at(F.col("fila") * F.lit(cell) - margin, 0.0)
+    top = x_at((F.col("fila") + 1) * F.lit(cell) + margin, 1.0)
+    first = F.floor((F.least(bottom, top) - margin) / F.lit(cell))
+    last = F.floor((F.greatest(bottom, top) + margin) / F.lit(cell))
+    outlined = rows.groupBy(F.col(key).alias("_zona"), "fila").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_lados"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence(first, last))))).alias(
+            "_borde"
+        ),
+    )
+    border = outlined.select(
+        "_zona", "fila", "_lados", F.explode("_borde").alias("columna")
+    ).select(
+        "_zona",
+        "fila",
+        "columna",
+        F.filter(
+            "_lados",
+            lambda e: F.greatest(e.x1, e.x2) >= F.col("columna") * F.lit(cell) - margin,
+        ).alias("_lados"),
+    )
+    # a gap between two border cells of a row lies inside or outside as a whole
+    steps = F.when(F.size("_borde") > 1, F.sequence(F.lit(1), F.size("_borde") - 1))
+    gaps = F.transform(
+        steps,
+        lambda i: F.struct(
+            (F.col("_borde")[i - 1] + 1).alias("desde"), (F.col("_borde")[i] - 1).alias("hasta")
+        ),
+    )
+    wide = F.filter(gaps, lambda gap: gap.desde <= gap.hasta)
+    middle = F.struct(
+        ((F.col("_hueco.desde") + 0.5) * F.lit(cell)).alias("x"),
+        ((F.col("fila") + 0.5) * F.lit(cell)).alias("y"),
+    )
+    inner = (
+        outlined.select("_zona", "fila", "_lados", F.explode(wide).alias("_hueco"))
+        .withColumn("_centro", middle)
+        .filter(strictly_inside(F.col("_centro.x"), F.col("_centro.y"), F.col("_lados")))
+        .select(
+            "_zona",
+            "fila",
+            F.explode(F.sequence("_hueco.desde", "_hueco.hasta")).alias("columna"),
+            F.lit(None).cast(border.schema["_lados"].dataType).alias("_lados"),
+        )
+    )
+    return border.unionByName(inner)
+
+
 def locate_points(
     points: DataFrame,
     edges: DataFrame,
     key: str,
     x: str = "LONGITUD",
     y: str = "LATITUD",
-    height: float = STRIP_HEIGHT,
+    cell: float = CELL,
 ) -> DataFrame:
     """Left join of points to the polygon that strictly contains them.
 
-    One equi-join on the strip; the exact test is part of the join condition, so
-    points are neither multiplied nor aggregated.  Points outside every polygon
-    stay with a NULL ``key``.
+    One equi-join on the grid cell: no key holds more than one cell's points, and edges are
+    tested in border cells only, as part of the join condition, so points are neither
+    multiplied nor aggregated.  Points outside every polygon stay with a NULL ``key``.
     """
-    strips = edge_strips(edges, key, height)
-    placed = points.withColumn("_franja", F.floor(F.col(y) / F.lit(height)))
+    cover = cell_cover(edges, key, cell)
+    placed = points.withColumns(
+        {
+            "_fila": F.floor(F.col(y) / F.lit(cell)),
+            "_columna": F.floor(F.col(x) / F.lit(cell)),
+        }
+    )
     inside = (
-        (F.col("_franja") == F.col("franja"))
-        & F.col(x).between(F.col("_xmin"), F.col("_xmax"))
-        & strictly_inside(F.col(x), F.col(y), F.col("_lados"))
+        (F.col("_fila") == F.col("fila"))
+        & (F.col("_columna") == F.col("columna"))
+        & (F.col("_lados").isNull() | strictly_inside(F.col(x), F.col(y), F.col("_lados")))
     )
-    return placed.join(strips, inside, "left").select(
+    return placed.join(cover, inside, "left").select(
         *[F.col(name) for name in points.columns], F.col("_zona").alias(key)
     )
 

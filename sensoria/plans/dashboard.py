@@ -35,6 +35,7 @@ class SensorTables:
     traffic: DataFrame
     points: DataFrame
     districts: DataFrame
+    outlines: DataFrame
 
     @classmethod
     def of(cls, lake: Lakehouse) -> SensorTables:
@@ -44,6 +45,7 @@ class SensorTables:
             lake.silver("trafico"),
             lake.gold("dim_punto_trafico"),
             lake.gold("dim_distrito"),
+            lake.gold("dim_geometria"),
         )
 
 
@@ -159,7 +161,7 @@ def overview(
     legend = band_labels(band_table(tables.air.sparkSession))
     return {
         "legend": legend.filter(F.col("variable") == F.lit(variable)),
-        "map": choropleth_table(tables.districts, means, variable),
+        "map": choropleth_table(tables.districts, means, variable, tables.outlines),
         "counts": kpi_counts(tables.stations, tables.points, district),
         "mean": kpi_mean(means, district),
         "evolution": evolution(tables, domain, variable, district),
@@ -176,6 +178,42 @@ def summary(tables: SensorTables) -> dict[str, DataFrame]:
     }
 
 
+def prediction_view(
+    fact: DataFrame,
+    gases: DataFrame,
+    predictions: DataFrame,
+    metrics: DataFrame,
+    gas: str,
+    station: int,
+) -> dict[str, DataFrame]:
+    """The stored forecasts of one gas and station: choices, series and model table.
+
+    ``predictions`` and ``metrics`` are what the forecast job wrote.  Everything follows the
+    longest run of the gas; a gas without a run has neither forecast nor metrics.
+    """
+    runs = longest_runs(predictions.select("run").distinct())
+    chosen = runs.filter(F.col("gas") == F.lit(gas))
+    # the date filter of a caller reaches the fact; the gas is resolved by its name
+    gas_id = gases.filter(F.col("MAGNITUD") == F.lit(gas)).select("ID_MAGNITUD")
+    own = F.col("ID_AIRE") == F.lit(int(station))
+    real = fact.filter(own).join(gas_id, "ID_MAGNITUD", "left_semi")
+    ahead = predictions.filter(own).join(chosen.select("run"), "run", "left_semi")
+    compared = metrics.join(
+        chosen.select("gas", F.col("meses").alias("horizonte_meses")),
+        ["gas", "horizonte_meses"],
+        "left_semi",
+    )
+    return {
+        "gases": runs,
+        "estaciones": forecast_stations(predictions, gas),
+        "serie": history_plus_forecast(
+            real.select(F.col("FECHA").alias("fecha"), F.col("DATO").alias("dato")),
+            ahead.select(F.col("FECHA").alias("fecha"), F.col("VALOR_PREDICHO").alias("valor")),
+        ),
+        "metricas": metrics_table(compared),
+    }
+
+
 # KPIs and tables.
 
 
@@ -231,13 +269,14 @@ def daily_table(
 def position_layer(
     stations: DataFrame, points: DataFrame, district: str | None = None
 ) -> DataFrame:
-    """Every station, and the traffic points of the chosen district."""
+    """Every station with its district, and the traffic points of the chosen district."""
     layer = stations.select(
         F.lit("estacion").alias("kind"),
         F.col("ID_AIRE").alias("id"),
         F.col("ESTACION").alias("nombre"),
         F.col("LONGITUD").alias("longitud"),
         F.col("LATITUD").alias("latitud"),
+        F.col("COD_DIS").alias("distrito"),
     )
     if not district:
         return layer
@@ -247,15 +286,20 @@ def position_layer(
         F.col("NOMBRE").alias("nombre"),
         F.col("LONGITUD").alias("longitud"),
         F.col("LATITUD").alias("latitud"),
+        F.lit(str(district)).alias("distrito"),
     )
     return layer.unionByName(chosen)
 
 
 def choropleth_table(
-    districts: DataFrame, district_means: DataFrame, variable: str
+    districts: DataFrame, district_means: DataFrame, variable: str, outlines: DataFrame
 ) -> DataFrame:
-    """Every district with its mean, its text for the popup and its colour."""
-    valued = districts.join(district_means, "COD_DIS", "left")
+    """Every district with its mean, its text for the popup, its colour and its number's place.
+
+    ``outlines`` is the geometry dimension; a district without geometry has no place.
+    """
+    places = outlines.select("COD_DIS", "CENTROID_LAT", "CENTROID_LON")
+    valued = districts.join(district_means, "COD_DIS", "left").join(places, "COD_DIS", "left")
     text = F.coalesce(F.round("valor_medio", 2).cast("string"), F.lit("N/A"))
     return valued.select(
         "COD_DIS",
@@ -263,6 +307,8 @@ def choropleth_table(
         "valor_medio",
         text.alias("valor_texto"),
         color_of(F.col("valor_medio"), variable).alias("color"),
+        "CENTROID_LAT",
+        "CENTROID_LON",
     )
 
 

@@ -200,6 +200,44 @@ def seasonal_ar(
     )
 
 
+def seasonal_arma(train: DataFrame, future: DataFrame, domain: Sequence[str]) -> DataFrame:
+    """Seasonal autoregression with moving-average terms, (1,1,1)(1,1,1) of period 7.
+
+    One task fits one station's daily series, whose length is the calendar.  Fallbacks and
+    bounds are those of :func:`seasonal_ar`.
+    """
+    series = [*domain, "estacion"]
+    days = train.groupBy(*series, "fecha").agg(F.avg("dato").alias("dato"))
+    wanted = future.select(*series, "fecha").distinct()
+    rows = days.withColumn("_ahead", F.lit(False)).unionByName(
+        wanted.withColumns({"dato": F.lit(None).cast("double"), "_ahead": F.lit(True)})
+    )
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"{name} {kinds[name]}" for name in series], "fecha date, yhat double"])
+
+    def forecast(table):
+        from sensoria.plans.forecast import arma
+
+        known, ahead = table[~table["_ahead"]], table[table["_ahead"]]
+        values = arma.predict(
+            known["fecha"], known["dato"], ahead["fecha"], MIN_OBSERVATIONS, CEILING_FACTOR
+        )
+        return ahead[[*series, "fecha"]].assign(yhat=values)
+
+    fitted = rows.groupBy(*series).applyInPandas(forecast, schema)
+    overall = (
+        train.groupBy(*series)
+        .agg(F.avg("dato").alias("_m"))
+        .groupBy(*domain)
+        .agg(F.avg("_m").alias("_overall"))
+    )
+    return (
+        future.join(fitted, [*series, "fecha"], "left")
+        .join(F.broadcast(overall), list(domain), "left")
+        .select(*_keys(domain), F.coalesce("yhat", "_overall").alias("yhat"))
+    )
+
+
 #: Fits that run side by side; each is a series of small jobs.
 PARALLEL_FITS = 4
 
@@ -250,4 +288,5 @@ MODELS: dict[str, Model] = {
     "seasonal_naive": seasonal_naive,
     "gradient_boosting": gradient_boosting(),
     "seasonal_ar": seasonal_ar,
+    "seasonal_arma": seasonal_arma,
 }

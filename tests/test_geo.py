@@ -55,8 +55,8 @@ def test_edges(edges):
     assert counts == {("L", 0, 0): 6, ("H", 0, 0): 4, ("H", 0, 1): 4, ("H", 1, 0): 4}
 
 
-@pytest.mark.parametrize("height", [0.005, 0.7, 100.0])
-def test_containment(spark, edges, height):
+@pytest.mark.parametrize("cell", [0.01, 0.7, 2.0, 100.0])
+def test_containment(spark, edges, cell):
     expected = {
         (1.0, 1.0): "L",
         (1.0, 3.9): "L",
@@ -74,7 +74,7 @@ def test_containment(spark, edges, height):
         (-5.0, 1.0): None,
     }
     points = spark.createDataFrame(list(expected), "LONGITUD double, LATITUD double")
-    found = geo.locate_points(points, edges, "z", height=height).collect()
+    found = geo.locate_points(points, edges, "z", cell=cell).collect()
     assert {(r.LONGITUD, r.LATITUD): r.z for r in found} == expected
 
 
@@ -83,6 +83,24 @@ def test_points_without_position_stay(spark, edges):
     assert [r.z for r in geo.locate_points(points, edges, "z").collect()] == [None]
 
 
+def test_cover_of_cells(spark, edges):
+    """Inner cells carry no edges, none is a border cell too, and both cover the polygon."""
+    cover = geo.cell_cover(edges, "z", 0.3).cache()
+    assert cover.groupBy("_zona", "fila", "columna").count().filter("count > 1").isEmpty()
+    assert cover.filter("size(_lados) = 0").isEmpty()
+    inner = {(r._zona, r.columna, r.fila) for r in cover.filter("_lados IS NULL").collect()}
+    border = {(r._zona, r.columna, r.fila) for r in cover.filter("_lados IS NOT NULL").collect()}
+    wide = {("L", column, row) for column in range(1, 13) for row in range(1, 6)}
+    tall = {("L", column, row) for column in range(1, 6) for row in range(1, 13)}
+    assert {cell for cell in inner if cell[0] == "L"} == wide | tall
+    assert {("L", 13, 2), ("L", 6, 9), ("L", 0, 0)} <= border
+    assert ("H", 43, 10) not in inner | border  # in the hole
+    assert ("H", 37, 10) in inner and ("H", 69, 3) in inner
+    # edges left of a cell are not its own
+    lists = {(r._zona, r.columna, r.fila): len(r._lados) for r in cover.dropna().collect()}
+    assert lists["H", 53, 10] == 1 and lists["H", 33, 10] == 4
+
+
 def test_centroids(edges):
     found = {r.z: (r.CX, r.CY) for r in geo.polygon_centroids(edges, "z").collect()}
     assert found["L"] == pytest.approx((20 / 12, 20 / 12))
@@ -149,7 +167,7 @@ def test_containment_matches_brute_force_on_ragged_outlines(spark, threshold):
     df = spark.createDataFrame(points, "i int, LONGITUD double, LATITUD double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        found = geo.locate_points(df, edges, "z", height=0.1).select("i", "z").collect()
+        found = geo.locate_points(df, edges, "z", cell=0.1).select("i", "z").collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     assert len(found) == len(expected)
