@@ -193,6 +193,15 @@ def test_run_picks_one_winner_per_gas(spark, tmp_path):
     assert len(table) == 2
     assert [r.ID_AIRE for r in dashboard.forecast_stations(written, "O3").collect()] == [1]
 
+    parts = dashboard.prediction_view(fact, gas_table(spark), written, stored, "O3", 1)
+    assert [(r.gas, r.meses) for r in parts["gases"].collect()] == [("NO2", 1), ("O3", 1)]
+    kinds = [r.kind for r in parts["serie"].collect()]
+    assert kinds.count("predicho") == 31 and kinds.count("puente") == 1
+    assert kinds.count("real") == fact.filter("ID_MAGNITUD = 14 AND ID_AIRE = 1").count()
+    assert sorted(r.modelo for r in parts["metricas"].collect()) == sorted(models)
+    absent = dashboard.prediction_view(fact, gas_table(spark), written, stored, "CO", 1)
+    assert all(absent[part].isEmpty() for part in ("estaciones", "serie", "metricas"))
+
 
 def test_run_refuses_bad_requests(spark, hist):
     from sensoria.catalogs import gas_table

@@ -136,6 +136,7 @@ def test_reads(lake):
     assert kpi.first().valor is None
     layer = dashboard.position_layer(stations, points, "01").collect()
     assert sorted((r.kind, r.id) for r in layer) == [("estacion", 4), ("estacion", 9), ("punto", 1)]
+    assert {r.id: r.distrito for r in layer} == {4: "01", 9: None, 1: "01"}
 
 
 def test_dashboard(lake):
@@ -154,6 +155,9 @@ def test_dashboard(lake):
     ]
     colors = {r.COD_DIS: (r.color, r.valor_texto) for r in parts["map"].collect()}
     assert colors == {"01": ("green", "15.5"), "02": ("lightgray", "N/A")}
+    places = {r.COD_DIS: (r.CENTROID_LAT, r.CENTROID_LON) for r in parts["map"].collect()}
+    assert places["01"] == pytest.approx(IN_WEST, abs=0.01)
+    assert places["01"][1] < places["02"][1]
     assert tuple(parts["counts"].first()) == (1, 1)
     assert parts["mean"].first().valor == 15.5
     assert parts["evolution"].count() == 30
