@@ -12,14 +12,11 @@ catalogue times backtest folds.  Tables per station are left to the optimizer.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensoria.plans.forecast import boosting
 from sensoria.plans.forecast.features import FEATURES
 
 Model = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
@@ -31,10 +28,10 @@ NAIVE_WINDOW = 4
 MIN_OBSERVATIONS = 60
 CEILING_FACTOR = 2.0
 GBT_SETTINGS = {
-    "maxIter": 300,
-    "maxDepth": 5,
-    "stepSize": 0.05,
-    "subsamplingRate": 0.8,
+    "rounds": 300,
+    "depth": 5,
+    "step": 0.05,
+    "sample": 0.8,
     "seed": 42,
 }
 
@@ -238,48 +235,14 @@ def seasonal_arma(train: DataFrame, future: DataFrame, domain: Sequence[str]) ->
     )
 
 
-#: Fits that run side by side; each is a series of small jobs.
-PARALLEL_FITS = 4
-
-
 def gradient_boosting(**overrides) -> Model:
-    """Boosted trees over the legal features, one distributed fit per domain.
-
-    The only model that needs the driver to iterate: it learns the list of domains
-    (a handful of gases and folds) and fits a few of them at a time, each fit
-    running over all executors on its own training rows, cached until it is done.
-    """
-    settings = {**GBT_SETTINGS, **overrides}
+    """Boosted trees over the legal features, fitted for all domains together."""
+    settings = boosting.Settings(**{**GBT_SETTINGS, **overrides})
 
     def predict(train: DataFrame, future: DataFrame, domain: Sequence[str]) -> DataFrame:
-        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        learner = GBTRegressor(
-            labelCol="dato", featuresCol="features", predictionCol="yhat", **settings
-        )
-
-        def fitted(row) -> DataFrame:
-            own = F.lit(True)
-            for name in domain:
-                own = own & F.col(name).eqNullSafe(F.lit(row[name]))
-            rows = assembler.transform(train.filter(own)).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                model = learner.fit(rows)
-            finally:
-                rows.unpersist()
-            part = model.transform(assembler.transform(future.filter(own)))
-            return part.select(*_keys(domain), "yhat")
-
-        found = train.select(*domain).distinct().orderBy(*domain).collect()
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            parts = list(pool.map(fitted, found))
-        predictions = None
-        for part in parts:
-            predictions = part if predictions is None else predictions.unionByName(part)
-        if predictions is None:
-            predictions = future.select(
-                *_keys(domain), F.lit(None).cast("double").alias("yhat")
-            ).limit(0)
-        return predictions
+        keys = _keys(domain)
+        trees = boosting.fit(train, domain, FEATURES, "dato", keys, settings)
+        return trees.predict(future, keys)
 
     return predict
 

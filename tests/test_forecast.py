@@ -58,7 +58,7 @@ def test_future_starts_after_the_last_reading(tables):
         ("seasonal_naive", md.seasonal_naive),
         ("seasonal_ar", md.seasonal_ar),
         ("seasonal_arma", md.seasonal_arma),
-        ("gradient_boosting", md.gradient_boosting(maxIter=5)),
+        ("gradient_boosting", md.gradient_boosting(rounds=5)),
     ],
 )
 def test_one_finite_prediction_per_row(tables, name, model):
@@ -145,7 +145,7 @@ def test_boosting_beats_the_overall_mean(tables):
     train, _ = tables
     cut = LAST - timedelta(days=HORIZON)
     past, recent = train.filter(F.col("fecha") <= cut), train.filter(F.col("fecha") > cut)
-    model = md.gradient_boosting(maxIter=20, stepSize=0.3)
+    model = md.gradient_boosting(rounds=20, step=0.3)
     scored = model(past, recent.drop("dato"), ("gas",)).join(
         recent.select("estacion", "fecha", "dato"), ["estacion", "fecha"]
     )
