@@ -10,7 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensoria.catalogs import STATION_RENAMES, gas_table, measure_table
@@ -61,7 +61,10 @@ def build_silver(lake: Lakehouse) -> None:
     lake.write("silver", "aire", unpivot_air(lake.bronze("aire")), BY_DAY_AND_STATION)
     traffic = lake.bronze("trafico").drop(*PERIOD)
     lake.write("silver", "trafico", clean_traffic(traffic), BY_DAY_AND_POINT)
+    build_stations(lake)
 
+
+def build_stations(lake: Lakehouse) -> None:
     districts = _districts(lake)
     edges = edges_to_degrees(polygon_edges(districts, "COD_DIS"))
     stations = assign_district(lake.bronze("estaciones_aire"), edges, districts)
@@ -117,12 +120,16 @@ def check_gold(lake: Lakehouse, names: Sequence[str] = tuple(CONTRACT)) -> None:
     A table is read twice: once by its natural key, once for all its foreign keys.
     """
     for name in names:
-        table = lake.gold(name)
-        require_none(schema_drift(table, CONTRACT[name]), f"{name}: columns")
-        require_none(duplicate_keys(table, NATURAL_KEYS[name]), f"{name}: grain")
-        if references := FOREIGN_KEYS.get(name):
-            dimensions = {column: lake.gold(other) for column, other in references.items()}
-            require_none(unknown_references(table, dimensions), f"{name}: unknown references")
+        check_table(lake, name, lake.gold(name))
+
+
+def check_table(lake: Lakehouse, name: str, table: DataFrame) -> None:
+    """The same of one gold table, or of some of its rows."""
+    require_none(schema_drift(table, CONTRACT[name]), f"{name}: columns")
+    require_none(duplicate_keys(table, NATURAL_KEYS[name]), f"{name}: grain")
+    if references := FOREIGN_KEYS.get(name):
+        dimensions = {column: lake.gold(other) for column, other in references.items()}
+        require_none(unknown_references(table, dimensions), f"{name}: unknown references")
 
 
 def run(
