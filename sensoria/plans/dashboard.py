@@ -28,14 +28,14 @@ AIR = "Aire"
 
 @dataclass(frozen=True)
 class SensorTables:
-    """The tables the dashboard reads."""
+    """The tables the dashboard reads; the selectors do without ``outlines``."""
 
     air: DataFrame
     stations: DataFrame
     traffic: DataFrame
     points: DataFrame
     districts: DataFrame
-    outlines: DataFrame
+    outlines: DataFrame | None = None
 
     @classmethod
     def of(cls, lake: Lakehouse) -> SensorTables:
@@ -157,6 +157,8 @@ def overview(
     month: int,
 ) -> dict[str, DataFrame]:
     """All that one search shows: legend, map, counts, mean and daily series."""
+    if tables.outlines is None:
+        raise ValueError("the map needs the outlines of the districts")
     means = district_values(tables, domain, variable, year, month)
     legend = band_labels(band_table(tables.air.sparkSession))
     return {

@@ -250,6 +250,18 @@ def test_coverage_replaces_the_readings(lake, spark):
     assert "VALIDEZ" not in plan and "DATO" not in plan
 
 
+def test_selectors_do_without_outlines(lake):
+    exact = dashboard.SensorTables.of(lake)
+    shown = dashboard.SensorTables(exact.air, exact.stations, exact.traffic, exact.points, exact.districts)
+    for options in (
+        lambda t: dashboard.year_options(t, "Aire", "NO2", "01"),
+        lambda t: dashboard.district_options(t, "Aire", "NO2"),
+    ):
+        assert options(shown).collect() == options(exact).collect()
+    with pytest.raises(ValueError, match="outlines"):
+        dashboard.overview(shown, "Aire", "NO2", "01", 2024, 1)
+
+
 def test_coverage_of_one_month(spark, tmp_path):
     from sensoria.plans import coverage
 
