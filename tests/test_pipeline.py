@@ -262,6 +262,17 @@ def test_selectors_do_without_outlines(lake):
         dashboard.overview(shown, "Aire", "NO2", "01", 2024, 1)
 
 
+def test_selector_tables_have_no_outlines(lake):
+    from sensoria.plans import coverage
+
+    exact = dashboard.SensorTables.of(lake)
+    shown = coverage.selector_tables(coverage.read(lake), exact.stations, exact.points, exact.districts)
+    assert shown.outlines is None
+    assert dashboard.district_options(shown, "Aire", "NO2").collect()
+    with pytest.raises(ValueError, match="outlines"):
+        dashboard.overview(shown, "Aire", "NO2", "01", 2024, 1)
+
+
 def test_coverage_of_one_month(spark, tmp_path):
     from sensoria.plans import coverage
 
