@@ -96,9 +96,10 @@ class _Reader(DataSourceReader):
                 return
             encoding = _encoding(archive, partition.name)
             with archive.open(partition.name) as member:
+                # without threads: those read up to 32 blocks ahead of the rows taken
                 for batch in csv.open_csv(
                     member,
-                    csv.ReadOptions(encoding=encoding),
+                    csv.ReadOptions(encoding=encoding, use_threads=False),
                     csv.ParseOptions(delimiter=SEPARATOR, newlines_in_values=True),
                     as_text,
                 ):

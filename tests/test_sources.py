@@ -111,6 +111,29 @@ def test_a_member_is_streamed(spark, tmp_path):
     assert peaks[1] < 1.5 * peaks[0] + 4_000_000 and peaks[1] < 30_000_000
 
 
+def test_archives_of_the_check_are_staged_without_a_sort(spark, monkeypatch):
+    """Tasks write their lines as they come: no exchange or sort whose memory follows the table."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from sensoria.checks import of_sources, registry
+
+    plans, whole = [], DataFrame.mapInPandas
+
+    def seen(self, *args, **kwargs):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return whole(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrame, "mapInPandas", seen)
+    monkeypatch.setattr(of_sources, "LINES_A_MEMBER", 1500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        found = registry.QUERIES["zip_csv_source"](spark, "/root/testdata/sf0.001")
+        assert found.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Sort" not in plans[0]
+
+
 def _payload():
     entries = [
         {"name": "r1", "description": "Enero 2024", "format": "ZIP", "url": "u1"},
