@@ -8,6 +8,10 @@ from its own down to ``threshold`` less, the few substrings that could be such a
 Candidates that also agree in letter counts (an edit changes at most two counts by one) are
 verified with a banded bit-parallel edit distance.  Classes are components of the links.
 
+Keys of many lines (found on a share of the lines; which keys they are changes no result) leave
+that index.  Their lines are cut into more pieces, and meet if they agree outside ``threshold``
+of these: any lines within the threshold do, and few others.
+
 Equal lines are one line from the start, combined map-side, so a line repeated a million
 times is one row in the index.  The texts of candidate lines are fetched by a second scan
 behind a bitmap of fixed size (``filter_bits``), not by shuffling all lines.
@@ -26,6 +30,7 @@ other names are not looked at; an empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +45,9 @@ class Settings:
     shortest: int = 16
     letters: str = "etnaihso"
     filter_bits: int = 22
+    pieces: int = 8
+    counted: int = 4  # one line in so many is counted to find keys of many lines
+    common: int = 4  # counted lines that make a key one of these
 
     @property
     def joined(self) -> int:
@@ -70,15 +78,60 @@ def probe_keys(line: Column, length: Column, threshold: int, shorter: int) -> Co
     """Keys of the substrings that may be a segment of a line ``shorter`` characters less.
 
     Segment i may be shifted by at most i edits before it and threshold - i after it.  Segments
-    longer than the threshold make every such substring lie within the line.
+    longer than the threshold make every such substring lie within the line.  The line's own
+    segments, which are keys for lines of its length, are left to :func:`index_keys`.
     """
     parts, target = threshold + 1, length - shorter
     keys = []
     for i in range(parts):
         start, size = _segment(target, i, parts)
         for shift in range(max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i) + 1):
-            keys.append(_key(line, target, i, start + shift, size))
-    return F.array(*keys)
+            if shorter or shift:
+                keys.append(_key(line, target, i, start + shift, size))
+    return F.array(*keys).cast("array<bigint>")
+
+
+def _shifts(holes: int, edits: int, shorter: int, before: int = 0) -> list[tuple[int, ...]]:
+    """Shifts behind each hole that ``edits`` edits inside the holes can make, ``shorter`` at the end."""
+    if not holes:
+        return [()] if before == shorter else []
+    return [
+        (shift, *rest)
+        for shift in range(before - edits, before + edits + 1)
+        for rest in _shifts(holes - 1, edits - abs(shift - before), shorter, shift)
+    ]
+
+
+def piece_rows(lines: DataFrame, s: Settings, shorter: int = 0, own: bool = False) -> DataFrame:
+    """``lines`` with a ``key`` of what each has outside ``threshold`` pieces of a line ``shorter``
+    characters less, for all choices of the pieces, the holes.
+
+    ``own`` keys are those of the line's own pieces.  Edits inside the holes shift what follows.
+    ``hole<k>`` is a hash of what hole k has, ``lead<k>`` tells whether all pieces before it are holes.
+    """
+    layouts = [
+        F.struct(F.array(*map(F.lit, holes)).alias("holes"), F.array(*map(F.lit, shifts)).alias("shifts"))
+        for holes in combinations(range(s.pieces), s.threshold)
+        for shifts in ([(0,) * s.threshold] if own else _shifts(s.threshold, s.threshold, shorter))
+    ]
+    target, hole, shift = F.length("content") - shorter, F.col("_at.holes"), F.col("_at.shifts")
+    edge = lambda piece: F.floor(target * piece / s.pieces)
+
+    def part(begin: Column, end: Column) -> Column:
+        return F.substring(F.col("content"), (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    kept, cut, start = [], [], F.lit(0)
+    for k in range(s.threshold):
+        before = shift[k - 1] if k else F.lit(0)
+        kept.append(part(start, edge(hole[k]) + before))
+        start = edge(hole[k] + 1) + shift[k]
+        cut += [
+            F.xxhash64(part(edge(hole[k]) + before, start)).alias(f"hole{k}"), (hole[k] == k).alias(f"lead{k}"),
+        ]
+    kept.append(part(start, F.length("content")))
+    return lines.withColumn("_at", F.explode(F.array(*layouts))).select(
+        "*", F.xxhash64(hole, target, *kept).alias("key"), *cut
+    ).drop("_at", "content")
 
 
 def letter_counts(line: Column, letters: str) -> Column:
@@ -238,6 +291,26 @@ def _behind_bitmap(rows: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
     )
 
 
+def _crowded_pairs(texts: DataFrame, s: Settings, wanted: Column) -> DataFrame:
+    """``a, b``: lines of common keys that agree outside ``threshold`` pieces.
+
+    Lines that differ in fewer pieces agree for many choices of holes; they meet where the holes
+    that do not differ are the first pieces there are.
+    """
+    crowded = texts.where("crowded")
+    index = piece_rows(crowded.select("content", F.col("h1").alias("a"), F.col("counts").alias("ca")), s, own=True)
+    probes = None
+    for less in range(s.threshold + 1):
+        rows = crowded.where(F.length("content") - less >= s.joined)
+        rows = rows.select("content", F.col("h1").alias("b"), F.col("counts").alias("cb"), F.lit(less == 0).alias("same"))
+        part = piece_rows(rows, s, less).drop(*[f"lead{k}" for k in range(s.threshold)])
+        probes = part if probes is None else probes.unionAll(part)
+    probes = probes.withColumnsRenamed({f"hole{k}": f"other{k}" for k in range(s.threshold)})
+    for k in range(s.threshold):
+        wanted = wanted & ((F.col(f"hole{k}") != F.col(f"other{k}")) | F.col(f"lead{k}"))
+    return index.join(probes, "key").where(wanted).select("a", "b").distinct()
+
+
 def line_classes(
     docs: DataFrame, settings: Settings | None = None, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -257,37 +330,46 @@ def _classes(docs: DataFrame, s: Settings, text: str, key: str) -> DataFrame:
     keys += [probe_keys(F.col("content"), length, s.threshold, less) for less in range(s.threshold + 1)]
     names = ["own", *[f"probe{less}" for less in range(s.threshold + 1)]]
     facts = F.struct(
-        *where, letter_counts(F.col("content"), s.letters).alias("counts"),
-        *[F.when(length >= s.joined, key).alias(name) for key, name in zip(keys, names, strict=True)],
+        *where, *[F.when(length >= s.joined, key).alias(name) for key, name in zip(keys, names, strict=True)],
     )
     distinct = cut_lineage(
         rows.select("h1", "h2", facts.alias("first")).groupBy("h1", "h2").agg(F.min("first").alias("first"))
         .select("h1", "h2", "first.*")
     )
-    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("a"), F.col("counts").alias("ca"))
+    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("a"))
     probes = None
     for less in range(s.threshold + 1):
-        part = distinct.select(
-            F.explode(f"probe{less}").alias("key"), F.col("h1").alias("b"), F.col("counts").alias("cb"),
-            F.lit(less == 0).alias("same"),
-        )
+        held = F.col(f"probe{less}") if less else F.concat("own", "probe0")
+        part = distinct.select(F.explode(held).alias("key"), F.col("h1").alias("b"), F.lit(less == 0).alias("same"))
         probes = part if probes is None else probes.unionAll(part)
-    near = count_distance(F.col("ca"), F.col("cb")) <= 2 * s.threshold
+    common = cut_lineage(
+        index.where(F.pmod("a", F.lit(s.counted)) == 0).groupBy("key").agg(F.count("*").alias("n"))
+        .where(F.col("n") >= s.common).select("key")
+    )
+    other = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("same"))
     pairs = cut_lineage(
-        index.join(probes, "key")
-        .where((F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("same"))).where(near)
-        .select("a", "b").distinct()
+        index.join(common, "key", "left_anti").join(probes, "key").where(other).select("a", "b").distinct()
+    )
+    crowd = index.withColumnRenamed("a", "id").unionAll(probes.select("key", F.col("b").alias("id"))).join(
+        common, "key", "left_semi"
     )
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+    ids = (
+        pairs.select(F.explode(F.array("a", "b")).alias("id"), F.lit(False).alias("crowded"))
+        .unionAll(crowd.select("id", F.lit(True))).groupBy("id").agg(F.max("crowded").alias("crowded"))
+    )
+    ids = cut_lineage(ids)
     texts = cut_lineage(
         _behind_bitmap(rows, ids, s.filter_bits).join(ids.withColumnRenamed("id", "h1"), "h1")
-        .groupBy("h1", "h2").agg(F.min(F.struct(*where, "content")).alias("t"))
-        .select("h1", F.struct(*[f"t.{name}" for name in where]).alias("node"), "t.content")
+        .groupBy("h1", "h2").agg(F.min(F.struct(*where, "content")).alias("t"), F.max("crowded").alias("crowded"))
+        .select("h1", F.struct(*[f"t.{name}" for name in where]).alias("node"), "t.content", "crowded")
+        .withColumn("counts", letter_counts(F.col("content"), s.letters))
     )
-    one = texts.select(F.col("h1").alias("a"), F.col("node").alias("node_a"), F.col("content").alias("text_a"))
-    other = texts.select(F.col("h1").alias("b"), F.col("node").alias("node_b"), F.col("content").alias("text_b"))
+    near = count_distance(F.col("ca"), F.col("cb")) <= 2 * s.threshold
+    pairs = pairs.unionAll(_crowded_pairs(texts, s, other & near)).distinct()
+    one = texts.select(F.col("h1").alias("a"), F.col("node").alias("node_a"), F.col("content").alias("text_a"), F.col("counts").alias("ca"))
+    two = texts.select(F.col("h1").alias("b"), F.col("node").alias("node_b"), F.col("content").alias("text_b"), F.col("counts").alias("cb"))
     links = cut_lineage(
-        pairs.join(one, "a").join(other, "b")
+        pairs.join(one, "a").join(two, "b").where(near)
         .where(F.abs(F.length("text_a") - F.length("text_b")) <= s.threshold)
         .where(banded_distance(F.col("text_a"), F.col("text_b"), s.threshold) <= s.threshold)
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))

@@ -73,6 +73,33 @@ def test_classes_equal_brute_force(spark):
         assert r.kept == (label[line] == (r.doc_id, r.line))
 
 
+def test_lines_of_common_keys_equal_brute_force(spark, monkeypatch):
+    """Lines that share a third meet by finer keys, and not all with all."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ij") for _ in range(45)).strip().ljust(45, "k")
+    changed = {base[:15] + "".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(70)}
+    lines = list(changed) + [edited(rng, base, rng.randint(1, 3)) for _ in range(20)]
+    lines += [edited(rng, rng.choice(lines), rng.randint(1, 2)).strip().ljust(20, "k") for _ in range(30)]
+    lines = list(dict.fromkeys(lines))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    met, crowded_pairs = [], line_dedup._crowded_pairs
+
+    def counted(texts, *args):
+        found = line_dedup.cut_lineage(crowded_pairs(texts, *args))
+        met.append((texts.where("crowded").count(), found.count()))
+        return found
+
+    monkeypatch.setattr(line_dedup, "_crowded_pairs", counted)
+    found = {r.doc_id: r.n_links for r in line_dedup.line_classes(docs).collect()}
+    links = dict.fromkeys(range(len(lines)), 0)
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines[:i]):
+            if abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2:
+                links[i], links[j] = links[i] + 1, links[j] + 1
+    assert found == links
+    assert met[0][0] > 70 and met[0][1] < met[0][0] ** 2 / 8
+
+
 def test_dropping_keeps_first_lines(spark):
     a, b = "a line that is long enough to count", "another line, also long enough"
     rows = [(1, f"{a}\nx\n{b}", 5), (2, f"{a[:-1]}\ny", 5), (3, b, 5), (4, None, None), (None, a, 5), (5, "", 0)]
