@@ -10,7 +10,8 @@ verified with a banded bit-parallel edit distance.  Classes are components of th
 
 Keys of many lines (found on a share of the lines; which keys they are changes no result) leave
 that index.  Their lines are cut into more pieces, and meet if they agree outside ``threshold``
-of these: any lines within the threshold do, and few others.
+of these: any lines within the threshold do, and few others.  A line has such keys only for the
+differences in length for which it has a common one, 54 at most (at threshold 2).
 
 Equal lines are one line from the start, combined map-side, so a line repeated a million
 times is one row in the index.  The texts of candidate lines are fetched by a second scan
@@ -45,7 +46,7 @@ class Settings:
     shortest: int = 16
     letters: str = "etnaihso"
     filter_bits: int = 22
-    pieces: int = 8
+    pieces: int = 5
     counted: int = 4  # one line in so many is counted to find keys of many lines
     common: int = 4  # counted lines that make a key one of these
 
@@ -102,36 +103,72 @@ def _shifts(holes: int, edits: int, shorter: int, before: int = 0) -> list[tuple
     ]
 
 
-def piece_rows(lines: DataFrame, s: Settings, shorter: int = 0, own: bool = False) -> DataFrame:
-    """``lines`` with a ``key`` of what each has outside ``threshold`` pieces of a line ``shorter``
+def _layouts(s: Settings, shorter: int) -> list[Column]:
+    """Choices of ``threshold`` pieces as holes, and of shifts behind them.
+
+    Holes side by side are one hole: it does not matter what is shifted inside.  Of two lines of one
+    length the one shifted to the right probes.  Of holes side by side the first is compared where it
+    begins, the last where it ends; ``any`` marks holes that need not differ: all pieces before them are
+    holes, or others of their kind lie on both sides.
+    """
+    found = []
+    for holes in combinations(range(s.pieces), s.threshold):
+        last = s.threshold - 1
+        more = [k < last and holes[k + 1] == holes[k] + 1 for k in range(s.threshold)]
+        known = set()
+        for free in _shifts(s.threshold, s.threshold, shorter):
+            shifts = []
+            for k, shift in enumerate(free):
+                shifts.append((shifts[-1] if shifts else 0) if more[k] else shift)
+            if tuple(shifts) in known or (not shorter and next((x for x in shifts if x), 0) < 0):
+                continue
+            known.add(tuple(shifts))
+            begin, end, free_of = [], [], []
+            for k, shift in enumerate(shifts):
+                inner, before = k > 0 and more[k - 1], shifts[k - 1] if k else 0
+                begin.append(shift if inner else before)
+                end.append(before if more[k] and not inner else shift)
+                free_of.append(holes[k] == k or (inner and more[k]))
+            arrays = {"holes": holes, "shifts": shifts, "begin": begin, "end": end, "any": free_of}
+            found.append(F.struct(
+                F.lit(shorter).alias("less"), F.lit(not shorter and not any(shifts)).alias("own"),
+                *[F.array(*map(F.lit, values)).alias(name) for name, values in arrays.items()],
+            ))
+    return found
+
+
+def piece_rows(lines: DataFrame, s: Settings) -> DataFrame:
+    """``lines`` with a ``key`` of what each has outside ``threshold`` pieces of a line ``less``
     characters less, for all choices of the pieces, the holes.
 
-    ``own`` keys are those of the line's own pieces.  Edits inside the holes shift what follows.
-    ``hole<k>`` is a hash of what hole k has, ``lead<k>`` tells whether all pieces before it are holes.
+    Bit ``less`` of ``roles`` asks for these rows.  ``own`` keys are those of the line's own pieces.
+    Edits inside the holes shift what follows.  ``hole<k>`` is a hash of what hole k has.
     """
-    layouts = [
-        F.struct(F.array(*map(F.lit, holes)).alias("holes"), F.array(*map(F.lit, shifts)).alias("shifts"))
-        for holes in combinations(range(s.pieces), s.threshold)
-        for shifts in ([(0,) * s.threshold] if own else _shifts(s.threshold, s.threshold, shorter))
-    ]
-    target, hole, shift = F.length("content") - shorter, F.col("_at.holes"), F.col("_at.shifts")
+    layouts = F.array(*[layout for less in range(s.threshold + 1) for layout in _layouts(s, less)])
+    asked = F.filter(
+        layouts,
+        lambda at: (F.call_function("shiftright", F.col("roles"), at["less"]).bitwiseAND(F.lit(1)) == 1)
+        & (F.length("content") - at["less"] >= s.joined),
+    )
+    at = F.col("_at")
+    target = F.length("content") - at["less"]
     edge = lambda piece: F.floor(target * piece / s.pieces)
 
     def part(begin: Column, end: Column) -> Column:
         return F.substring(F.col("content"), (begin + 1).cast("int"), (end - begin).cast("int"))
 
-    kept, cut, start = [], [], F.lit(0)
+    kept, cut, start, shift = [], [], F.lit(0), F.lit(0)
     for k in range(s.threshold):
-        before = shift[k - 1] if k else F.lit(0)
-        kept.append(part(start, edge(hole[k]) + before))
-        start = edge(hole[k] + 1) + shift[k]
-        cut += [
-            F.xxhash64(part(edge(hole[k]) + before, start)).alias(f"hole{k}"), (hole[k] == k).alias(f"lead{k}"),
-        ]
+        hole = at["holes"][k]
+        kept.append(part(start, edge(hole) + shift))
+        shift = at["shifts"][k]
+        start = edge(hole + 1) + shift
+        held = part(edge(hole) + at["begin"][k], edge(hole + 1) + at["end"][k])
+        cut += [F.xxhash64(held).alias(f"hole{k}"), at["any"][k].alias(f"any{k}")]
     kept.append(part(start, F.length("content")))
-    return lines.withColumn("_at", F.explode(F.array(*layouts))).select(
-        "*", F.xxhash64(hole, target, *kept).alias("key"), *cut
-    ).drop("_at", "content")
+    return lines.withColumn("_at", F.explode(asked)).select(
+        "*", at["less"].alias("less"), at["own"].alias("own"), F.xxhash64(at["holes"], target, *kept).alias("key"), *cut
+    ).drop("_at", "content", "roles")
 
 
 def letter_counts(line: Column, letters: str) -> Column:
@@ -291,24 +328,29 @@ def _behind_bitmap(rows: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def _crowded_pairs(texts: DataFrame, s: Settings, wanted: Column) -> DataFrame:
+def _crowded_pairs(texts: DataFrame, s: Settings, near: Column) -> DataFrame:
     """``a, b``: lines of common keys that agree outside ``threshold`` pieces.
 
     Lines that differ in fewer pieces agree for many choices of holes; they meet where the holes
     that do not differ are the first pieces there are.
     """
-    crowded = texts.where("crowded")
-    index = piece_rows(crowded.select("content", F.col("h1").alias("a"), F.col("counts").alias("ca")), s, own=True)
-    probes = None
-    for less in range(s.threshold + 1):
-        rows = crowded.where(F.length("content") - less >= s.joined)
-        rows = rows.select("content", F.col("h1").alias("b"), F.col("counts").alias("cb"), F.lit(less == 0).alias("same"))
-        part = piece_rows(rows, s, less).drop(*[f"lead{k}" for k in range(s.threshold)])
-        probes = part if probes is None else probes.unionAll(part)
-    probes = probes.withColumnsRenamed({f"hole{k}": f"other{k}" for k in range(s.threshold)})
+    rows = cut_lineage(piece_rows(texts.where("crowded").select("h1", "counts", "roles", "content"), s))
+    anywhere = [f"any{k}" for k in range(s.threshold)]
+    index = rows.where("own").select(
+        "key", F.col("h1").alias("a"), F.col("counts").alias("ca"), *[f"hole{k}" for k in range(s.threshold)]
+    )
+    probes = rows.select(
+        "key", F.col("h1").alias("b"), F.col("counts").alias("cb"), "less", "own", *anywhere,
+        *[F.col(f"hole{k}").alias(f"other{k}") for k in range(s.threshold)],
+    )
+    wanted = near & ((F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("own")))
     for k in range(s.threshold):
-        wanted = wanted & ((F.col(f"hole{k}") != F.col(f"other{k}")) | F.col(f"lead{k}"))
-    return index.join(probes, "key").where(wanted).select("a", "b").distinct()
+        wanted = wanted & ((F.col(f"hole{k}") != F.col(f"other{k}")) | F.col(f"any{k}"))
+    turned = (F.col("less") == 0) & (F.col("a") > F.col("b"))
+    return index.join(probes, "key").where(wanted).select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
+        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+    ).distinct()
 
 
 def line_classes(
@@ -340,32 +382,33 @@ def _classes(docs: DataFrame, s: Settings, text: str, key: str) -> DataFrame:
     probes = None
     for less in range(s.threshold + 1):
         held = F.col(f"probe{less}") if less else F.concat("own", "probe0")
-        part = distinct.select(F.explode(held).alias("key"), F.col("h1").alias("b"), F.lit(less == 0).alias("same"))
+        part = distinct.select(F.explode(held).alias("key"), F.col("h1").alias("b"), F.lit(less).alias("less"))
         probes = part if probes is None else probes.unionAll(part)
     common = cut_lineage(
         index.where(F.pmod("a", F.lit(s.counted)) == 0).groupBy("key").agg(F.count("*").alias("n"))
         .where(F.col("n") >= s.common).select("key")
     )
-    other = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("same"))
+    other = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & (F.col("less") > 0))
     pairs = cut_lineage(
         index.join(common, "key", "left_anti").join(probes, "key").where(other).select("a", "b").distinct()
     )
-    crowd = index.withColumnRenamed("a", "id").unionAll(probes.select("key", F.col("b").alias("id"))).join(
-        common, "key", "left_semi"
+    # bit ``less``: the line may be one of a pair of that difference in length that common keys would have found
+    crowd = probes.join(common, "key", "left_semi").select(
+        F.col("b").alias("id"), F.call_function("shiftleft", F.lit(1), F.col("less")).alias("roles")
     )
     ids = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id"), F.lit(False).alias("crowded"))
-        .unionAll(crowd.select("id", F.lit(True))).groupBy("id").agg(F.max("crowded").alias("crowded"))
+        pairs.select(F.explode(F.array("a", "b")).alias("id"), F.lit(0).alias("roles"))
+        .unionAll(crowd).groupBy("id").agg(F.bit_or("roles").alias("roles"))
     )
     ids = cut_lineage(ids)
     texts = cut_lineage(
         _behind_bitmap(rows, ids, s.filter_bits).join(ids.withColumnRenamed("id", "h1"), "h1")
-        .groupBy("h1", "h2").agg(F.min(F.struct(*where, "content")).alias("t"), F.max("crowded").alias("crowded"))
-        .select("h1", F.struct(*[f"t.{name}" for name in where]).alias("node"), "t.content", "crowded")
+        .groupBy("h1", "h2").agg(F.min(F.struct(*where, "content")).alias("t"), F.bit_or("roles").alias("roles"))
+        .select("h1", F.struct(*[f"t.{name}" for name in where]).alias("node"), "t.content", "roles", (F.col("roles") != 0).alias("crowded"))
         .withColumn("counts", letter_counts(F.col("content"), s.letters))
     )
     near = count_distance(F.col("ca"), F.col("cb")) <= 2 * s.threshold
-    pairs = pairs.unionAll(_crowded_pairs(texts, s, other & near)).distinct()
+    pairs = pairs.unionAll(_crowded_pairs(texts, s, near)).distinct()
     one = texts.select(F.col("h1").alias("a"), F.col("node").alias("node_a"), F.col("content").alias("text_a"), F.col("counts").alias("ca"))
     two = texts.select(F.col("h1").alias("b"), F.col("node").alias("node_b"), F.col("content").alias("text_b"), F.col("counts").alias("cb"))
     links = cut_lineage(

@@ -100,6 +100,31 @@ def test_lines_of_common_keys_equal_brute_force(spark, monkeypatch):
     assert met[0][0] > 70 and met[0][1] < met[0][0] ** 2 / 8
 
 
+def test_all_lines_meet_by_pieces(spark, monkeypatch):
+    """With every key common no pair comes from the index; a line has a few dozen keys at most."""
+    rng = random.Random(11)
+    written, piece_rows = [], line_dedup.piece_rows
+
+    def counted(lines, s):
+        found = line_dedup.cut_lineage(piece_rows(lines, s))
+        written.append(found.count() / lines.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "piece_rows", counted)
+    for threshold in (1, 2, 3):
+        bases = ["".join(rng.choice("abcdefgh ij") for _ in range(n)).strip().ljust(n, "k") for n in (19, 21, 40, 83)]
+        lines = [edited(rng, rng.choice(bases), rng.randint(0, 4)).strip().ljust(19, "k") for _ in range(160)]
+        lines = list(dict.fromkeys(lines))
+        docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+        settings = line_dedup.Settings(threshold=threshold, counted=1, common=1)
+        found = {r.doc_id: r.n_links for r in line_dedup.line_classes(docs, settings).collect()}
+        assert found == {
+            i: sum(a != b and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold for b in lines)
+            for i, a in enumerate(lines)
+        }
+    assert len(written) == 3 and written[1] <= 54
+
+
 def test_dropping_keeps_first_lines(spark):
     a, b = "a line that is long enough to count", "another line, also long enough"
     rows = [(1, f"{a}\nx\n{b}", 5), (2, f"{a[:-1]}\ny", 5), (3, b, 5), (4, None, None), (None, a, 5), (5, "", 0)]
