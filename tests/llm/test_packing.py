@@ -1,3 +1,5 @@
+import random
+import string
 import zlib
 from collections import defaultdict
 
@@ -46,6 +48,20 @@ def test_special_words_are_the_tokenizers(spark):
     check(list(enumerate(texts)), packing.pack(docs).collect(), 4096)
 
 
+def test_plain_words_come_from_the_model():
+    """Words of a-z, alone and among others, have the ids the whole tokenizer gives."""
+    rng = random.Random(4)
+    tokens = packing.WordTokens(None)
+    assert tokens.plain
+    words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(1, 30))) for _ in range(2000)]
+    words += ["s", "t", "re", "x" * 3000, "été", "漢字", "a1", "b.c", "'s", "Straße", "K"]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "", ".", ",", "?!", "\n"]) for _ in range(40)) for _ in range(200)]
+    flat, number = tokens.encode([text.encode() for text in texts])
+    expected = [tokens.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert number.tolist() == [len(ids) for ids in expected]
+    assert flat.tolist() == [i for ids in expected for i in ids]
+
+
 def test_windows_hold_the_target_shares(spark):
     rows = [(i, "alpha beta gamma delta " * 40, "big" if i % 4 else "small") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
