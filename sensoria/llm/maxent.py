@@ -38,6 +38,7 @@ from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches, t
 from sensoria.session import cut_lineage
 
 FORM_BITS = 12
+_AT_ONCE = 512
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 END = np.int64(-1)  # stands for the end token's hash
 START = np.int64(-2)
@@ -82,7 +83,9 @@ class Model:
 
 def _forms(words: list[bytes]) -> np.ndarray:
     """Twelve-bit hash of each word's last two bytes."""
-    value = np.fromiter(((w[-2] if len(w) > 1 else 0) << 8 | w[-1] for w in words), np.uint64, len(words))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    flat, end = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64), np.cumsum(size)
+    value = np.where(size > 1, flat[end - 2], np.uint64(0)) << np.uint64(8) | flat[end - 1]
     return (mix(value + _SEED) >> np.uint64(64 - FORM_BITS)).astype(np.int64)
 
 
@@ -224,34 +227,41 @@ def tokens_of(texts: list[bytes | None], table: WordTable, vocabulary: Vocabular
 
 
 def _chances(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Class probabilities of each token's context."""
-    level = model_rows.take(rows[:, 0], axis=0)
-    for i in range(1, rows.shape[1]):
-        level += model_rows.take(rows[:, i], axis=0)
-    level += bias
-    level -= level.max(axis=1, keepdims=True)
-    np.exp(level, out=level)
-    level /= level.sum(axis=1, keepdims=True)
-    return level
+    """Class probabilities of each token's context; some tokens at a time, which fit a core's cache."""
+    out = np.empty((len(rows), model_rows.shape[1]), model_rows.dtype)
+    spare = np.empty_like(out[:_AT_ONCE])
+    for start in range(0, len(rows), _AT_ONCE):
+        some, level = rows[start : start + _AT_ONCE], out[start : start + _AT_ONCE]
+        np.take(model_rows, some[:, 0], axis=0, out=level, mode="clip")
+        for i in range(1, rows.shape[1]):
+            level += np.take(model_rows, some[:, i], axis=0, out=spare[: len(some)], mode="clip")
+        level += bias
+        level -= level.max(axis=1, keepdims=True)
+        np.exp(level, out=level)
+        level /= level.sum(axis=1, keepdims=True)
+    return out
 
 
 def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct rows, the sum of their values, and how many each has.
 
-    Short runs of equal rows are added place by place, all runs at once; long runs one by one.
+    Short runs of equal rows are added place by place, all runs at once; long runs, which come
+    first, one by one.
     """
-    order = np.argsort(rows, kind="stable")
+    # sixteen bits are sorted by radix
+    order = np.argsort(rows.astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows, kind="stable")
     ordered = rows[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     size = np.diff(np.append(first, len(ordered)))
+    falling = np.argsort(-size, kind="stable")
+    first, size = first[falling], size[falling]
     total = values.take(order[first], axis=0)
-    short = np.flatnonzero((size > 1) & (size <= 12))
-    place = 1
-    while len(short):
-        total[short] += values.take(order[first[short] + place], axis=0)
-        place += 1
-        short = short[size[short] > place]
-    for run in np.flatnonzero(size > 12):
+    long = int((size > 12).sum())
+    for place in range(1, 12):
+        stop = int((size > place).sum())
+        if stop > long:
+            total[long:stop] += values.take(order[first[long:stop] + place], axis=0)
+    for run in range(long):
         total[run] = values.take(order[first[run] : first[run] + size[run]], axis=0).sum(axis=0)
     return ordered[first], total, size
 

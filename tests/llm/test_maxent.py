@@ -7,6 +7,7 @@ from cases import ROWS, awkward, clashing, empty
 from pyspark.sql import functions as F
 
 from sensoria.llm import maxent
+from sensoria.llm.words import mix
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -64,6 +65,29 @@ def test_small_head_gives_the_same(spark):
     assert base(many) == base(few)
 
 
+def test_steps_equal_the_plain_formulas():
+    """Parts of a batch and sorted runs change no bit of what the plain formulas give."""
+    rng = np.random.default_rng(5)
+    weights = rng.normal(size=(300, 96)).astype(np.float32)
+    bias, rows = rng.normal(size=96).astype(np.float32), (300 * rng.random((2000, 4)) ** 4).astype(np.int32)
+    level = weights[rows[:, 0]] + weights[rows[:, 1]] + weights[rows[:, 2]] + weights[rows[:, 3]] + bias
+    level = np.exp(level - level.max(axis=1, keepdims=True))
+    assert np.array_equal(maxent._chances(weights, bias, rows), level / level.sum(axis=1, keepdims=True))
+    which, total, size = maxent._sums_by_row(level, rows[:, 0])
+    assert (np.diff(size) <= 0).all() and size[0] > 12 > size[-1]
+    assert sorted(which.tolist()) == np.unique(rows[:, 0]).tolist()
+    for row, one, n in zip(which, total, size, strict=True):
+        mine = level[rows[:, 0] == row]
+        expected = mine[0].copy()
+        for more in mine[1:]:
+            expected += more
+        assert n == len(mine) and np.array_equal(one, expected)
+    words = [b"a", b"bc", b"xyz", "é".encode()]
+    plain = np.array([(w[-2] if len(w) > 1 else 0) << 8 | w[-1] for w in words], np.uint64)
+    forms = (mix(plain + maxent._SEED) >> np.uint64(64 - maxent.FORM_BITS)).astype(np.int64)
+    assert np.array_equal(maxent._forms(words), forms) and len(maxent._forms([])) == 0
+
+
 def test_awkward_rows(spark):
     docs = clashing(awkward(spark)).withColumn("held_out", F.col("doc_id") == 9).fillna(False, ["held_out"])
     found = maxent.score(docs).collect()
