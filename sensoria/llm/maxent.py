@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import remainder
-from sensoria.llm.words import WordTable, hash_words, mix, raw, small_batches, tidied
+from sensoria.llm.words import WordTable, hash_words, mix, small_batches, tidied
 from sensoria.session import cut_lineage
 
 FORM_BITS = 12
@@ -130,12 +130,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
             )
 
         for batch in batches:
-            if len(table.index) > table.limit:
+            if len(table) > table.limit:
                 yield held()
                 table.reset()
                 total = np.zeros(0, np.int64)
-            flat, _ = table.batch(raw(batch.column(0)))
-            fresh = np.bincount(flat, minlength=len(table.index))
+            flat, _ = table.batch(batch.column(0))
+            fresh = np.bincount(flat, minlength=len(table))
             fresh[: len(total)] += total
             total = fresh
         if table.filled:
@@ -193,7 +193,7 @@ class Tokens:
     rows: np.ndarray  # weight rows, tokens x features
 
 
-def tokens_of(texts: list[bytes | None], table: WordTable, vocabulary: Vocabulary, s: Settings) -> Tokens:
+def tokens_of(texts: pa.Array | list[bytes | None], table: WordTable, vocabulary: Vocabulary, s: Settings) -> Tokens:
     flat, lengths = table.batch(texts)
     size = lengths + 1
     text = np.repeat(np.arange(len(texts)), size)
@@ -297,7 +297,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings, text: str = "tex
             weights, squares, seen = rows.copy(), np.zeros(len(rows)), np.zeros(len(rows), np.int64)
             table = WordTable(_features(vocabulary), limit=200_000)
             for batch in batches:
-                t = tokens_of(raw(batch.column(0)), table, vocabulary, s)
+                t = tokens_of(batch.column(0), table, vocabulary, s)
                 _descend(weights, squares, bias, t, s, seen)
             used = np.flatnonzero(seen)
             if len(used):
@@ -365,7 +365,7 @@ def scored_parts(docs: DataFrame, model: Model, text: str, key: str) -> DataFram
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             n = batch.num_rows
-            t = tokens_of(raw(batch.column(2)), table, v, model.settings)
+            t = tokens_of(batch.column(2), table, v, model.settings)
             gain = gains(model, t) if v.tokens else np.zeros(len(t.kind))
             base = np.log10((np.maximum(t.count, 0) + 1) * v.unseen)
             sure, known = t.count >= 0, t.count > 0

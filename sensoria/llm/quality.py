@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import with_struct
-from sensoria.llm.words import WordTable, hash_words, raw, small_batches, sum_by_text, tidied
+from sensoria.llm.words import WordTable, hash_words, raw, small_batches, sum_by_text, tidied, words_of
 
 SIGNALS = ("words", "word_length", "symbols", "upper", "digits", "variety", "repeats", "short_lines", "ends")
 LABELLERS = (
@@ -99,13 +100,9 @@ def _word_signals(words: list[bytes]) -> np.ndarray:
     return out
 
 
-def _cut(text: bytes | None) -> list[bytes]:
-    return text.split() if text else []
-
-
 def surface(texts: list[bytes | None], table: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signals of each text; word hashes of all texts, one after the other; words per text."""
-    flat, lengths = table.batch(texts, _cut)
+    flat, lengths = table.batch(texts, partial(words_of, lowered=False))
     rows = table.rows[flat] if len(flat) else np.zeros((0, 5))
     sums = sum_by_text(rows[:, :4], lengths)
     count = np.maximum(lengths, 1)

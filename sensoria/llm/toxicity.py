@@ -276,7 +276,7 @@ def fit(rows: list[tuple[int, bytes | None]], s: Settings) -> Model:
         return Model(s, share)
     table = WordTable(limit=10**9)
     flat, lengths = table.batch(text for _, text in rows)
-    words = list(table.index)
+    words = table.words.to_pylist()
     parts = _parts(words, s) if words else (np.zeros(0, np.int64),) * 3
     bucket, owner, gram = parts
     number, _ = _spread(owner, len(words))
@@ -437,7 +437,7 @@ def verdict(spark: SparkSession, model: Model):
         model = shared.value
         table = WordTable(_projector(model), limit=150_000) if model.evidence else None
         for batch in batches:
-            found = text_scores(raw(batch), table, model) if table else np.full(len(batch), model.share)
+            found = text_scores(batch, table, model) if table else np.full(len(batch), model.share)
             high = (found >= model.settings.threshold).astype(np.int32)
             yield pa.StructArray.from_arrays([pa.array(found), pa.array(high)], ["score", "predicted"])
 

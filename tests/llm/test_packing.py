@@ -1,14 +1,18 @@
+import gc
 import random
 import string
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from cases import ROWS, awkward, clashing, empty
 from tokenizers import Tokenizer
 
 from sensoria.llm import packing
+from sensoria.llm.words import WordTable
 
 
 def check(rows, pieces, sequence):
@@ -48,6 +52,38 @@ def test_special_words_are_the_tokenizers(spark):
     check(list(enumerate(texts)), packing.pack(docs).collect(), 4096)
 
 
+def test_odd_words_are_the_tokenizers():
+    """Signs, digits, accents, capitals and control tokens in any case, next to each other."""
+    rng = random.Random(7)
+    tokens = packing.WordTokens(None)
+    assert tokens.mixed
+    signs = [*string.printable, "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "'ll", "'RE", "\x1c", "\x85", "\u0301", "\u2028"]
+    signs += [*"éÉßŉǆǅσςΣΐйЙі²½ªʰ漢字ﬁİıſK가ᄀ", "é", "<\u0338"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    flat, number = tokens.encode([None, "".encode(), *(text.encode() for text in texts)])
+    expected = [tokens.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert number.tolist() == [0, 0, *map(len, expected)]
+    assert flat.tolist() == [i for ids in expected for i in ids]
+
+
+def test_held_words_are_small():
+    """What a task keeps of its words: their bytes and few more, no objects."""
+    words = [f"{i * 7919:x}" for i in range(200_000)]
+    text = " ".join(words).encode()
+    gc.collect()
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    table = WordTable()
+    table.batch([text])
+    added = table.fresh()
+    assert len(added) == 200_000 and added[-1] == words[-1].encode()
+    del added
+    gc.collect()
+    held = pa.total_allocated_bytes() - held + tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 12_000_000
+
+
 def test_plain_words_come_from_the_model():
     """Words of a-z, alone and among others, have the ids the whole tokenizer gives."""
     rng = random.Random(4)
