@@ -130,12 +130,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
             )
 
         for batch in batches:
-            if len(table) > table.limit:
+            if len(table.words) > table.limit:
                 yield held()
                 table.reset()
                 total = np.zeros(0, np.int64)
             flat, _ = table.batch(batch.column(0))
-            fresh = np.bincount(flat, minlength=len(table))
+            fresh = np.bincount(flat, minlength=len(table.words))
             fresh[: len(total)] += total
             total = fresh
         if table.filled:

@@ -437,7 +437,7 @@ def verdict(spark: SparkSession, model: Model):
         model = shared.value
         table = WordTable(_projector(model), limit=150_000) if model.evidence else None
         for batch in batches:
-            found = text_scores(batch, table, model) if table else np.full(len(batch), model.share)
+            found = text_scores(batch, table, model) if table is not None else np.full(len(batch), model.share)
             high = (found >= model.settings.threshold).astype(np.int32)
             yield pa.StructArray.from_arrays([pa.array(found), pa.array(high)], ["score", "predicted"])
 

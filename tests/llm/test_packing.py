@@ -74,6 +74,7 @@ def test_held_words_are_small():
     held = pa.total_allocated_bytes()
     tracemalloc.start()
     table = WordTable()
+    assert table  # an empty one is a table too
     table.batch([text])
     added = table.fresh()
     assert len(added) == 200_000 and added[-1] == words[-1].encode()
@@ -157,3 +158,39 @@ def test_awkward_rows(spark):
     assert packing.pack(empty(spark)).count() == 0
     hashed = packing.pack(awkward(spark), packing.Settings(max_queues=2)).collect()
     assert sum(p["length"] for p in hashed) == sum(p["length"] for p in pieces)
+
+
+def test_memory_goes_back_after_each_batch(monkeypatch):
+    """Between batches a task holds its words only."""
+    calls = []
+    monkeypatch.setattr(packing, "give_back", lambda: calls.append(1))
+    monkeypatch.setattr(packing, "small_batches", lambda spark: spark)
+
+    class Rows:
+        sparkSession, dtypes = None, [("doc_id", "bigint")]
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Context:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(packing.F, "col", lambda name: _Column())
+    monkeypatch.setattr(packing.F, "lit", lambda value: value)
+    monkeypatch.setattr(packing.F, "coalesce", lambda *columns: _Column())
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda cls: Context))
+    run = packing.tokenised(Rows(), packing.Settings(), "text", "doc_id", "source")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "queue": ["a"], "text": ["one two"]})
+    assert len(list(run(iter([batch, batch, batch])))) == 3
+    assert len(calls) == 4
+
+
+class _Column:
+    def cast(self, kind):
+        return self
+
+    def alias(self, name):
+        return self
