@@ -226,19 +226,36 @@ def tokens_of(texts: pa.Array | list[bytes | None], table: WordTable, vocabulary
     return Tokens(text, columns[:, 0], kind, columns[:, 2], rows)
 
 
+def _levels(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray, level: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """Class weights of each token's context, into ``level``; their sums."""
+    np.take(model_rows, rows[:, 0], axis=0, out=level, mode="clip")
+    for i in range(1, rows.shape[1]):
+        level += np.take(model_rows, rows[:, i], axis=0, out=spare[: len(rows)], mode="clip")
+    level += bias
+    level -= level.max(axis=1, keepdims=True)
+    np.exp(level, out=level)
+    return level.sum(axis=1, keepdims=True)
+
+
 def _chances(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Class probabilities of each token's context; some tokens at a time, which fit a core's cache."""
     out = np.empty((len(rows), model_rows.shape[1]), model_rows.dtype)
     spare = np.empty_like(out[:_AT_ONCE])
     for start in range(0, len(rows), _AT_ONCE):
-        some, level = rows[start : start + _AT_ONCE], out[start : start + _AT_ONCE]
-        np.take(model_rows, some[:, 0], axis=0, out=level, mode="clip")
-        for i in range(1, rows.shape[1]):
-            level += np.take(model_rows, some[:, i], axis=0, out=spare[: len(some)], mode="clip")
-        level += bias
-        level -= level.max(axis=1, keepdims=True)
-        np.exp(level, out=level)
-        level /= level.sum(axis=1, keepdims=True)
+        level = out[start : start + _AT_ONCE]
+        level /= _levels(model_rows, bias, rows[start : start + _AT_ONCE], level, spare)
+    return out
+
+
+def _chances_of(model_rows: np.ndarray, bias: np.ndarray, rows: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Probability of each token's own class."""
+    out = np.empty(len(rows), model_rows.dtype)
+    held, spare = (np.empty((min(len(rows), _AT_ONCE), model_rows.shape[1]), model_rows.dtype) for _ in range(2))
+    for start in range(0, len(rows), _AT_ONCE):
+        cut = slice(start, start + _AT_ONCE)
+        level = held[: len(rows[cut])]
+        total = _levels(model_rows, bias, rows[cut], level, spare)
+        out[cut] = level.reshape(-1).take(np.arange(len(level)) * level.shape[1] + kind[cut]) / total[:, 0]
     return out
 
 
@@ -338,12 +355,9 @@ def gains(model: Model, t: Tokens) -> np.ndarray:
     v = model.vocabulary
     out = np.zeros(len(t.kind))
     offset = np.log10(max(1 - v.unseen, 1e-300)) - np.log10(v.unseen) - np.log10(np.maximum(v.mass, 1))
-    for start in range(0, len(t.kind), model.settings.batch):
-        cut = slice(start, start + model.settings.batch)
-        chance = _chances(model.rows, model.bias, t.rows[cut])
-        kind = t.kind[cut]
-        own = chance.reshape(-1).take(np.arange(len(kind)) * chance.shape[1] + kind)
-        out[cut] = np.log10(np.maximum(own, 1e-30)) + offset[kind]
+    own = _chances_of(model.rows, model.bias, t.rows, t.kind)
+    np.log10(np.maximum(own, 1e-30), out=out)
+    out += offset[t.kind]
     return out
 
 

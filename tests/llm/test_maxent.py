@@ -100,3 +100,13 @@ def test_awkward_rows(spark):
     assert none.count() == 0
     unlearned = maxent.score(awkward(spark).withColumn("held_out", F.lit(True))).collect()
     assert {r.score for r in unlearned} == {0.0} and {r.train_tokens for r in unlearned} == {0}
+
+
+def test_own_class_alone_is_the_same_chance():
+    """Scoring's chances are training's, bit for bit, without the other classes' columns."""
+    rng = np.random.default_rng(3)
+    weights, bias = rng.standard_normal((50, 9)).astype(np.float32), rng.standard_normal(9).astype(np.float32)
+    for count in (0, 1, 512, 1300):
+        rows, kind = rng.integers(0, 50, (count, 4)).astype(np.int32), rng.integers(0, 9, count)
+        chances = maxent._chances(weights, bias, rows)
+        assert np.array_equal(maxent._chances_of(weights, bias, rows, kind), chances[np.arange(count), kind])
