@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensoria.llm.words import WordTable, byte_grams, raw, small_batches, sum_by_text, tidied
+from sensoria.llm.words import WordTable, byte_grams, give_back, raw, small_batches, sum_by_text, tidied
 from sensoria.session import literal_table
 
 UNKNOWN = "und"
@@ -239,7 +239,9 @@ def train(
         group = picked.setdefault(row["lang"], [])
         if len(group) < each:
             group.append((row["lang"], row["text"].encode()))
-    return fit([item for group in picked.values() for item in group], settings)
+    model = fit([item for group in picked.values() for item in group], settings)
+    give_back()
+    return model
 
 
 def verdict(spark: SparkSession, model: Model):

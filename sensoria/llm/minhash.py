@@ -273,7 +273,7 @@ def _grouped(docs: DataFrame, s: Settings, text: str, key: str) -> DataFrame:
     buckets = nodes.select("node", F.explode("bands").alias("band"))
     hubs = buckets.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     stars = buckets.join(hubs.select("band", "hub"), "band").where("node <> hub")
-    families = components(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    families = components(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")))
     sizes = families.groupBy("component").agg(F.count("*").alias("members"))
     members = cut_lineage(
         families.join(sizes, "component").select(
@@ -299,8 +299,10 @@ def _grouped(docs: DataFrame, s: Settings, text: str, key: str) -> DataFrame:
         groups.join(nodes.select("node", "doc_id"), "node")
         .groupBy("component").agg(F.min("doc_id").alias("component_id"))
     )
-    labels = nodes.select("node", "doc_id").join(groups.join(least, "component"), "node", "left").select(
-        F.col("node").alias("content"), F.coalesce("component_id", "doc_id").alias("component_id")
+    labels = cut_lineage(
+        nodes.select("node", "doc_id").join(groups.join(least, "component"), "node", "left").select(
+            F.col("node").alias("content"), F.coalesce("component_id", "doc_id").alias("component_id")
+        )
     )
     found = signed.select("doc_id", "copy", "n_shingles", "content").join(labels, "content", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

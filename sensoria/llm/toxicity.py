@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensoria.llm.language import kept_by, remainder, with_struct
-from sensoria.llm.words import WordTable, byte_grams, hash_words, raw, small_batches, tidied
+from sensoria.llm.words import WordTable, byte_grams, give_back, hash_words, raw, small_batches, tidied
 
 ORDERS = (3, 5)
 _CHUNK = 20_000
@@ -394,7 +394,9 @@ def train(
         picked = part if picked is None else picked.unionAll(part)
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     rows = texts.join(F.broadcast(picked), "_key").orderBy("_key", "_label", "_text").select("_label", "_text")
-    return fit([(row["_label"], row["_text"].encode() if row["_text"] else None) for row in rows.toLocalIterator()], s)
+    model = fit([(row["_label"], row["_text"].encode() if row["_text"] else None) for row in rows.toLocalIterator()], s)
+    give_back()
+    return model
 
 
 def _projector(model: Model):

@@ -127,3 +127,19 @@ def test_components_of_paths_and_stars(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {found[i] for i in range(61)} == {0} and {found[i] for i in range(100, 140)} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_stars_take_no_round(spark):
+    """The driver keeps the plans, stages and threads of all rounds, so none may be idle."""
+    from sensoria.llm.graph import components
+
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    edges = spark.createDataFrame([(0, i) for i in range(1, 9)] + [(9, 10)], "a long, b long")
+    context.setJobGroup("stars", "components of two stars")
+    try:
+        found = components(edges).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    stages = {stage for job in tracker.getJobIdsForGroup("stars") for stage in tracker.getJobInfo(job).stageIds}
+    assert {(r.node, r.component) for r in found} == {(i, 9 * (i > 8)) for i in range(11)}
+    assert len(stages) <= 16
